@@ -294,6 +294,16 @@ class _Page:
         if not self.ids:
             self.open("html", [])
 
+    def need_head(self) -> None:
+        """Open the head, again if it was closed: it still takes its own elements."""
+        if self.head < 0:
+            self.head = self.open("head", [])
+        elif self.head not in self.ids:
+            if self.want_markup:
+                del self.markup[self.rows[self.head][_H1] - 1]
+            self.names.append("head")
+            self.ids.append(self.head)
+
     def need_body(self) -> None:
         if self.body >= 0:
             return
@@ -363,11 +373,10 @@ class _Page:
         names = self.names
         if self.body < 0 and "template" not in names:
             if tag in HEAD_ONLY:
-                if self.head < 0:
-                    self.head = self.open("head", [])
+                self.need_head()
             else:
                 self.need_body()
-        elif not self.place(tag):
+        if self.body >= 0 and not self.place(tag):
             return at
         if tag == "image":
             tag = "img"

@@ -138,9 +138,8 @@ regexp_extract(html,'<style>([^<]*)',1) AS style, regexp_extract(html,'<script>(
 O["project_attr"] = f"""WITH {ANCHORS} SELECT page_id, 0 AS pos, {LANG} AS value FROM pages
 UNION ALL SELECT page_id, CAST(pos+1 AS INTEGER), '' FROM a
 UNION ALL SELECT page_id, {n('<a href=')}+1, 'utf-8' FROM pages"""
-O["project_html"] = f"""SELECT page_id, {decoded("regexp_extract(html,'(<nav>.*</nav>)',1)").replace("'&','g'", "'&amp;','g'").replace("'\"'", "'\"'")} AS nav,
-'<meta charset="utf-8">' AS meta, '<style>p{{margin:0}}</style>' AS style,
-regexp_replace(replace(regexp_extract(html,'(<h1>[^<]*</h1>)',1),'&quot;','"'),'&amp;?','&amp;','g') AS h1 FROM pages"""
+O["project_html"] = f"""SELECT page_id, replace({decoded("regexp_extract(html,'(<nav>.*</nav>)',1)")},'&','&amp;') AS nav,
+'<meta charset="utf-8">' AS meta, '<style>p{{margin:0}}</style>' AS style, '<h1>'||replace({H1},'&','&amp;')||'</h1>' AS h1 FROM pages"""
 O["project_attrib"] = f"""SELECT p.page_id, {LANG} AS lang, a.href AS href, CASE WHEN a.href IS NULL THEN 0 ELSE 1 END AS n_a, 0 AS n_none
 FROM pages p LEFT JOIN (WITH {ANCHORS} SELECT page_id, href FROM a WHERE pos=0) a ON a.page_id=p.page_id"""
 O["project_link_parts"] = f"""WITH {DERIVED} SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos)-1 AS INTEGER) AS pos,
@@ -171,10 +170,8 @@ O["entity_decode"] = f"""SELECT page_id, replace(replace(replace(regexp_extract(
 O["strip_blank_values"] = "SELECT page_id, url AS stripped FROM pages"
 O["rel_tokens"] = "SELECT page_id, url LIKE '%spam%' AS nofollow, false AS absent FROM pages"
 
-O["drop_subtrees"] = f"""SELECT page_id,
-'<head><meta charset="utf-8">'||regexp_replace(replace(regexp_extract(html,'(<title>[^<]*</title>)',1),'&quot;','"'),'&amp;?','&amp;','g')
-||regexp_extract(html,'(<script>.*</script>)',1)||'</head>' AS head, 0 AS n_a,
-'<footer></footer>' AS first, 1 AS n_last, 1 AS n_left FROM pages"""
+O["drop_subtrees"] = f"""SELECT page_id, '<head><meta charset="utf-8"><title>'||replace({TITLE},'&','&amp;')||'</title>'
+||regexp_extract(html,'(<script>.*</script>)',1)||'</head>' AS head, 0 AS n_a, '<footer></footer>' AS first, 1 AS n_last, 1 AS n_left FROM pages"""
 O["drop_keeps_input"] = f"""WITH {ANCHORS} SELECT p.page_id, {n('<li>')} AS n_before, greatest({n('<li>')}-1,0) AS n_after, a.text AS new_first
 FROM pages p LEFT JOIN (SELECT page_id, text FROM a WHERE pos=1) a ON a.page_id=p.page_id"""
 O["page_clean_text"] = f"SELECT page_id, {TITLE}||{FOOTER_TEXT} AS text FROM pages"
