@@ -155,11 +155,8 @@ def in_domains(name: Column, domains: Strings) -> Column:
 
 def has_extension(url: Column, extensions: Strings) -> Column:
     """The path ends in one of the extensions; a name such as ``tar.gz`` is one extension."""
-    names = [e.lower() for e in _list(extensions)]
-    path = F.lower(urls.path(url))
-    depth = max(e.count(".") for e in names) + 1
-    endings = [F.regexp_extract(path, r"\.([^./]*" + r"\.[^./]*" * i + ")$", 1) for i in range(depth)]
-    return reduce(or_, [e.isin(*names) for e in endings])
+    names = "|".join(re.escape(e.lower()) for e in _list(extensions))
+    return F.lower(urls.path(url)).rlike(rf"\.(?:{names})$")
 
 
 def filtered(links: Column, o: LinkOptions) -> Column:

@@ -51,7 +51,7 @@ def write_table(df: DataFrame, path: str, *, mode: str = "errorifexists", partit
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return folder.rstrip("/")
