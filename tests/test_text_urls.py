@@ -65,7 +65,7 @@ def test_canonical_url(url, canonical):
 def test_resolving_in_one_pass_or_two_is_the_same(spark):
     bases = ["http://e.com", "http://e.com/a/b?x#f", "https://E.com:8080/x/", "http://u@e.com/", "http://e.com:99999/", "ftp://e.com/d/", "", None]
     items = ["", "/", "/a", "/a.b", "/a/../b", "/./x", "//o.com/x", "b", "../c", "?q", "#f", "/für", "/a;p", "/a b", "mailto:x",
-             "http://[bad", "HTTP://X.com/Y", "/a//b", "/.hidden", "/x..y", "/a?b=1#c", "/a/.", "/%zz", "javascript:x(1)", None]
+             "http://[bad", "HTTP://X.com/Y", "/a//b", "/.hidden", "/x..y", "/a?b=1#c", "/a/.", "/%zz", "/é/.b", "/é.b", "/[x]|\\\\", "/\x7f", "/a\xa0", "/é//b", "/.é", "/..é", "javascript:x(1)", None]
     df = spark.createDataFrame([(b, b, items) for b in bases], "base string, url string, v array<string>")
     one = df.select(urls.resolve_urls("base", "url", "v").alias("o"))
     two = df.select("url", urls.join_urls("base", "v").alias("j")).select(urls.finish_urls("url", "j").alias("o"))

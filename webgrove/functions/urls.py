@@ -24,6 +24,8 @@ _SPECIAL_SCHEMES = frozenset("http https ftp file ws wss".split())
 
 # Already resolved and encoded: nothing below would change such a URL.
 _CLEAN_ROOT = re.compile(r"/(?![/])[A-Za-z0-9:@!$&'()*+,=\-_~%/]*(?:\.[A-Za-z0-9\-_~%]+)?")
+# A path alone, no dot segments or parameters: only encoding is left to do.
+_PLAIN_ROOT = re.compile(r"/(?!/)(?:[^\x00-\x20?#;/]|/(?!\.))*")
 _CLEAN_ORIGIN = re.compile(r"https?://[a-z0-9\-.]+(?::[1-9][0-9]{0,3})?(?=/|\?|#|\Z)")
 _STRIP = "".join(map(chr, range(33)))
 
@@ -124,12 +126,15 @@ def resolve_urls(base: pa.Array, page_url: pa.Array, values: pa.Array) -> pa.Arr
 
     def one(b: str | None, u: str | None, value: str) -> str | None:
         b = b or ""
-        if value[:1] == "/" and _CLEAN_ROOT.fullmatch(value):
+        if value[:1] == "/":
             if b not in origins:
                 found = _CLEAN_ORIGIN.match(b)
                 origins[b] = found.group() if found else None
             if origins[b]:
-                return origins[b] + value
+                if _CLEAN_ROOT.fullmatch(value):
+                    return origins[b] + value
+                if value[1:2] != "." and _PLAIN_ROOT.fullmatch(value):
+                    return origins[b] + quote(value, _PART_SAFE)
         joined = _join(b, value)
         return None if joined is None else _finish(u or "", joined)
 

@@ -16,7 +16,7 @@ from webgrove.functions import urls
 from webgrove.functions.text import has_nofollow, jvm_pattern, strip_blanks
 from webgrove.operators.parse import _parse
 from webgrove.operators.rows import explode_structs
-from webgrove.operators.select import NODES, let, node_text
+from webgrove.operators.select import NODES, node_text
 
 # Extensions that are not followed unless the caller says otherwise.
 DENIED_EXTENSIONS = (
@@ -70,13 +70,12 @@ class LinkOptions:
         return self.tags, self.attrs, self.strip, self.process_value
 
 
-def candidates(
-    tags: Strings | Callable[[Column], Column] = ("a", "area"),
-    attrs: Strings | Callable[[Column], Column] = ("href",),
-    *,
-    with_text: bool = True,
-) -> Column:
-    """Every matching (element, attribute), in document then attribute order.
+NameTest = Strings | Callable[[Column], Column]
+
+
+def candidates(tags: NameTest = ("a", "area"), attrs: NameTest = ("href",)) -> Column:
+    """Every matching (element, attribute), in document then attribute order:
+    ``array<struct<pre,attr,value,text,nofollow>>``.
 
     ``tags`` and ``attrs`` are names, or functions of a name Column.
     """
@@ -85,12 +84,11 @@ def candidates(
     found = F.filter(F.col(NODES), lambda n: n["tag"].isNotNull() & tag_test(n["tag"]))
 
     def of_element(n: Column) -> Column:
-        text = node_text(n) if with_text else F.lit(None).cast("string")
         return F.transform(F.filter(n["attr_names"], attr_test), lambda a: F.struct(
             n["pre"].alias("pre"),
             a.alias("attr"),
             n["attrs"][a].alias("value"),
-            text.alias("text"),
+            node_text(n).alias("text"),
             has_nofollow(n["attrs"]["rel"]).alias("nofollow"),
         ))
 
@@ -105,33 +103,37 @@ def iter_links(docs: DataFrame, tags=("a", "area"), attrs=("href",)) -> DataFram
 def resolve(docs: DataFrame, scan: tuple, name: str) -> DataFrame:
     """Add ``name``: resolved candidates as ``array<struct<url,text,nofollow>>``."""
     tags, attrs, strip, process_value = scan
-    raw = F.filter(candidates(tags, attrs), lambda c: c["value"].isNotNull())
-    work = docs.withColumn("_raw", raw)
-    values = F.transform("_raw", lambda c: strip_blanks(c["value"]) if strip else c["value"])
+    work = docs.withColumn("_raw", F.filter(candidates(tags, attrs), lambda c: c["value"].isNotNull()))
+    values = F.transform("_raw", lambda c: strip_blanks(c["value"])) if strip else F.col("_raw.value")
     if process_value is None:
         work = work.withColumn("_urls", urls.resolve_urls("base_url", "url", values))
     else:
         work = work.withColumn("_urls", urls.join_urls("base_url", values))
         processed = F.transform("_urls", lambda u: F.when(u.isNotNull(), process_value(u)))
         work = work.withColumn("_urls", urls.finish_urls("url", processed))
-    links = F.transform("_raw", lambda c, i: F.struct(
-        F.get("_urls", i).alias("url"), c["text"].alias("text"), c["nofollow"].alias("nofollow")))
-    return work.withColumn(name, F.filter(links, lambda x: x["url"].isNotNull())).drop("_raw", "_urls")
+    # The URLs come from Python, so they stay a column of their own: see task_udf.
+    return work.withColumn(name, F.expr("""filter(
+        transform(_raw, (c, i) -> struct(get(_urls, i) AS url, c.text AS text, c.nofollow AS nofollow)),
+        x -> x.url IS NOT NULL)""")).drop("_raw", "_urls")
+
 
+def first_per_key(links: str, key: str) -> str:
+    """SQL for: keep the first link ``x`` of each ``key``, order kept.
 
-def first_per_key(links: Column, key: Callable[[Column], Column]) -> Column:
-    """Keep the first link of each key, order kept: two sorts, not all pairs."""
-    keyed = F.array_sort(F.transform(links, lambda x, i: F.struct(
-        key(x).alias("key"), i.alias("at"), x.alias("link"))))
-    firsts = let(keyed, lambda s: F.filter(
-        s, lambda x, i: (i == 0) | ~F.get(s, i - 1)["key"].eqNullSafe(x["key"])))
-    ordered = F.array_sort(F.transform(firsts, lambda x: F.struct(x["at"].alias("at"), x["link"].alias("link"))))
-    return F.transform(ordered, lambda x: x["link"])
+    Sorting by key and place and keeping each run's head takes two sorts where
+    comparing all pairs would be quadratic in a page's links.
+    """
+    return f"""transform(
+        array_sort(transform(
+            get(transform(array(array_sort(transform({links}, (x, i) -> struct({key} AS key, i AS at, x AS link)))),
+                s -> filter(s, (y, j) -> j = 0 OR NOT (get(s, j - 1).key <=> y.key))), 0),
+            z -> struct(z.at AS at, z.link AS link))),
+        z -> z.link)"""
 
 
 def allowed(url: Column, o: LinkOptions) -> Column:
     """Scheme, pattern, domain and extension tests; each looks at the URL alone."""
-    test = urls.scheme(url).isin(*SCHEMES)
+    test = url.rlike(f"^({'|'.join(SCHEMES)})://")
     if o.allow:
         test &= reduce(or_, [url.rlike(jvm_pattern(p)) for p in o.allow])
     if o.deny:
@@ -159,13 +161,6 @@ def has_extension(url: Column, extensions: Strings) -> Column:
     return F.lower(urls.path(url)).rlike(rf"\.(?:{names})$")
 
 
-def filtered(links: Column, o: LinkOptions) -> Column:
-    """De-duplicate on the URL, then filter (without canonicalisation)."""
-    if o.unique:
-        links = first_per_key(links, lambda x: x["url"])
-    return F.filter(links, lambda x: allowed(x["url"], o))
-
-
 def with_links(docs: DataFrame, name: str = "links", **options) -> DataFrame:
     """Add the page's links as ``array<struct<url,text,nofollow>>``."""
     o = LinkOptions(**options)
@@ -173,20 +168,17 @@ def with_links(docs: DataFrame, name: str = "links", **options) -> DataFrame:
 
 
 def _finish(work: DataFrame, name: str, o: LinkOptions) -> DataFrame:
+    """De-duplicate, then filter, then canonicalise where asked."""
     if not o.canonicalize:
-        return work.withColumn(name, filtered(F.col(name), o))
+        links = F.expr(first_per_key(name, "x.url")) if o.unique else F.col(name)
+        return work.withColumn(name, F.filter(links, lambda x: allowed(x["url"], o)))
     # One key for equal URLs; the first wins, is filtered as written, then rewritten.
-    work = work.withColumn("_canonical", urls.canonical_urls(F.transform(name, lambda x: x["url"])))
-    links = F.transform(name, lambda x, i: F.struct(
-        x["url"].alias("url"), x["text"].alias("text"), x["nofollow"].alias("nofollow"),
-        F.get("_canonical", i)["key"].alias("key"), F.get("_canonical", i)["url"].alias("canonical")))
-    if o.unique:
-        links = first_per_key(links, lambda x: x["key"])
-    links = F.transform(F.filter(links, lambda x: allowed(x["url"], o)), lambda x: F.struct(
-        x["canonical"].alias("url"), x["text"].alias("text"), x["nofollow"].alias("nofollow")))
-    if o.unique:
-        links = first_per_key(links, lambda x: x["url"])
-    return work.withColumn(name, links).drop("_canonical")
+    work = work.withColumn("_canonical", urls.canonical_urls(F.col(f"{name}.url")))
+    keyed = f"transform({name}, (x, i) -> struct(x AS link, get(_canonical, i).key AS key, get(_canonical, i).url AS url))"
+    links = F.expr(first_per_key(keyed, "x.key") if o.unique else keyed)
+    work = work.withColumn(name, F.filter(links, lambda x: allowed(x["link"]["url"], o)))
+    rewritten = f"transform({name}, x -> struct(x.url AS url, x.link.text AS text, x.link.nofollow AS nofollow))"
+    return work.withColumn(name, F.expr(first_per_key(rewritten, "x.url") if o.unique else rewritten)).drop("_canonical")
 
 
 def explode_links(docs: DataFrame, name: str = "links", *, keep: Iterable[str] = ("page_id",)) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webgrove.operators.links import LinkOptions, _finish, first_per_key, resolve
@@ -44,11 +44,12 @@ def apply_rules(docs: DataFrame, rules: Sequence[Rule], *, keep: tuple[str, ...]
         lists.append(_labelled(name, i, rule))
     if not lists:
         raise ValueError("apply_rules needs at least one rule")
-    links = first_per_key(F.concat(*lists), lambda x: F.struct(x["url"], x["text"], x["nofollow"]))
-    return explode_structs(work, links, keep=keep)
+    work = work.withColumn("_links", F.concat(*lists))
+    firsts = F.expr(first_per_key("_links", "struct(x.url, x.text, x.nofollow)"))
+    return explode_structs(work, firsts, keep=keep)
 
 
-def _labelled(name: str, i: int, rule: Rule):
+def _labelled(name: str, i: int, rule: Rule) -> Column:
     return F.transform(name, lambda x: F.struct(
         F.lit(i).alias("rule"),
         F.lit(rule.callback).cast("string").alias("callback"),

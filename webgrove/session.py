@@ -1,7 +1,12 @@
-"""Session settings that suit wide page rows."""
+"""Session settings that suit wide page rows, and the package on the executors."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+from types import ModuleType
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -16,7 +21,29 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that can be changed on a running session."""
+    """Apply the settings a running session can change, and ship the package.
+
+    Not needed where the package is installed on every executor and the cluster
+    sets these values.
+    """
+    import webgrove
+
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark, webgrove)
     return spark
+
+
+def ship(spark: SparkSession, package: ModuleType) -> None:
+    """Make a pure Python package importable in the tasks, once per application."""
+    context = spark.sparkContext
+    shipped = context.__dict__.setdefault("_shipped_packages", set())
+    if package.__name__ in shipped:
+        return
+    root = Path(package.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="run-")) / f"{package.__name__}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))     # copied to the executors by Spark
+    shipped.add(package.__name__)

@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import workload
 from webgrove import configure, parse_pages
 from webgrove.functions.udf import task_udf
+from webgrove.session import ship
 from webgrove.sources.tables import read_pages, shared_folder
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_pages(configure(spark), f"{sf_dir}/pages.parquet")
+    ship(configure(spark), workload)
+    return read_pages(spark, f"{sf_dir}/pages.parquet")
 
 
 def docs(spark: SparkSession, sf_dir: str, *, html: bool = False) -> DataFrame:
