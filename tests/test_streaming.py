@@ -1,5 +1,7 @@
 """Streams give the rows the batch gives."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,23 +63,18 @@ def test_stream_keeps_no_state(spark, folder):
     assert all(not p["stateOperators"] for p in query.recentProgress)
 
 
-def test_shared_folder_and_stored_docs(spark, folder):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "")
-    try:
-        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-            shared_folder(spark)
-        spark.conf.set("spark.checkpoint.dir", str(folder / "shared"))
-        stored = store_docs(parse_pages(read_pages(spark, str(folder / "in"))))
-        assert (folder / "shared" / "docs").exists()
-        tags = stored.select(F.explode("nodes.tag"))
-        assert "tag" in tags._jdf.queryExecution().executedPlan().toString()
-        scan = next(line for line in tags._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in line)
-        assert "attrs" not in scan.split("ReadSchema")[1]
-        stream_links(stream_pages(spark, str(folder / "in")), str(folder / "out")).awaitTermination()
-        assert spark.read.parquet(str(folder / "out")).count() > 0
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_shared_folder_comes_from_the_session():
+    def session(value):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: value if key == "spark.checkpoint.dir" else default))
+
+    assert shared_folder(session("hdfs://x/shared/")) == "hdfs://x/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session(None))
+
+
+def test_stored_docs_read_only_what_is_asked(spark, folder):
+    stored = store_docs(parse_pages(read_pages(spark, str(folder / "in"))), str(folder / "docs"))
+    tags = stored.select(F.explode("nodes.tag"))
+    assert tags.count() > 0
+    scan = next(line for line in tags._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in line)
+    assert "tag" in scan.split("ReadSchema")[1] and "attrs" not in scan.split("ReadSchema")[1]

@@ -4,16 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webgrove.functions import selectors
-from webgrove.operators.select import any_of, node_at, node_text, running_end
+from webgrove.operators.select import any_of, node_at, node_text, running_end_sql
 
 # What a page holds besides its content; a starting point for ``clean_text``.
 BOILERPLATE = ("nav", "script", "style", "noscript", "template", "header", "footer", "aside", ".ad")
 
 
+# Per element, how far the dropped subtrees that start up to it reach.
+_ENDS = running_end_sql("transform(_hit, (hit, i) -> IF(hit, nodes[i].last, -1))")
+
+# The outermost dropped elements, in document order.
+_TOPS = """filter(nodes, n -> get(_ends, n.pre) >= n.pre AND NOT coalesce(get(_ends, n.pre - 1) >= n.pre, false))"""
+
+_NODES = """transform(nodes, n -> named_struct(
+    'pre', n.pre, 'last', n.last, 'parent', n.parent, 'depth', n.depth,
+    'sib', n.sib - IF(array_contains(_parents, n.parent), size(filter(_tops, t -> t.parent = n.parent AND t.sib < n.sib)), 0),
+    'nsib', n.nsib - IF(array_contains(_parents, n.parent), size(filter(_tops, t -> t.parent = n.parent)), 0),
+    'tag', IF(get(_ends, n.pre) >= n.pre, NULL, n.tag),
+    'attrs', IF(get(_ends, n.pre) >= n.pre, NULL, n.attrs),
+    'attr_names', IF(get(_ends, n.pre) >= n.pre, NULL, n.attr_names),
+    't0', n.t0, 't1', n.t1, 'h0', n.h0, 'h1', n.h1))"""
+
+
 def drop(docs: DataFrame, *queries: str) -> DataFrame:
     """Remove every matched element with all below it, in one pass.
 
@@ -24,51 +40,25 @@ def drop(docs: DataFrame, *queries: str) -> DataFrame:
     parts = [part for query in queries for part in selectors.parse(query)]
     if not parts:
         raise ValueError("drop needs at least one selector")
-    work = docs.withColumn("_ends", any_of(parts, running_end))
-    tops = F.filter(F.col("nodes"), lambda n: (_end(n["pre"]) >= n["pre"]) & ~(F.coalesce(_end(n["pre"] - 1), F.lit(-1)) >= n["pre"]))
-    work = work.withColumn("_tops", tops).withColumn("_parents", F.array_distinct("_tops.parent"))
-    out = {
-        "texts": _blank("texts", "t0", "t1"),
-        "nodes": F.transform("nodes", _after_drop),
-    }
-    if "markup" in docs.columns:
-        out["markup"] = _blank("markup", "h0", "h1")
-    return work.withColumns(out).select(*docs.columns)
-
-
-def _end(pre: Column) -> Column:
-    return F.get(F.col("_ends"), pre)
-
-
-def _blank(pieces: str, start: str, stop: str) -> Column:
-    """The pieces with those of dropped subtrees emptied, kept slices between them."""
-    tops = F.col("_tops")
-    size = F.size(pieces)
-
-    def piece(i: Column) -> Column:
-        before = F.coalesce(F.get(tops, i - 1)[stop], F.lit(0))
-        begin = F.coalesce(F.get(tops, i)[start], size)
-        length = F.coalesce(F.get(tops, i)[stop] - begin, F.lit(0))
-        return F.concat(F.slice(pieces, before + 1, begin - before), F.array_repeat(F.lit(""), length))
-
-    edited = F.flatten(F.transform(F.sequence(F.lit(0), F.size(tops)), piece))
-    return F.when(F.size(tops) > 0, edited).otherwise(F.col(pieces))
-
-
-def _after_drop(n: Column) -> Column:
-    tops = F.col("_tops")
-    gone = F.coalesce(_end(n["pre"]) >= n["pre"], F.lit(False))
-    affected = F.array_contains(F.col("_parents"), n["parent"])
-    fields = {f: n[f] for f in ("pre", "last", "parent", "depth")}
-    fields["sib"] = n["sib"] - F.when(affected, F.size(F.filter(
-        tops, lambda t: (t["parent"] == n["parent"]) & (t["sib"] < n["sib"])))).otherwise(0)
-    fields["nsib"] = n["nsib"] - F.when(affected, F.size(F.filter(
-        tops, lambda t: t["parent"] == n["parent"]))).otherwise(0)
-    fields["tag"] = F.when(~gone, n["tag"])
-    fields["attrs"] = F.when(~gone, n["attrs"])
-    fields["attr_names"] = F.when(~gone, n["attr_names"])
-    fields |= {f: n[f] for f in ("t0", "t1", "h0", "h1")}
-    return F.struct(*(value.alias(name) for name, value in fields.items()))
+    work = (
+        docs.withColumn("_hit", any_of(parts, lambda condition: F.transform("nodes", condition)))
+        .withColumn("_ends", F.expr(_ENDS))
+        .withColumn("_tops", F.expr(_TOPS))
+        .withColumn("_parents", F.array_distinct("_tops.parent"))
+    )
+    edited = {"texts": _emptied("texts", "t"), "markup": _emptied("markup", "h"), "nodes": _NODES}
+    return work.select(*(
+        F.expr(f"IF(size(_tops) = 0, {c}, {edited[c]})").alias(c) if c in edited else c for c in docs.columns))
+
+
+def _emptied(pieces: str, bound: str) -> str:
+    """SQL for: the pieces with those of dropped subtrees emptied, joined from the
+    kept slices between them."""
+    before = f"coalesce(get(_tops, i - 1).{bound}1, 0)"
+    begin = f"coalesce(get(_tops, i).{bound}0, size({pieces}))"
+    length = f"coalesce(get(_tops, i).{bound}1 - get(_tops, i).{bound}0, 0)"
+    return f"""flatten(transform(sequence(0, size(_tops)), i ->
+        concat(slice({pieces}, {before} + 1, {begin} - {before}), array_repeat('', {length}))))"""
 
 
 def clean_text(docs: DataFrame, drop_queries: Sequence[str] = BOILERPLATE) -> DataFrame:

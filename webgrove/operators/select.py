@@ -51,20 +51,22 @@ def node_attr(n: Column, name: str) -> Column:
     return F.when(F.map_contains_key(n["attrs"], name), n["attrs"][name]).otherwise(F.lit(""))
 
 
-def running_end(matched: Predicate, nodes: Column | None = None) -> Column:
-    """Per element: the greatest subtree end of the matches up to and including it.
+# Distances 1, 2, 4, ... below the number of nodes.
+_STEPS = "transform(sequence(0, CAST(ceil(log2(greatest(size(nodes), 2))) AS INT) - 1), k -> CAST(pow(2, k) AS INT))"
+
+
+def running_end_sql(ends: str) -> str:
+    """SQL for a running maximum over an int array with one item per node.
 
     A doubling scan: after k rounds each place has seen 2**k places to its left.
     """
-    nodes = F.col(NODES) if nodes is None else nodes
-    ends = F.transform(nodes, lambda n: F.when(matched(n), n["last"]).otherwise(F.lit(-1)))
-    rounds = F.ceil(F.log2(F.greatest(F.size(nodes), F.lit(2)))).cast("int")
-    reach = F.transform(F.sequence(F.lit(0), rounds - 1), lambda k: F.pow(F.lit(2.0), k).cast("int"))
-    return F.aggregate(
-        reach,
-        ends,
-        lambda seen, step: F.transform(seen, lambda x, i: F.greatest(x, F.get(seen, i - step))),
-    )
+    return f"aggregate({_STEPS}, {ends}, (seen, step) -> transform(seen, (x, i) -> greatest(x, get(seen, i - step))))"
+
+
+def running_end(matched: Predicate) -> Column:
+    """Per element: the greatest subtree end of the matches up to and including it."""
+    ends = F.transform(F.col(NODES), lambda n: F.when(matched(n), n["last"]).otherwise(F.lit(-1)))
+    return F.aggregate(F.expr(_STEPS), ends, lambda seen, step: F.transform(seen, lambda x, i: F.greatest(x, F.get(seen, i - step))))
 
 
 def _with_condition(steps: list[tuple[str, Predicate]], body: Callable[[Predicate], Column]) -> Column:

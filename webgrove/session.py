@@ -28,6 +28,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """
     import webgrove
 
+    if "webgrove" in spark.__dict__.get("_configured_for", ()):
+        return spark
+    spark._configured_for = {"webgrove"}
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     ship(spark, webgrove)

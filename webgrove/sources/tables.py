@@ -10,9 +10,16 @@ from pyspark.sql.streaming.query import StreamingQuery
 from webgrove.schema import PAGES_SCHEMA, RESPONSES_SCHEMA
 
 
-def read_pages(spark: SparkSession, path: str, *, format: str = "parquet") -> DataFrame:
-    """``page_id, url, html``; only these columns are read."""
-    return spark.read.format(format).load(path).select("page_id", "url", "html")
+def read_pages(
+    spark: SparkSession, path: str, *, format: str = "parquet", schema: T.StructType | None = PAGES_SCHEMA
+) -> DataFrame:
+    """``page_id, url, html``; only these columns are read.
+
+    A known schema saves the job that looks into the files for one; pass None to
+    take the files' own types.
+    """
+    reader = spark.read.format(format)
+    return (reader.schema(schema) if schema else reader).load(path).select("page_id", "url", "html")
 
 
 def read_responses(spark: SparkSession, path: str, *, format: str = "parquet") -> DataFrame:
