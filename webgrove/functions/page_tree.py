@@ -43,6 +43,24 @@ TABLE_SCOPE = frozenset("html table template".split())
 MARKERS = frozenset("applet caption marquee object td template th".split())
 NO_REOPEN = SPECIAL - frozenset("area br button embed img input keygen select wbr applet marquee object xmp".split())
 
+# More formatting elements than this are not reopened in one block.  Without a
+# bound a page of n unclosed ones and m blocks would grow n*m elements.
+REOPENED = 32
+
+_VOID, _RAW, _CLOSES_P, _FORMATTING, _MARKER, _REOPENS, _PLACED = (1 << i for i in range(7))
+_TABLE_PARTS = frozenset("tr td th tbody thead tfoot caption col colgroup".split())
+
+
+def _kind(tag: str) -> int:
+    """The categories of a tag as bits, looked up once per tag."""
+    placed = CLOSES_P | _TABLE_PARTS | {"a", "nobr", "button", "option", "optgroup", "frame"}
+    members = ((VOID, _VOID), (RAW | RCDATA, _RAW), (CLOSES_P, _CLOSES_P), (FORMATTING, _FORMATTING), (MARKERS, _MARKER), (placed, _PLACED))
+    return sum(bit for tags, bit in members if tag in tags) + (0 if tag in NO_REOPEN else _REOPENS)
+
+
+_KINDS = {tag: _kind(tag) for tag in SPECIAL | FORMATTING | NO_REOPEN | MARKERS | _TABLE_PARTS}
+_OTHER = _kind("")
+
 _S = r"[\t\n\f\r ]"
 _TAG = re.compile(
     rf"<(/?)([A-Za-z][^\t\n\f\r />]*+)"
@@ -134,16 +152,21 @@ class PageColumns:
         self.text_offsets.append(len(self.texts))
         self.markup += page.markup
         self.markup_offsets.append(len(self.markup))
-        keep = self.only_tags
-        for row, tag, attrs in zip(page.rows, page.tag, page.attrs, strict=True):
-            if keep is None or tag in keep:
-                self.numbers.append(row)
-                self.tags.append(tag)
-                for name, value in attrs:
+        rows, tags, attrs = page.rows, page.tag, page.attrs
+        if self.only_tags is not None:
+            kept = [i for i, tag in enumerate(tags) if tag in self.only_tags]
+            rows, tags, attrs = [rows[i] for i in kept], [tags[i] for i in kept], [attrs[i] for i in kept]
+        self.numbers += rows
+        self.tags += tags
+        self.node_offsets.append(len(self.tags))
+        at = len(self.attr_names)
+        for pairs in attrs:
+            if pairs:
+                for name, value in pairs:
                     self.attr_names.append(name)
                     self.attr_values.append(value)
-                self.attr_offsets.append(len(self.attr_names))
-        self.node_offsets.append(len(self.tags))
+                at += len(pairs)
+            self.attr_offsets.append(at)
 
 
 class _Page:
@@ -159,6 +182,8 @@ class _Page:
         self.kids: list[int] = []
         self.names: list[str] = []      # open elements, outermost first
         self.ids: list[int] = []
+        self.opened: dict[str, int] = {}    # open elements by tag
+        self.closed = bytearray()           # per element, 1 once closed
         self.formatting: list[tuple[str, list, int] | None] = []   # None is a marker
         self.head = self.body = -1
         self.foreign = 0
@@ -238,16 +263,21 @@ class _Page:
         self.attrs.append(attrs)
         self.kids.append(0)
         if self.want_markup:
-            self.markup.append(_start_tag(tag, attrs))
-        if tag not in VOID:
-            self.names.append(tag)
-            self.ids.append(node)
-            if tag in MARKERS:
-                self.formatting.append(None)
-            elif tag in ("svg", "math"):
-                self.foreign += 1
-        if tag == "base" and self.base_href is None:
-            self.base_href = dict(attrs).get("href")
+            self.markup.append(_start_tag(tag, attrs) if attrs else f"<{tag}>")
+        kind = _KINDS.get(tag, _OTHER)
+        if kind & _VOID:
+            self.closed.append(1)
+            if tag == "base" and self.base_href is None:
+                self.base_href = dict(attrs).get("href")
+            return node
+        self.closed.append(0)
+        self.names.append(tag)
+        self.ids.append(node)
+        self.opened[tag] = self.opened.get(tag, 0) + 1
+        if kind & _MARKER:
+            self.formatting.append(None)
+        elif tag == "svg" or tag == "math":
+            self.foreign += 1
         return node
 
     def close(self) -> str:
@@ -259,10 +289,12 @@ class _Page:
         row[_LAST] = len(self.tag) - 1
         row[_T1] = len(self.texts)
         row[_H1] = len(self.markup)
+        self.closed[node] = 1
+        self.opened[tag] -= 1
         if tag in MARKERS:
             while self.formatting and self.formatting.pop() is not None:
                 pass
-        elif tag in ("svg", "math"):
+        elif tag == "svg" or tag == "math":
             self.foreign -= 1
         return tag
 
@@ -271,6 +303,8 @@ class _Page:
             pass
 
     def in_scope(self, tags, boundary=SCOPE) -> bool:
+        if not any(map(self.opened.get, tags)):
+            return False
         for name in reversed(self.names):
             if name in tags:
                 return True
@@ -298,11 +332,13 @@ class _Page:
         """Open the head, again if it was closed: it still takes its own elements."""
         if self.head < 0:
             self.head = self.open("head", [])
-        elif self.head not in self.ids:
+        elif self.closed[self.head]:
             if self.want_markup:
                 del self.markup[self.rows[self.head][_H1] - 1]
+            self.closed[self.head] = 0
             self.names.append("head")
             self.ids.append(self.head)
+            self.opened["head"] = 1
 
     def need_body(self) -> None:
         if self.body >= 0:
@@ -315,23 +351,33 @@ class _Page:
         self.body = self.open("body", [])
 
     def reopen_formatting(self) -> None:
-        entries = self.formatting
-        if not entries or entries[-1] is None or entries[-1][2] in self.ids:
+        entries, closed = self.formatting, self.closed
+        if entries[-1] is None or not closed[entries[-1][2]]:
             return
         at = len(entries)
-        while at and entries[at - 1] is not None and entries[at - 1][2] not in self.ids:
+        while at and entries[at - 1] is not None and closed[entries[at - 1][2]]:
             at -= 1
-        for i in range(at, len(entries)):
+        for i in range(max(at, len(entries) - REOPENED), len(entries)):
             tag, attrs, _ = entries[i]
             entries[i] = (tag, attrs, self.open(tag, attrs))
 
+    def note_formatting(self, tag: str, attrs: list, node: int) -> None:
+        """Remember an element to reopen: three alike at most, recent ones only."""
+        entries = self.formatting
+        same = [i for i, e in enumerate(entries) if e and e[0] == tag and e[1] == attrs]
+        if len(same) > 2:
+            del entries[same[0]]
+        if len(entries) > 4 * REOPENED:
+            del entries[0]
+        entries.append((tag, attrs, node))
+
     # -- tokens ------------------------------------------------------------
 
     def text(self, raw: str, decode: bool = True) -> None:
         if not raw:
             return
         text = html.unescape(raw) if decode and "&" in raw else raw
-        if self.body < 0 and "template" not in self.names:
+        if self.body < 0 and not self.opened.get("template"):
             rest = text.lstrip(_BLANK)
             blank = text[:len(text) - len(rest)]
             if blank and self.head >= 0:
@@ -370,32 +416,29 @@ class _Page:
                 self.need_body()
                 self.merge(self.body, attrs)
             return at
-        names = self.names
-        if self.body < 0 and "template" not in names:
+        kind = _KINDS.get(tag, _OTHER)
+        if self.body < 0 and not self.opened.get("template"):
             if tag in HEAD_ONLY:
                 self.need_head()
             else:
                 self.need_body()
-        if self.body >= 0 and not self.place(tag):
+        if kind & _PLACED and self.body >= 0 and not self.place(tag):
             return at
         if tag == "image":
-            tag = "img"
-        if self.body >= 0 and self.formatting and tag not in NO_REOPEN:
+            tag, kind = "img", _KINDS["img"]
+        if self.formatting and kind & _REOPENS and self.body >= 0:
             self.reopen_formatting()
         node = self.open(tag, attrs)
-        if tag in FORMATTING:
-            same = [i for i, e in enumerate(self.formatting) if e and e[0] == tag and e[1] == attrs]
-            if len(same) > 2:
-                del self.formatting[same[0]]
-            self.formatting.append((tag, attrs, node))
-        elif tag in RAW or tag in RCDATA:
+        if kind & _FORMATTING:
+            self.note_formatting(tag, attrs, node)
+        elif kind & _RAW:
             return self.raw_text(tag, src, at)
         elif tag == "plaintext":
             self.put(src[at:])
             return len(src)
-        elif tag in ("pre", "listing") and src.startswith("\n", at):
+        elif (tag == "pre" or tag == "listing") and src.startswith("\n", at):
             return at + 1
-        elif self.foreign and tag not in VOID and source.endswith("/"):
+        elif self.foreign and not kind & _VOID and source.endswith("/"):
             self.close()
         return at
 
@@ -418,29 +461,31 @@ class _Page:
 
     def place(self, tag: str) -> bool:
         """Close what the new element implies closed; False ignores the tag."""
-        names = self.names
+        names, opened = self.names, self.opened
         if tag in CLOSES_P:
             if tag == "li":
-                self.close_item(("li",))
-            elif tag in ("dd", "dt"):
+                if opened.get("li"):
+                    self.close_item(("li",))
+            elif tag == "dd" or tag == "dt":
                 self.close_item(("dd", "dt"))
-            elif tag == "form" and "form" in names and "template" not in names:
+            elif tag == "form" and opened.get("form") and not opened.get("template"):
                 return False
-            if "p" in names and self.in_scope(("p",), BUTTON_SCOPE):
+            if opened.get("p") and self.in_scope(("p",), BUTTON_SCOPE):
                 self.close_through(("p",))
             if tag in HEADINGS and names[-1] in HEADINGS:
                 self.close()
-        elif tag in ("a", "nobr", "button"):
-            if tag in names and self.in_scope((tag,)):
-                self.end(tag)
-            self.formatting = [e for e in self.formatting if e is None or e[0] != tag or tag != "a"]
-        elif tag in ("option", "optgroup"):
+        elif tag in _TABLE_PARTS:
+            return self.place_table_part(tag)
+        elif tag == "option" or tag == "optgroup":
             if names[-1] == "option":
                 self.close()
             if tag == "optgroup" and names[-1] == "optgroup":
                 self.close()
-        elif tag in ("tr", "td", "th", "tbody", "thead", "tfoot", "caption", "col", "colgroup"):
-            return self.place_table_part(tag)
+        elif tag != "frame":            # a, nobr, button
+            if opened.get(tag) and self.in_scope((tag,)):
+                self.end(tag)
+            if tag == "a":
+                self.formatting = [e for e in self.formatting if e is None or e[0] != "a"]
         return tag != "frame"
 
     def close_item(self, tags) -> None:
@@ -454,7 +499,7 @@ class _Page:
     def place_table_part(self, tag: str) -> bool:
         names = self.names
         if not self.in_scope(("table",), ("html", "template")):
-            return "template" in names
+            return bool(self.opened.get("template"))
         if tag in ("td", "th"):
             self.close_to(("tr", "tbody", "thead", "tfoot", "table", "template"))
             if names[-1] == "table":
@@ -474,27 +519,23 @@ class _Page:
         return True
 
     def end(self, tag: str) -> None:
-        names = self.names
-        if tag == "br":
+        if tag in FORMATTING:
+            self.end_formatting(tag)
+        elif tag == "br":
             self.start("br", "", "", 0)
         elif tag == "p" and self.body >= 0:
             if not self.in_scope(("p",), BUTTON_SCOPE):
                 self.open("p", [])
             self.close_through(("p",))
-        elif tag == "head":
-            if self.body < 0 and self.head in self.ids:
-                while self.head in self.ids:
-                    self.close()
-        elif tag in ("html", "body") or tag in VOID:
-            pass        # what follows still belongs to the open elements
         elif tag in HEADINGS:
             if self.in_scope(HEADINGS):
                 self.close_through(HEADINGS)
-        elif tag in FORMATTING:
-            self.end_formatting(tag)
-        elif tag not in names:
-            pass
-        elif tag in ("table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption", "colgroup"):
+        elif not self.opened.get(tag) or tag == "html" or tag == "body":
+            pass        # what follows still belongs to the open elements
+        elif tag == "head":
+            if self.body < 0:
+                self.close_through(("head",))
+        elif tag == "table" or tag in _TABLE_PARTS:
             if self.in_scope((tag,), TABLE_SCOPE):
                 self.close_through((tag,))
         elif tag in SPECIAL:
@@ -518,10 +559,10 @@ class _Page:
                 break
             if entries[i][0] == tag:
                 node = entries.pop(i)[2]
-                if node in self.ids:
+                if not self.closed[node]:
                     self.end_inline(tag)
                 return
-        if tag in self.names:
+        if self.opened.get(tag):
             self.end_inline(tag)
 
     def finish(self) -> None:

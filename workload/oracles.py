@@ -98,6 +98,7 @@ FROM pages, (VALUES ('html',0),('head',1),('title',2),('body',1),('nav',2),('ul'
 WHERE regexp_matches(html, '<'||tag||'[ >]')"""
 O["node_siblings"] = f"""SELECT page_id, CAST(unnest(range(1, k+1)) AS INTEGER) AS sib, CAST(k AS INTEGER) AS nsib, 1 AS n_below
 FROM (SELECT page_id, {n('<li>')} AS k FROM pages)"""
+O["parse_null_pages"] = f"""SELECT page_id, url LIKE '%?%' AS is_empty, CASE WHEN url LIKE '%?%' THEN 'none' ELSE {H1} END AS h1 FROM pages"""
 O["stored_docs_reuse"] = f"SELECT page_id, {TITLE} AS title, {H1} AS h1, {n('<li>')} AS n_li, {n('<a href=')} AS n_nav_links FROM pages"
 
 O["route_kinds"] = f"WITH {KINDS} SELECT page_id, kind, kind='html' AS is_html FROM k"

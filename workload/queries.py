@@ -78,6 +78,13 @@ def node_siblings(spark, sf):
     return items.select("page_id", "sib", "nsib", (F.col("last") - F.col("pre")).alias("n_below"))
 
 
+@query
+def parse_null_pages(spark, sf):
+    some = pages(spark, sf).withColumn("html", F.when(~F.col("url").contains("?"), F.col("html")))
+    return parse_pages(some, keep=("text",)).select(
+        "page_id", F.size("nodes").alias("n_nodes") == 0, css("h1::text").get("none").alias("h1")).toDF("page_id", "is_empty", "h1")
+
+
 @query
 def stored_docs_reuse(spark, sf):
     stored = store_docs(docs(spark, sf), run_folder(spark, "docs") + "/docs")
