@@ -195,22 +195,29 @@ def _decode_one(body: bytes, charset: str | None) -> str:
         return body.decode("cp1252", "replace")
 
 
-def body_text() -> Column:
-    """The body as text: byte order mark, then declared charset, then UTF-8, then
-    Windows-1252.  Valid UTF-8 never leaves the JVM."""
-    body = F.col("body")
-    text = body.cast("string")
+def declared_charset() -> Column:
+    """The charset named by the content type, else by a meta tag, else ""."""
     in_header = F.lower(F.regexp_extract(header("content-type"), r"(?i)charset\s*=\s*[\"']?([\w.:-]+)", 1))
-    in_body = F.lower(F.regexp_extract(F.decode(body, "ISO-8859-1"), r"(?i)<meta[^>]{1,200}charset\s*=\s*[\"']?([\w.:-]+)", 1))
-    declared = F.when(F.length(in_header) > 0, in_header).otherwise(in_body)
+    in_body = F.lower(F.regexp_extract(
+        F.decode("body", "ISO-8859-1"), r"(?i)<meta[^>]{1,200}charset\s*=\s*[\"']?([\w.:-]+)", 1))
+    return F.when(F.length(in_header) > 0, in_header).otherwise(in_body)
+
+
+def with_text(responses: DataFrame, name: str = "html") -> DataFrame:
+    """Add the body as text: byte order mark, then declared charset, then UTF-8,
+    then Windows-1252.  The bytes of valid UTF-8 never leave the JVM."""
+    body, text = F.col("body"), F.col("body").cast("string")
     marked = F.substring(body, 1, 3).isin(F.unhex(F.lit("EFBBBF"))) | F.substring(body, 1, 2).isin(
         F.unhex(F.lit("FFFE")), F.unhex(F.lit("FEFF")))
-    direct = declared.isin("", "utf-8", "utf8") & F.is_valid_utf8(text) & ~marked
-    return F.when(direct, text).otherwise(_decode(F.when(~direct, body), F.when(~direct, declared)))
+    work = responses.withColumn("_charset", declared_charset())
+    work = work.withColumn("_direct", F.col("_charset").isin("", "utf-8", "utf8") & F.is_valid_utf8(text) & ~marked)
+    other = ~F.col("_direct")
+    decoded = _decode(F.when(other, body), F.when(other, F.col("_charset")))
+    return work.withColumn(name, F.when(F.col("_direct"), text).otherwise(decoded)).drop("_charset", "_direct")
 
 
 def to_pages(classified: DataFrame, *, carry: Iterable[str] = ()) -> DataFrame:
     """HTML rows as ``page_id, url, html``; the URL is the id where there is none."""
-    html = classified.where("is_html")
+    html = with_text(classified.where("is_html"))
     page_id = F.col("page_id") if "page_id" in classified.columns else F.col("url")
-    return html.select(page_id.alias("page_id"), "url", body_text().alias("html"), *carry)
+    return html.select(page_id.alias("page_id"), "url", "html", *carry)
