@@ -1,5 +1,7 @@
 """String and URL functions."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +28,23 @@ def test_strip_and_nofollow(spark):
         True, True, True, False, False, False]
 
 
+@pytest.mark.parametrize("pattern", [
+    r"\w+", r"(\d)(\D)?", r"(?P<one_name>[a-zé]+)\s(?P<b2>\w+)", r"(?P<q>['\"]).*?(?P=q)", r"[^]x]+", r"[[\]&&]+", r"(?i)É\w", r"x.y", r"\w+\Z",
+    r"^\w+$", r"\bü\w*", r"(?m)^\w", r"(?P<extract>\w)\w+", r"[\w.-]+@[\w-]+",
+])
+def test_patterns_mean_what_they_mean_in_python(spark, pattern):
+    texts = ["für den é2 ٣", "x\ry x\ny", "a 'q' \"r\" [&]x]", "é", "last\n", "a.b-c@d-e É7", ""]
+
+    def python(text):
+        found = re.compile(pattern)
+        if "extract" in found.groupindex:
+            first = found.search(text)
+            return [first.group("extract")] if first else []
+        return [g for m in found.findall(text) for g in (m if isinstance(m, tuple) else (m,))]
+
+    assert values(spark, captures(F.col("v"), pattern), texts) == [python(t) for t in texts]
+
+
 def test_captures_of_null(spark):
     assert values(spark, captures(F.col("v"), r"(a)(b)?"), ["abxa", None]) == [["a", "b", "a", ""], []]
 

@@ -36,14 +36,44 @@ def has_nofollow(rel: Column) -> Column:
 
 
 def jvm_pattern(regex: str) -> str:
-    """Spell named groups the way Spark's regex functions read them."""
-    return re.sub(r"\(\?P<(\w+)>", r"(?<\1>", regex)
+    """A Python pattern as Spark's regex functions read it.
+
+    Character classes are Unicode's and only a newline ends a line, as in Python;
+    named groups become plain ones, and ``[`` and ``&`` inside a class literal.
+    """
+    numbers = re.compile(regex).groupindex
+    out, at, in_class = ["(?Ud)"], 0, False
+    while at < len(regex):
+        char, size = regex[at], 1
+        if char == "\\":
+            size = 2
+            out.append("\\z" if regex[at:at + 2] == "\\Z" else regex[at:at + 2])
+        elif in_class:
+            in_class = char != "]"
+            out.append("\\" + char if char in "[&" else char)
+        elif char == "[":
+            in_class = True
+            size += regex.startswith("^", at + 1)
+            out.append(regex[at:at + size])
+            if regex.startswith("]", at + size):        # first in a class: literal
+                out.append("\\]")
+                size += 1
+        elif named := re.match(r"\(\?P<\w+>", regex[at:]):
+            size = named.end()
+            out.append("(")
+        elif named := re.match(r"\(\?P=(\w+)\)", regex[at:]):
+            size = named.end()
+            out.append(f"(?:\\{numbers[named.group(1)]})")
+        else:
+            out.append(char)
+        at += size
+    return "".join(out)
 
 
 def captures(value: Column, regex: str) -> Column:
     """Captures of every match, as an array: the groups of each match in turn, or
     the whole match without groups.  A group named ``extract`` means the first
-    match of that group alone.  The pattern is Java's dialect apart from names.
+    match of that group alone.
     """
     compiled = re.compile(regex)
     pattern = jvm_pattern(regex)

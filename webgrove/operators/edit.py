@@ -20,14 +20,15 @@ _ENDS = running_end_sql("transform(_hit, (hit, i) -> IF(hit, nodes[i].last, -1))
 # The outermost dropped elements, in document order.
 _TOPS = """filter(nodes, n -> get(_ends, n.pre) >= n.pre AND NOT coalesce(get(_ends, n.pre - 1) >= n.pre, false))"""
 
-_NODES = """transform(nodes, n -> named_struct(
+# Elements that are neither dropped nor beside a dropped one stay as they are.
+_NODES = """transform(nodes, n -> IF(get(_ends, n.pre) < n.pre AND NOT array_contains(_parents, n.parent), n, named_struct(
     'pre', n.pre, 'last', n.last, 'parent', n.parent, 'depth', n.depth,
     'sib', n.sib - IF(array_contains(_parents, n.parent), size(filter(_tops, t -> t.parent = n.parent AND t.sib < n.sib)), 0),
     'nsib', n.nsib - IF(array_contains(_parents, n.parent), size(filter(_tops, t -> t.parent = n.parent)), 0),
     'tag', IF(get(_ends, n.pre) >= n.pre, NULL, n.tag),
     'attrs', IF(get(_ends, n.pre) >= n.pre, NULL, n.attrs),
     'attr_names', IF(get(_ends, n.pre) >= n.pre, NULL, n.attr_names),
-    't0', n.t0, 't1', n.t1, 'h0', n.h0, 'h1', n.h1))"""
+    't0', n.t0, 't1', n.t1, 'h0', n.h0, 'h1', n.h1)))"""
 
 
 def drop(docs: DataFrame, *queries: str) -> DataFrame:

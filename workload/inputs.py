@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gzip
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -77,5 +78,4 @@ def run_folder(spark: SparkSession, name: str) -> str:
         base = shared_folder(spark)
     except ValueError:
         return tempfile.mkdtemp(prefix=f"run-{name}-")
-    stamp = spark.sql("SELECT uuid()").first()[0]
-    return f"{base}/{name}-{stamp}"
+    return f"{base}/{name}-{uuid.uuid4()}"

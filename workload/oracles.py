@@ -210,7 +210,7 @@ O["link_tags_attrs"] = derived("true", unique=False, scan="tag IN ('a','link')")
 O["records"] = f"""WITH {ANCHORS} SELECT page_id, pos, text AS label, href, CAST(NULL AS VARCHAR) AS missing,
 CASE WHEN regexp_matches(text,'[a-z]{{4,}}') THEN regexp_extract(text,'[a-z]{{4,}}') ELSE 'none' END AS word FROM a"""
 O["page_fields"] = f"""SELECT page_id, url, {TITLE} AS title, {H1} AS h1, CAST(NULL AS VARCHAR) AS price, {LANG} AS lang,
-CASE WHEN regexp_matches({H1},'^[A-Za-z0-9_]') THEN regexp_extract({H1},'^([A-Za-z0-9_]+)',1) ELSE 'none' END AS first_word FROM pages"""
+CASE WHEN regexp_matches({H1},'^[\\pL\\pN_]') THEN regexp_extract({H1},'^([\\pL\\pN_]+)',1) ELSE 'none' END AS first_word FROM pages"""
 O["crawl_rules"] = f"""WITH {UNIQUE}, e AS (SELECT *, CASE WHEN regexp_matches(url,'/th') THEN 0 WHEN regexp_matches(url,'/[a-z]{{1,3}}$') THEN 1
 WHEN NOT regexp_matches(url,'%') THEN 2 END AS rule FROM d)
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY rule, pos)-1 AS INTEGER) AS pos, CAST(rule AS INTEGER) AS rule,
