@@ -171,6 +171,20 @@ def test_unknown_forms_are_refused(query):
         css(query)
 
 
+def test_outer_html_needs_the_markup(docs):
+    text_only = docs.drop("markup")
+    assert select(text_only, "h1::text").count() == 2
+    with pytest.raises(ValueError, match="keep"):
+        select(text_only, "h1::text, p")
+
+
+def test_many_siblings(spark):
+    html = "<ul>" + "<li class=a>x<li>y" * 4000 + "</ul>"
+    docs = parse_pages(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"))
+    got = docs.select(css("li.a + li").count(), css("li + li").count(), css("li.a ~ li").count(), css("li ~ li.a").count()).first()
+    assert tuple(got) == (4000, 7999, 7999, 3999)
+
+
 def test_selection_is_lazy():
     assert isinstance(css("a").css("b"), Selection)
 

@@ -63,10 +63,40 @@ def running_end_sql(ends: str) -> str:
     return f"aggregate({_STEPS}, {ends}, (seen, step) -> transform(seen, (x, i) -> greatest(x, get(seen, i - step))))"
 
 
+def running_max(values: Column) -> Column:
+    """``running_end_sql`` for a Column."""
+    return F.aggregate(F.expr(_STEPS), values, lambda seen, step: F.transform(
+        seen, lambda x, i: F.greatest(x, F.get(seen, i - step))))
+
+
 def running_end(matched: Predicate) -> Column:
     """Per element: the greatest subtree end of the matches up to and including it."""
-    ends = F.transform(F.col(NODES), lambda n: F.when(matched(n), n["last"]).otherwise(F.lit(-1)))
-    return F.aggregate(F.expr(_STEPS), ends, lambda seen, step: F.transform(seen, lambda x, i: F.greatest(x, F.get(seen, i - step))))
+    return running_max(F.transform(F.col(NODES), lambda n: F.when(matched(n), n["last"]).otherwise(F.lit(-1))))
+
+
+def beside(matched: Predicate, *, adjacent: bool) -> Column:
+    """Per element: is the sibling before it (or any earlier one) a match.
+
+    Elements are put in sibling order, each looks to its left, and the answers go
+    back into document order; no sibling is compared with all the others.
+    """
+    order = F.array_sort(F.transform(F.col(NODES), lambda n: F.struct(
+        F.when(n["tag"].isNotNull(), n["parent"]).otherwise(F.lit(-2)).alias("parent"),    # dropped ones apart
+        n["pre"].alias("pre"),
+        F.coalesce(matched(n), F.lit(False)).alias("hit"),
+    )))
+
+    def answers(s: Column, left: Callable[[Column], Column]) -> Column:
+        found = F.transform(s, lambda x, i: F.struct(
+            x["pre"].alias("pre"),
+            F.coalesce(left(i)["hit"] & (left(i)["parent"] == x["parent"]), F.lit(False)).alias("hit")))
+        return F.transform(F.array_sort(found), lambda x: x["hit"])
+
+    if adjacent:
+        return let(order, lambda s: answers(s, lambda i: F.get(s, i - 1)))
+    return let(order, lambda s: let(
+        running_max(F.transform(s, lambda x, i: F.when(x["hit"], i).otherwise(F.lit(-1)))),
+        lambda nearest: answers(s, lambda i: F.get(s, F.get(nearest, i - 1)))))
 
 
 def _with_condition(steps: list[tuple[str, Predicate]], body: Callable[[Predicate], Column]) -> Column:
@@ -84,12 +114,8 @@ def _with_condition(steps: list[tuple[str, Predicate]], body: Callable[[Predicat
         if combinator == ">":
             flags = F.transform(F.col(NODES), lambda n: F.coalesce(condition(n), F.lit(False)))
             return let(flags, lambda f: go(i + 1, lambda n: own(n) & F.get(f, n["parent"])))
-        left = F.filter(F.col(NODES), condition)
-        if combinator == "+":
-            return let(left, lambda ms: go(i + 1, lambda n: own(n) & F.exists(
-                ms, lambda m: (m["parent"] == n["parent"]) & (m["sib"] == n["sib"] - 1))))
-        return let(left, lambda ms: go(i + 1, lambda n: own(n) & F.exists(
-            ms, lambda m: (m["parent"] == n["parent"]) & (m["sib"] < n["sib"]))))
+        flags = beside(condition, adjacent=combinator == "+")
+        return let(flags, lambda f: go(i + 1, lambda n: own(n) & F.get(f, n["pre"])))
 
     return go(1, steps[0][1])
 
@@ -299,6 +325,14 @@ def _in_context(pre: Column, flags: Column | None, read: int) -> Column:
     return F.transform(F.filter(below, lambda j: F.get(flags, j)), lambda j: _ref(j, read))
 
 
+def require_pieces(docs: DataFrame, *queries: str) -> None:
+    """Say early, and clearly, that outer HTML was not kept by the parse."""
+    for query in queries:
+        if "markup" not in docs.columns and any(p.read == "html" for p in selectors.parse(query)):
+            raise ValueError(f"{query!r} reads outer HTML: parse with keep=(\"text\", \"html\"), or read ::text or ::attr()")
+
+
 def select(docs: DataFrame, query: str, *, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """One row per match: ``page_id, pos, pre, tag, value`` with ``pos`` from 0."""
+    require_pieces(docs, query)
     return explode_structs(docs, css(query).elements(), keep=keep).drop("attrs")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from webgrove.functions import selectors
 from webgrove.functions.text import captures, decode_entities
 from webgrove.operators.rows import explode_structs
-from webgrove.operators.select import Selection, _reads, css, let, with_matchers
+from webgrove.operators.select import Selection, _reads, css, let, require_pieces, with_matchers
 
 
 @dataclass(frozen=True)
@@ -37,8 +37,9 @@ def extract_page_fields(
     docs: DataFrame, fields: Mapping[str, FieldLike], *, keep: tuple[str, ...] = ("page_id", "url")
 ) -> DataFrame:
     """One row per page: the kept columns and each field read in the whole document."""
-    columns = []
-    for name, f in _fields(fields).items():
+    columns, fields = [], _fields(fields)
+    require_pieces(docs, *(f.query for f in fields.values()))
+    for name, f in fields.items():
         found = css(f.query)
         if f.regex:
             value = found.re(f.regex) if f.many else found.re_first(f.regex, f.default)
@@ -57,6 +58,7 @@ def extract_records(
     is not copied once per record.
     """
     fields = _fields(fields)
+    require_pieces(docs, *(f.query for f in fields.values()))
     names = list(fields)
 
     def build(i: int, inside: list[Callable[[Column], Column]]) -> Column:
