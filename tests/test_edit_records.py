@@ -67,6 +67,13 @@ def test_drop_equals_parsing_what_is_left(spark):
     assert first == second
 
 
+def test_dropping_every_other_of_many_siblings(spark):
+    docs = drop(docs_of(spark, "<ul>" + "<li class=x>x<li>y" * 4000 + "</ul>"), ".x")
+    got = docs.select(css("li").count(), css("li:nth-child(4000)::text").get(), css("li:last-child").count(),
+                      css("li:nth-last-child(4000)").count(), css("li + li").count()).first()
+    assert tuple(got) == (4000, "y", 1, 1, 3999)
+
+
 def test_drop_without_markup(spark):
     docs = docs_of(spark, "<p>a</p><nav>b</nav>c", keep=("text",))
     assert drop(docs, "nav").columns == docs.columns

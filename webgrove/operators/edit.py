@@ -20,11 +20,31 @@ _ENDS = running_end_sql("transform(_hit, (hit, i) -> IF(hit, nodes[i].last, -1))
 # The outermost dropped elements, in document order.
 _TOPS = """filter(nodes, n -> get(_ends, n.pre) >= n.pre AND NOT coalesce(get(_ends, n.pre - 1) >= n.pre, false))"""
 
-# Elements that are neither dropped nor beside a dropped one stay as they are.
+# Sibling numbers anew.  What is left is put in sibling order (dropped elements
+# aside); an element's place is its distance from the start of its run, seen from
+# the left and from the right.
+_ORDER = """array_sort(transform(nodes, n ->
+    struct(IF(n.tag IS NULL OR get(_ends, n.pre) >= n.pre, -2, n.parent) AS parent, n.pre AS pre)))"""
+
+
+def _run_starts(order: str) -> str:
+    return running_end_sql(f"transform({order}, (x, i) -> IF(get({order}, i - 1).parent <=> x.parent, -1, i))")
+
+
+# Bound with one-item arrays: a column used once inside a lambda would be inlined
+# there by the optimizer and computed again for every element.
+_PLACES = f"""get(transform(array({_ORDER}), o ->
+    get(transform(array(struct(
+            {_run_starts("o")} AS here,
+            get(transform(array(reverse(o)), r -> {_run_starts("r")}), 0) AS back)), s ->
+        array_sort(transform(o, (x, i) -> struct(
+            x.pre AS pre, i - get(s.here, i) + 1 AS sib, size(o) - i - get(s.back, size(o) - 1 - i) AS left)))), 0)), 0)"""
+
+# Elements not beside a dropped one stay as they are.
 _NODES = """transform(nodes, n -> IF(get(_ends, n.pre) < n.pre AND NOT array_contains(_parents, n.parent), n, named_struct(
     'pre', n.pre, 'last', n.last, 'parent', n.parent, 'depth', n.depth,
-    'sib', n.sib - IF(array_contains(_parents, n.parent), size(filter(_tops, t -> t.parent = n.parent AND t.sib < n.sib)), 0),
-    'nsib', n.nsib - IF(array_contains(_parents, n.parent), size(filter(_tops, t -> t.parent = n.parent)), 0),
+    'sib', get(_places, n.pre).sib,
+    'nsib', get(_places, n.pre).sib + get(_places, n.pre).left - 1,
     'tag', IF(get(_ends, n.pre) >= n.pre, NULL, n.tag),
     'attrs', IF(get(_ends, n.pre) >= n.pre, NULL, n.attrs),
     'attr_names', IF(get(_ends, n.pre) >= n.pre, NULL, n.attr_names),
@@ -45,7 +65,7 @@ def drop(docs: DataFrame, *queries: str) -> DataFrame:
         docs.withColumn("_hit", any_of(parts, lambda condition: F.transform("nodes", condition)))
         .withColumn("_ends", F.expr(_ENDS))
         .withColumn("_tops", F.expr(_TOPS))
-        .withColumn("_parents", F.array_distinct("_tops.parent"))
+        .withColumns({"_parents": F.array_distinct("_tops.parent"), "_places": F.expr(_PLACES)})
     )
     edited = {"texts": _emptied("texts", "t"), "markup": _emptied("markup", "h"), "nodes": _NODES}
     return work.select(*(
