@@ -68,8 +68,12 @@ def drop(docs: DataFrame, *queries: str) -> DataFrame:
         .withColumns({"_parents": F.array_distinct("_tops.parent"), "_places": F.expr(_PLACES)})
     )
     edited = {"texts": _emptied("texts", "t"), "markup": _emptied("markup", "h"), "nodes": _NODES}
-    return work.select(*(
-        F.expr(f"IF(size(_tops) = 0, {c}, {edited[c]})").alias(c) if c in edited else c for c in docs.columns))
+    changed = F.struct(*(
+        F.expr(f"IF(size(_tops) = 0, {c}, {edited[c]})").alias(c) for c in docs.columns if c in edited))
+    # A one-row generator, so that later reads see plain columns: the optimizer
+    # would otherwise inline an edited column into a lambda that reads it once.
+    rows = work.select(*(c for c in docs.columns if c not in edited), F.inline_outer(F.array(changed)))
+    return rows.select(*docs.columns)
 
 
 def _emptied(pieces: str, bound: str) -> str:
