@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webgrove.llm import decontaminate, jaccard, packing, quality, sharding, tokens
+from webgrove.llm import chat, decontaminate, jaccard, packing, quality, sharding, tokens, urls, warc
 from webgrove.llm.common import table
 
 
@@ -16,6 +16,15 @@ def vocabulary(name: str) -> str:
     return path(name)
 
 
+def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], said.schema)
+    windows = chat.chat_windows(
+        said.unionByName(added), json_file=vocabulary("byte_bpe_50k.json"), rank_file=vocabulary("byte_bpe_50k.tiktoken"))
+    return chat.read_back(windows)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -39,6 +48,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.array_sort("item_ids")).cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_and_read(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.filter_urls(table(spark, sf_dir, "pages", "page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), model_file=vocabulary("piece_bpe_32k.model"))
 
@@ -49,10 +68,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_windows": op1_chat_windows,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op7_warc": op7_warc,
+    "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
 }
