@@ -65,7 +65,7 @@ f AS (SELECT doc_id, b, count(*) AS c FROM grams JOIN bucket USING (g) GROUP BY
 trusted AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND toxic = 0),
 raw AS (SELECT b, sum(c) AS r FROM f GROUP BY b),
 target AS (SELECT b, sum(c) AS t FROM f SEMI JOIN trusted USING (doc_id) GROUP BY b),
-ratio AS (SELECT raw.b, ln((coalesce(t, 0) + {SMOOTHING}) / ((SELECT sum(t) FROM target) + {SMOOTHING * BUCKETS})) - ln((r + {SMOOTHING}) / ((SELECT sum(r) FROM raw) + {SMOOTHING * BUCKETS})) AS v
+ratio AS (SELECT raw.b, ln((coalesce(t, 0) + {SMOOTHING}) / (r * (SELECT sum(t) FROM target) / (SELECT sum(r) FROM raw) + {SMOOTHING})) AS v
     FROM raw LEFT JOIN target ON raw.b = target.b),
 score AS (SELECT doc_id, sum(c * v) / sum(c) AS score FROM f JOIN ratio ON f.b = ratio.b GROUP BY doc_id),
 win AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS g FROM d WHERE len(w) >= 3),
@@ -85,9 +85,9 @@ WITH lowered AS (SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(
 items AS (SELECT id AS item_id, w, least(13, len(w)) AS k FROM lowered WHERE kind = 'b' AND len(w) > 0),
 windows AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM items),
 sizes AS (SELECT DISTINCT k FROM windows),
-at AS (SELECT id AS doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+places AS (SELECT id AS doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
     FROM lowered, sizes WHERE kind = 'd' AND len(w) >= k),
-hits AS (SELECT doc_id, i, at.k, item_id FROM at JOIN windows USING (g, k)),
+hits AS (SELECT doc_id, i, places.k, item_id FROM places JOIN windows USING (g, k)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
 own AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
 SELECT d.id AS doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,

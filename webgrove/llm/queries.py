@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webgrove.llm import chat, decontaminate, jaccard, packing, quality, sharding, tokens, urls, warc
+from webgrove.llm import chat, decontaminate, jaccard, packing, pii, quality, sharding, tokens, urls, warc
 from webgrove.llm.common import table
 
 
+#: The queries' key; real runs bring a secret of their own.
+SURROGATE_KEY = b"a key for the registered queries"
+
+
 def vocabulary(name: str) -> str:
     """A public tokenizer's file; the package that holds it is installed on every executor."""
     from public_tokenizers import path
@@ -40,6 +44,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents", "doc_id", "text"), key=SURROGATE_KEY)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"), keep_text=False)
@@ -72,6 +80,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
+    "op5_surrogates": op5_surrogates,
     "op6_decontamination": op6_decontamination,
     "op7_warc": op7_warc,
     "op8_url_filter": op8_url_filter,

@@ -78,7 +78,8 @@ def counter(model_file: str) -> PieceCounter:
 class Block:
     """Documents and their pre-token frequencies until the block is full."""
 
-    def __init__(self) -> None:
+    def __init__(self, most_docs: int) -> None:
+        self.most_docs = most_docs
         self.words: defaultdict[str, int] = defaultdict(count().__next__)
         self.ids: list = []
         self.sizes: list[int] = []
@@ -99,7 +100,7 @@ class Block:
         self.sizes.append(len(raw))
         self.feeds.append(text.count("\n"))
         self.bytes += len(raw)
-        return len(self.words) >= BLOCK_WORDS or len(self.ids) >= BLOCK_DOCS or self.bytes >= BLOCK_BYTES
+        return len(self.words) >= BLOCK_WORDS or len(self.ids) >= self.most_docs or self.bytes >= BLOCK_BYTES
 
     def buckets(self, n_buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
         """Per bucket: words, number of documents of each word, these documents, frequencies."""
@@ -130,7 +131,7 @@ class Block:
                    per_word[a:b].astype(np.uint32).tobytes(), doc[i:j].tobytes(), times[i:j].tobytes())
 
 
-def count_tokens(docs: DataFrame, *, model_file: str, limit: int = LIMIT) -> DataFrame:
+def count_tokens(docs: DataFrame, *, model_file: str, limit: int = LIMIT, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit``, a row per document.
 
     ``n_tokens`` is what the vocabulary's library gives for the whole text without begin
@@ -155,11 +156,11 @@ def count_tokens(docs: DataFrame, *, model_file: str, limit: int = LIMIT) -> Dat
                 yield bucket, number, *arrays, None, None, None
 
         def rows() -> Iterator[tuple]:
-            block = Block()
+            block = Block(block_docs)
             for doc_id, text in rows_of(batches, "doc_id", "text"):
                 if block.add(doc_id, text_bytes(text)):
                     yield from emit(block)
-                    block = Block()
+                    block = Block(block_docs)
             if block.ids:
                 yield from emit(block)
 
@@ -187,7 +188,7 @@ def count_tokens(docs: DataFrame, *, model_file: str, limit: int = LIMIT) -> Dat
     def to_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for _, shares in runs(rows_of(batches, "block", "shares", "ids", "sizes", "feeds"), 1):
-                total = np.zeros(BLOCK_DOCS, dtype=np.int64)
+                total = np.zeros(1 << 16, dtype=np.int64)         # documents have 16-bit numbers in their block
                 for _, packed, own_ids, own_sizes, own_feeds in shares:
                     if packed is None:
                         ids, sizes, feeds = own_ids, own_sizes, own_feeds
