@@ -34,7 +34,7 @@ def test_rules_first_wins(spark):
 
 
 def test_rules_share_one_url_pass(spark):
-    docs = parse_pages(pages_of(spark, ("http://e.com", PAGE)), balance=False)
+    docs = parse_pages(pages_of(spark, ("http://e.com", PAGE)))
     plan = apply_rules(docs, (Rule({"allow": "a"}), Rule({"deny": "b"}, callback="x"), Rule()))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
 
@@ -61,6 +61,12 @@ def test_graph_and_degrees(spark):
     assert [tuple(r) for r in top_links(links, 2).collect()] == [("http://b.com/x", 2), ("http://a.com/1", 1)]
 
 
+def test_pages_are_counted_after_links_were_filtered(spark):
+    pages = pages_of(spark, ("http://a.com/1", '<a href="/x" rel=nofollow>1</a><a href="/y">2</a>'), ("http://a.com/2", '<a href="/y">1</a>'))
+    links = links_from_pages(pages, keep=("page_id", "url")).where("not nofollow")
+    assert [tuple(r) for r in host_summary(links).collect()] == [("a.com", 2, 2, 1)]
+
+
 def test_profiles(spark):
     docs = parse_pages(pages_of(spark, ("u", "<p>a<p class=x>b<i>c</i>"), ("u", "<p id=y class=z>"), ("u", None)))
     tags = {r.tag: (r.n_elements, r.n_pages) for r in tag_profile(docs).collect()}

@@ -1,10 +1,14 @@
 """Link extraction."""
 
+import re
+from urllib.parse import urljoin
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import LINKS
 from webgrove import extract_links, iter_links, links_from_pages, parse_pages, restrict_domains
+from webgrove.functions.urls import safe_url
 from webgrove.operators.links import LinkOptions, candidates, in_domains
 
 
@@ -21,8 +25,8 @@ def links(spark):
     return run
 
 
-ALL = ["http://example.com/home", "http://example.com/about", "http://example.com/contact", "http://example.com/products",
-       "http://external.com/page", "http://example.com/privacy", "http://example.com/sitemap"]
+ALL = ["http://example.com/trees", "http://example.com/press", "http://example.com/visit", "http://example.com/cider",
+       "http://maps.example.org/road", "http://example.com/plan", "http://example.com/legal"]
 
 
 def test_all_links_in_document_order(links):
@@ -30,10 +34,16 @@ def test_all_links_in_document_order(links):
 
 
 def test_allow_and_deny(links):
-    assert links(LINKS, allow=r"/products") == [ALL[3]]
-    assert links(LINKS, deny=r"/privacy") == ALL[:5] + ALL[6:]
-    assert links(LINKS, allow=[r"/products", r"/ab(?P<rest>out)"]) == [ALL[1], ALL[3]]
-    assert links(LINKS, allow=r"example", deny=(r"/home", r"/con")) == [ALL[1], ALL[3], ALL[5], ALL[6]]
+    assert links(LINKS, allow=r"/cider") == [ALL[3]]
+    assert links(LINKS, deny=r"/plan") == ALL[:5] + ALL[6:]
+    assert links(LINKS, allow=[r"/cider", r"/pr(?P<rest>ess)"]) == [ALL[1], ALL[3]]
+    assert links(LINKS, allow=r"example\.com", deny=(r"/trees", r"/vis")) == [ALL[1], ALL[3], ALL[5], ALL[6]]
+
+
+def test_compiled_patterns(links):
+    assert links(LINKS, allow=re.compile("/CIDER", re.I)) == [ALL[3]]
+    assert links(LINKS, allow=[re.compile("/c.{,3}er"), "/legal"]) == [ALL[3], ALL[6]]
+    assert links(LINKS, deny=re.compile("""example . com   # this site""", re.X)) == [ALL[4]]
 
 
 def test_domains(links):
@@ -142,6 +152,24 @@ def test_domain_table_with_a_hot_host(spark):
     assert (kept.count(), dropped.count()) == (want, 3000 - want)
 
 
+def test_domain_table_parses_once(spark):
+    html = "".join(f'<a href="http://{h}/x">t</a>' for h in ("a.hot.com", "hot.com", "cold.com"))
+    pages = spark.createDataFrame([(i, "http://e.com", html) for i in range(40)], "page_id long, url string, html string")
+    domains = spark.createDataFrame([("HOT.com",)], "domain string")
+    kept = restrict_domains(links_from_pages(pages), domains)
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()      # the links were stored
+    assert kept.count() == 80 and kept.columns == ["page_id", "pos", "url", "text", "nofollow"]
+
+
+def test_only_hard_urls_go_to_python(links):
+    html = "".join(f'<a href="{u}">x</a>' for u in ("/plain", "/a/./b", "/a/../c", "//o.com/d", "/e f", "/g?h=i", "/j/", "/k.l", "/m..n", "/é", "/%41", "/o;p"))
+    for base in ("http://example.com/x/y", "HTTP://EXAMPLE.com/x", "http://u:p@example.com/", "http://example.com:8080", "https://a-b.example.com?q"):
+        want = []
+        for value in re.findall('href="([^"]*)"', html):
+            want.append(urljoin(base, safe_url(urljoin(base, value))))
+        assert links(html, url=base, unique=False) == want, base
+
+
 def test_bad_pattern_fails_early():
     with pytest.raises(Exception, match="unterminated|missing"):
         LinkOptions(allow="(")
@@ -149,7 +177,7 @@ def test_bad_pattern_fails_early():
 
 def test_a_filter_on_links_does_not_repeat_the_url_pass(spark):
     pages = spark.createDataFrame([(1, "http://e.com", "<a href=/x>t")], "page_id long, url string, html string")
-    found = links_from_pages(pages, balance=False).where("url like '%x'")
+    found = links_from_pages(pages).where("url like '%x'")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
     assert found.count() == 1

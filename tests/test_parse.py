@@ -2,6 +2,8 @@
 
 import random
 
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -137,12 +139,12 @@ def test_parse_pages_rows(spark):
     docs = parse_pages(pages)
     assert docs.columns == ["page_id", "url", "base_url", "texts", "markup", "nodes"]
     got = {r.page_id: (r.base_url, r.n) for r in docs.select("page_id", "base_url", F.size("nodes").alias("n")).collect()}
-    assert got == {1: ("http://example.com", 18), 2: ("http://example.com/2", 0), 3: (None, 4),
+    assert got == {1: ("http://example.com", 19), 2: ("http://example.com/2", 0), 3: (None, 4),
                    4: ("http://e.com/c/", 4), 5: ("http://e.com/a", 5)}
     assert "markup" not in parse_pages(pages, keep=("text",)).columns
     assert docs.select(css("*").count()).where("page_id = 2").first()[0] == 0
     tags = [r.tag for r in nodes(docs).where("page_id = 1").orderBy("pre").collect()]
-    assert tags[:6] == ["html", "head", "title", "link", "link", "body"]
+    assert tags[:6] == ["html", "head", "meta", "title", "link", "link"]
 
 
 def test_carried_columns_and_contract(spark):
@@ -162,7 +164,7 @@ def test_result_does_not_depend_on_partitioning(spark):
         F.concat(F.lit("<ul>"), F.repeat(F.lit("<li><a href=/x>t</a>"), F.col("id").cast("int"))).alias("html"))
     runs = []
     for parts in (1, 7):
-        docs = parse_pages(pages.repartition(parts), balance=False)
+        docs = parse_pages(pages.repartition(parts))
         runs.append(sorted(docs.select("page_id", css("li a").count()).collect()))
     assert runs[0] == runs[1]
     assert [r[1] for r in runs[0]] == list(range(60))
@@ -172,5 +174,27 @@ def test_large_pages_are_split_over_output_batches(spark):
     pages = spark.range(6).select(
         F.col("id").alias("page_id"), F.lit("http://e.com").alias("url"),
         F.repeat(F.lit("<p class=x>some text here</p>"), 100_000).alias("html"))
-    got = parse_pages(pages.coalesce(1), balance=False).select("page_id", F.size("nodes"), css("p:last-child::text").get()).collect()
+    got = parse_pages(pages.coalesce(1)).select("page_id", F.size("nodes"), css("p:last-child::text").get()).collect()
     assert sorted(got) == [(i, 100_003, "some text here") for i in range(6)]
+
+
+@pytest.mark.parametrize("n", [40, 200])
+def test_all_unclosed_formatting_is_reopened(n):
+    source = "<p>" + "".join(f"<b id={i}>" for i in range(n)) + "x<p>y"
+    assert [r["tag"] for r in tree(source)[1]].count("b") == 2 * n
+    alike = "<p>" + "<b>" * n + "x<p>y"
+    assert [r["tag"] for r in tree(alike)[1]].count("b") == n + 3
+
+
+def test_many_unclosed_elements_stay_cheap():
+    many = "".join(f"<i id={i}>" for i in range(20_000)) + "".join("</b><a href=x>y</a>" for _ in range(3000))
+    start = time.perf_counter()
+    assert len(tree(many)[1]) == 23_003
+    assert time.perf_counter() - start < 10
+
+
+def test_invalid_bytes_end_no_job(spark):
+    pages = spark.createDataFrame([(1, "http://e.com/", "x")], "page_id long, url string, html string").withColumn(
+        "html", F.concat(F.lit("<p>a".encode()), F.unhex(F.lit("FF")), F.lit("b<a href=/c>d".encode())).cast("string"))
+    docs = parse_pages(pages)
+    assert docs.select(css("p::text").get()).first()[0] == "a\ufffdbd"

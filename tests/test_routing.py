@@ -3,11 +3,13 @@
 import gzip
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from webgrove import classify_html, css, decompress, html_only, links_from_pages, parse_pages, split_html, to_pages
+from webgrove.operators.routing import _with_plain
 from webgrove.schema import RESPONSES_SCHEMA
 from webgrove.sources.tables import read_response_files
 
@@ -45,9 +47,9 @@ def row(body, headers=None, url="http://example.com", override=...):
     ("html", row(HTML, url="http://example.com/file.pdf")),
     ("html", row(HTML)), ("html", row(b"<!DOCTYPE html><p>x")), ("xml", row(b"<?xml ?><root/>")),
     ("text", row(b"plain text")), ("text", row(b'{"key": "value"}')), ("text", row(b"")),
-    (None, row(b"\x01\x02<html>")), (None, row(None)),
+    ("html", row(b"\x01\x02<html>")), (None, row(b"\x01\x02html")), (None, row(None)),
     (None, row(gzip.compress(HTML), {"Content-Type": "text/html", "Content-Encoding": "gzip"})),
-    ("text", row(b"x" * 5000 + HTML)),
+    ("html", row(b"x" * 5000 + HTML)),
 ])
 def test_kind(frame, kind, item):
     got = classify_html(frame(item)).first()
@@ -134,3 +136,37 @@ def test_stored_files_as_responses(spark, tmp_path):
     got = classify_html(read_response_files(spark, str(tmp_path)))
     assert {r.url.rsplit("/", 1)[1]: r.kind for r in got.collect()} == {"a.html": "html", "b.json": "json"}
     assert read_response_files(spark, str(tmp_path), glob="*.html").count() == 1
+
+
+def test_a_marker_anywhere_tells(frame):
+    late = b"<!--" + b"x" * 20_000 + b"--><html><a href=/y>t"
+    odd = b"\x01\x02" + b"z" * 6000 + b"<HTML><p>"
+    got = [r.kind for r in classify_html(frame(row(late, {}), row(odd, {}), row(b"\x01\x02zz", {}))).collect()]
+    assert got == ["html", "html", None]
+
+
+def test_a_long_meta_tag_declares_its_charset(frame):
+    text = f'<html><meta data-x="{"y" * 300}" charset=iso-8859-2>\u0141'
+    pages = to_pages(classify_html(frame(row(text.encode("iso-8859-2"), {"Content-Type": "text/html"}))))
+    assert pages.first().html == text
+
+
+@pytest.mark.parametrize("charset", ["unicode_escape", "utf-7", "rot13", "idna", "raw_unicode_escape", "undefined", "base64"])
+def test_odd_charsets_end_no_job(frame, charset):
+    body = b"<html>\\ud800 caf\xe9"
+    assert to_pages(classify_html(frame(row(body, {"Content-Type": f"text/html; charset={charset}"})))).first().html == "<html>\\ud800 café"
+
+
+def test_bodies_cut_short_stay_packed(frame):
+    whole = gzip.compress(HTML * 500)
+    head = {"Content-Encoding": "gzip"}
+    cut = [whole[:len(whole) // 2], gzip.compress(HTML) + whole[:40], zlib.compress(HTML)[:-3]]
+    got = decompress(frame(*(row(b, head, f"u{i}") for i, b in enumerate(cut)), row(whole + b"\0\0", head, "u3"))).collect()
+    assert [bytes(r.body) for r in got] == [*cut, HTML * 500]
+    assert [sorted(r.headers) for r in got] == [["Content-Encoding"]] * 3 + [[]]
+
+
+def test_large_bodies_come_back_in_small_batches():
+    packed = pa.record_batch({"x": pa.array(range(6)), "_packed": pa.array([gzip.compress(b"y" * (6 << 20))] * 6)})
+    sizes = [b.num_rows for b in _with_plain(iter([packed]))]
+    assert sizes == [3, 3]

@@ -97,3 +97,22 @@ def test_url_parts(spark):
     assert values(spark, urls.host(F.col("v")), items) == ["sub.e.com", "e.com", "", "", "[::1]"]
     assert values(spark, urls.path(F.col("v")), items) == ["/a/b.TAR.gz", "", "x", "/rel/p", "/a;b/c"]
     assert values(spark, urls.host_suffixes(F.col("v")), ["a.b.c"]) == [["a.b.c", "b.c", "c"]]
+
+
+@pytest.mark.parametrize(("pattern", "text"), [
+    (r'{"id":(\d+)}', 'x{"id":12}y{"id":7}'), (r"a.{,3}b", "a12b a1234b ab"), (r"x{}y|{z", "x{}y {z"), (r"}{1,2}", "}}}"), (r"(?#note)a+", "aaba"),
+    (r"[\b]x", "\bx"), (r"\0", "a\0"), (r"\N{EM DASH}|\U0001F600", "—😀"), (re.compile(r"a # b", re.X), "ab a # b"), (re.compile(r"[ #]b", re.X), "#b b"),
+    (re.compile("straße", re.I), "STRAßE"), (re.compile("^b.c$", re.M | re.S), "a\nb\nc\nd"), (re.compile(r"\w+", re.A), "caf\u00e9"), (r"\w+", "café"),
+    (r"[{}]", "{a}"), (r"a{2}", "aaa"), (r"[[a&&b]", "[&"),
+])
+def test_patterns_read_as_python_does(spark, pattern, text):
+    compiled = re.compile(pattern)
+    want = [m[compiled.groups and 1] for m in compiled.finditer(text)]
+    row = spark.createDataFrame([(text,)], "t string").select(captures(F.col("t"), pattern)).first()
+    assert row[0] == want
+
+
+@pytest.mark.parametrize("pattern", [r"(a)?(?(1)b|c)", r"(?a:\w)", re.compile(b"a")])
+def test_patterns_without_counterpart_are_refused(pattern):
+    with pytest.raises((ValueError, TypeError)):
+        captures(F.col("v"), pattern)

@@ -43,10 +43,6 @@ TABLE_SCOPE = frozenset("html table template".split())
 MARKERS = frozenset("applet caption marquee object td template th".split())
 NO_REOPEN = SPECIAL - frozenset("area br button embed img input keygen select wbr applet marquee object xmp".split())
 
-# More formatting elements than this are not reopened in one block.  Without a
-# bound a page of n unclosed ones and m blocks would grow n*m elements.
-REOPENED = 32
-
 _VOID, _RAW, _CLOSES_P, _FORMATTING, _MARKER, _REOPENS, _PLACED = (1 << i for i in range(7))
 _TABLE_PARTS = frozenset("tr td th tbody thead tfoot caption col colgroup".split())
 
@@ -118,8 +114,8 @@ def _start_tag(tag: str, attrs: list[tuple[str, str | None]]) -> str:
     return "".join(out)
 
 
-INT_FIELDS = ("pre", "last", "parent", "depth", "sib", "nsib", "t0", "t1", "h0", "h1")
-_PRE, _LAST, _PARENT, _DEPTH, _SIB, _NSIB, _T0, _T1, _H0, _H1 = range(10)
+INT_FIELDS = ("pre", "last", "parent", "depth", "sib", "nsib", "kids", "t0", "t1", "h0", "h1")
+_PRE, _LAST, _PARENT, _DEPTH, _SIB, _NSIB, _KIDS, _T0, _T1, _H0, _H1 = range(11)
 
 
 class PageColumns:
@@ -185,6 +181,8 @@ class _Page:
         self.opened: dict[str, int] = {}    # open elements by tag
         self.closed = bytearray()           # per element, 1 once closed
         self.formatting: list[tuple[str, list, int] | None] = []   # None is a marker
+        self.alike: dict[tuple, int] = {}       # entries by tag and attributes, and by tag
+        self.listed: dict[str, int] = {}
         self.head = self.body = -1
         self.foreign = 0
         self.base_href: str | None = None
@@ -258,7 +256,7 @@ class _Page:
         if self.ids:
             parent = self.ids[-1]
             place = self.kids[parent] = self.kids[parent] + 1
-        self.rows.append([node, node, parent, len(self.ids), place, 1, text_at, text_at, markup_at, markup_at + 1])
+        self.rows.append([node, node, parent, len(self.ids), place, 1, 0, text_at, text_at, markup_at, markup_at + 1])
         self.tag.append(tag)
         self.attrs.append(attrs)
         self.kids.append(0)
@@ -292,8 +290,8 @@ class _Page:
         self.closed[node] = 1
         self.opened[tag] -= 1
         if tag in MARKERS:
-            while self.formatting and self.formatting.pop() is not None:
-                pass
+            while self.formatting and (entry := self.formatting.pop()) is not None:
+                self.forget(entry)
         elif tag == "svg" or tag == "math":
             self.foreign -= 1
         return tag
@@ -357,19 +355,23 @@ class _Page:
         at = len(entries)
         while at and entries[at - 1] is not None and closed[entries[at - 1][2]]:
             at -= 1
-        for i in range(max(at, len(entries) - REOPENED), len(entries)):
+        for i in range(at, len(entries)):
             tag, attrs, _ = entries[i]
             entries[i] = (tag, attrs, self.open(tag, attrs))
 
     def note_formatting(self, tag: str, attrs: list, node: int) -> None:
-        """Remember an element to reopen: three alike at most, recent ones only."""
-        entries = self.formatting
-        same = [i for i, e in enumerate(entries) if e and e[0] == tag and e[1] == attrs]
-        if len(same) > 2:
-            del entries[same[0]]
-        if len(entries) > 4 * REOPENED:
-            del entries[0]
+        """Remember an element to reopen, three alike at most."""
+        entries, key = self.formatting, (tag, *attrs)
+        if self.alike.get(key, 0) > 2:
+            self.forget(entries.pop(next(i for i, e in enumerate(entries) if e and e[0] == tag and e[1] == attrs)))
         entries.append((tag, attrs, node))
+        self.alike[key] = self.alike.get(key, 0) + 1
+        self.listed[tag] = self.listed.get(tag, 0) + 1
+
+    def forget(self, entry: tuple[str, list, int]) -> None:
+        """Count an entry that has left the list."""
+        self.alike[entry[0], *entry[1]] -= 1
+        self.listed[entry[0]] -= 1
 
     # -- tokens ------------------------------------------------------------
 
@@ -485,7 +487,11 @@ class _Page:
             if opened.get(tag) and self.in_scope((tag,)):
                 self.end(tag)
             if tag == "a":
-                self.formatting = [e for e in self.formatting if e is None or e[0] != "a"]
+                for i in range(len(self.formatting) - 1, -1, -1):
+                    if not self.listed.get(tag):
+                        break
+                    if self.formatting[i] and self.formatting[i][0] == tag:
+                        self.forget(self.formatting.pop(i))
         return tag != "frame"
 
     def close_item(self, tags) -> None:
@@ -554,10 +560,11 @@ class _Page:
 
     def end_formatting(self, tag: str) -> None:
         entries = self.formatting
-        for i in range(len(entries) - 1, -1, -1):
+        for i in range(len(entries) - 1 if self.listed.get(tag) else -1, -1, -1):
             if entries[i] is None:
                 break
             if entries[i][0] == tag:
+                self.forget(entries[i])
                 node = entries.pop(i)[2]
                 if not self.closed[node]:
                     self.end_inline(tag)
@@ -569,8 +576,10 @@ class _Page:
         self.need_body()
         while self.ids:
             self.close()
-        for row in self.rows[1:]:
-            row[_NSIB] = self.kids[row[_PARENT]]
+        for row in self.rows:
+            row[_KIDS] = self.kids[row[_PRE]]
+            if row[_PARENT] >= 0:
+                row[_NSIB] = self.kids[row[_PARENT]]
 
 
 _RAW_ENDS: dict[str, re.Pattern[str]] = {}

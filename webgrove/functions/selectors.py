@@ -199,7 +199,8 @@ _PLAIN_PSEUDO: dict[str, Predicate] = {
     "first-child": lambda n: n["sib"] == 1,
     "last-child": lambda n: n["sib"] == n["nsib"],
     "only-child": lambda n: n["nsib"] == 1,
-    "empty": lambda n: (n["last"] == n["pre"]) & (n["t0"] == n["t1"]),
+    # the pieces' text, not their number: those of dropped elements are empty
+    "empty": lambda n: (n["kids"] == 0) & (F.array_join(F.slice(F.col("texts"), n["t0"] + 1, n["t1"] - n["t0"]), "") == ""),
 }
 
 

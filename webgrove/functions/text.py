@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,22 +36,49 @@ def has_nofollow(rel: Column) -> Column:
     return F.coalesce(F.array_contains(F.split(rel, r"[,\s]+"), "nofollow"), F.lit(False))
 
 
-def jvm_pattern(regex: str) -> str:
-    """A Python pattern as Spark's regex functions read it.
+_QUANTIFIER = re.compile(r"\{(?:(\d+)(,\d*)?|,(\d+))\}")
+_UNSUPPORTED = re.compile(r"\(\?(?:\(|[aiLmsux]*[aLu][aiLmsux]*[-:)])")
+_FLAGS = ((re.IGNORECASE, "i"), (re.MULTILINE, "m"), (re.DOTALL, "s"), (re.VERBOSE, "x"))
 
-    Character classes are Unicode's and only a newline ends a line, as in Python;
-    named groups become plain ones, and ``[`` and ``&`` inside a class literal.
+
+def _escaped(regex: str, at: int, in_class: bool) -> tuple[str, int]:
+    """The escape at ``at`` as Java writes it, and its length."""
+    two = regex[at:at + 2]
+    if wide := re.match(r"\\U([0-9a-fA-F]{8})", regex[at:]):
+        return f"\\x{{{wide[1]}}}", wide.end()
+    if named := re.match(r"\\N\{([^}]*)\}", regex[at:]):
+        return f"\\x{{{ord(unicodedata.lookup(named[1])):X}}}", named.end()
+    if octal := re.match(r"\\(0[0-7]{0,2}|[1-3][0-7]{2})", regex[at:]):
+        return f"\\x{{{int(octal[1], 8):X}}}", octal.end()
+    if two == "\\b" and in_class:
+        return "\\x08", 2
+    return ("\\z" if two == "\\Z" else two), 2
+
+
+def jvm_pattern(regex: str | re.Pattern[str]) -> str:
+    """A Python pattern, as text or compiled, as Spark's regex functions read it.
+
+    Character classes are Unicode's (unless compiled with ``re.ASCII``) and only a
+    newline ends a line, as in Python; flags are carried over; named groups become
+    plain ones; braces that begin no quantifier, and ``[`` and ``&`` inside a class, are
+    literal.  What Java cannot express (conditional groups, inline ``(?a)``) raises
+    ``ValueError``.
     """
-    numbers = re.compile(regex).groupindex
-    out, at, in_class = ["(?Ud)"], 0, False
+    compiled = re.compile(regex)
+    regex, numbers = compiled.pattern, compiled.groupindex
+    if not isinstance(regex, str):
+        raise TypeError("patterns over bytes are not offered")
+    verbose = bool(compiled.flags & re.VERBOSE)
+    flags = "d" + ("" if compiled.flags & re.ASCII else "U") + "".join(c for flag, c in _FLAGS if compiled.flags & flag)
+    out, at, in_class = [f"(?{flags})"], 0, False
     while at < len(regex):
         char, size = regex[at], 1
         if char == "\\":
-            size = 2
-            out.append("\\z" if regex[at:at + 2] == "\\Z" else regex[at:at + 2])
+            text, size = _escaped(regex, at, in_class)
+            out.append(text)
         elif in_class:
             in_class = char != "]"
-            out.append("\\" + char if char in "[&" else char)
+            out.append("\\" + char if char in "[&" or verbose and (char.isspace() or char == "#") else char)
         elif char == "[":
             in_class = True
             size += regex.startswith("^", at + 1)
@@ -58,6 +86,20 @@ def jvm_pattern(regex: str) -> str:
             if regex.startswith("]", at + size):        # first in a class: literal
                 out.append("\\]")
                 size += 1
+        elif char == "{":
+            if count := _QUANTIFIER.match(regex, at):
+                size = len(count[0])
+                out.append(f"{{0,{count[3]}}}" if count[3] else count[0])
+            else:
+                out.append("\\{")
+        elif char == "}":
+            out.append("\\}")
+        elif verbose and char == "#":
+            size = (regex + "\n").index("\n", at) - at
+        elif regex.startswith("(?#", at):
+            size = regex.index(")", at) + 1 - at
+        elif _UNSUPPORTED.match(regex, at):
+            raise ValueError(f"this form has no counterpart in Spark's patterns: {regex[at:at + 8]!r} in {regex!r}")
         elif named := re.match(r"\(\?P<\w+>", regex[at:]):
             size = named.end()
             out.append("(")
@@ -70,7 +112,7 @@ def jvm_pattern(regex: str) -> str:
     return "".join(out)
 
 
-def captures(value: Column, regex: str) -> Column:
+def captures(value: Column, regex: str | re.Pattern[str]) -> Column:
     """Captures of every match, as an array: the groups of each match in turn, or
     the whole match without groups.  A group named ``extract`` means the first
     match of that group alone.

@@ -29,6 +29,17 @@ _PLAIN_ROOT = re.compile(r"/(?!/)(?:[^\x00-\x20?#;/]|/(?!\.))*")
 _CLEAN_ORIGIN = re.compile(r"https?://[a-z0-9\-.]+(?::[1-9][0-9]{0,3})?(?=/|\?|#|\Z)")
 _STRIP = "".join(map(chr, range(33)))
 
+
+def clean_origin(url: Column) -> Column:
+    """Scheme and host of a URL that needs no rewriting; null for others."""
+    found = F.regexp_extract(url, f"^({_CLEAN_ORIGIN.pattern.replace('(?=', '(?:(?=').replace('Z)', 'z))')})", 1)
+    return F.when(F.length(found) > 0, found)
+
+
+def needs_origin_only(value: Column) -> Column:
+    """The value is a rooted path that neither joining nor encoding changes."""
+    return value.rlike(f"^{_CLEAN_ROOT.pattern}\\z")
+
 _CANONICAL_TYPE = T.ArrayType(
     T.StructType([T.StructField("key", T.StringType()), T.StructField("url", T.StringType())])
 )
@@ -145,11 +156,11 @@ def resolve_urls(base: pa.Array, page_url: pa.Array, values: pa.Array) -> pa.Arr
 def canonical_urls(values: pa.Array) -> pa.Array:
     """Per URL: the comparison key (fragment kept) and the canonical URL."""
     flat = values.flatten()
-    urls = flat.to_pylist()
+    keys = [None if u is None else canonical_url(u, keep_fragment=True) for u in flat.to_pylist()]
     pairs = pa.StructArray.from_arrays(
         [
-            pa.array([None if u is None else canonical_url(u, keep_fragment=True) for u in urls], pa.string()),
-            pa.array([None if u is None else canonical_url(u) for u in urls], pa.string()),
+            pa.array(keys, pa.string()),
+            pa.array([None if k is None else k.partition("#")[0] for k in keys], pa.string()),
         ],
         names=["key", "url"],
     )

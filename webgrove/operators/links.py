@@ -16,7 +16,8 @@ from webgrove.functions import urls
 from webgrove.functions.text import has_nofollow, jvm_pattern, strip_blanks
 from webgrove.operators.parse import _parse
 from webgrove.operators.rows import explode_structs
-from webgrove.operators.select import NODES, node_text
+from webgrove.operators.select import NODES, let, node_text
+from webgrove.sources.tables import store_table
 
 # Extensions that are not followed unless the caller says otherwise.
 DENIED_EXTENSIONS = (
@@ -31,21 +32,22 @@ DENIED_EXTENSIONS = (
 SCHEMES = ("http", "https", "file", "ftp")      # fixed values
 
 Strings = str | Iterable[str]
+Patterns = str | re.Pattern[str] | Iterable[str | re.Pattern[str]]
 
 
-def _list(value: Strings | None) -> tuple[str, ...]:
-    """A string is a list of one."""
+def _list(value: Patterns | None) -> tuple:
+    """A string or pattern is a list of one."""
     if value is None:
         return ()
-    return (value,) if isinstance(value, str) else tuple(value)
+    return (value,) if isinstance(value, (str, re.Pattern)) else tuple(value)
 
 
 @dataclass(frozen=True)
 class LinkOptions:
     """The keyword arguments of ``extract_links``."""
 
-    allow: Strings = ()
-    deny: Strings = ()
+    allow: Patterns = ()
+    deny: Patterns = ()
     allow_domains: Strings = ()
     deny_domains: Strings = ()
     tags: Strings = ("a", "area")
@@ -62,7 +64,7 @@ class LinkOptions:
         denied = DENIED_EXTENSIONS if self.deny_extensions is None else self.deny_extensions
         object.__setattr__(self, "deny_extensions", _list(denied))
         for pattern in (*self.allow, *self.deny):
-            re.compile(pattern)
+            jvm_pattern(pattern)
 
     @property
     def scan(self) -> tuple:
@@ -84,13 +86,14 @@ def candidates(tags: NameTest = ("a", "area"), attrs: NameTest = ("href",)) -> C
     found = F.filter(F.col(NODES), lambda n: n["tag"].isNotNull() & tag_test(n["tag"]))
 
     def of_element(n: Column) -> Column:
-        return F.transform(F.filter(n["attr_names"], attr_test), lambda a: F.struct(
+        once = F.struct(node_text(n).alias("text"), has_nofollow(n["attrs"]["rel"]).alias("nofollow"))
+        return let(once, lambda own: F.transform(F.filter(n["attr_names"], attr_test), lambda a: F.struct(
             n["pre"].alias("pre"),
             a.alias("attr"),
             n["attrs"][a].alias("value"),
-            node_text(n).alias("text"),
-            has_nofollow(n["attrs"]["rel"]).alias("nofollow"),
-        ))
+            own["text"].alias("text"),
+            own["nofollow"].alias("nofollow"),
+        )))
 
     return F.flatten(F.transform(found, of_element))
 
@@ -106,7 +109,13 @@ def resolve(docs: DataFrame, scan: tuple, name: str) -> DataFrame:
     work = docs.withColumn("_raw", F.filter(candidates(tags, attrs), lambda c: c["value"].isNotNull()))
     values = F.transform("_raw", lambda c: strip_blanks(c["value"])) if strip else F.col("_raw.value")
     if process_value is None:
-        work = work.withColumn("_urls", urls.resolve_urls("base_url", "url", values))
+        # Values that only need the origin in front are joined here; the others go to Python.
+        work = work.withColumns({"_values": values, "_origin": urls.clean_origin(F.col("base_url"))})
+        work = work.withColumn("_clean", F.transform("_values", lambda v: F.col("_origin").isNotNull() & urls.needs_origin_only(v)))
+        work = work.withColumn("_hard", F.expr("transform(_values, (v, i) -> IF(get(_clean, i), NULL, v))"))
+        work = work.withColumn("_urls", urls.resolve_urls("base_url", "url", F.col("_hard")))
+        work = work.withColumn("_urls", F.expr("transform(_urls, (u, i) -> IF(get(_clean, i), concat(_origin, get(_values, i)), u))")).drop(
+            "_values", "_origin", "_clean", "_hard")
     else:
         work = work.withColumn("_urls", urls.join_urls("base_url", values))
         processed = F.transform("_urls", lambda u: F.when(u.isNotNull(), process_value(u)))
@@ -150,9 +159,7 @@ def allowed(url: Column, o: LinkOptions) -> Column:
 def in_domains(name: Column, domains: Strings) -> Column:
     """``name`` is one of ``domains`` or below one of them."""
     domains = [d.lower() for d in _list(domains)]
-    if len(domains) > 8:
-        return F.exists(urls.host_suffixes(name), lambda s: s.isin(*domains))
-    return reduce(or_, [(name == d) | name.endswith("." + d) for d in domains])
+    return F.exists(urls.host_suffixes(name), lambda s: s.isin(*domains))
 
 
 def has_extension(url: Column, extensions: Strings) -> Column:
@@ -196,30 +203,37 @@ def extract_links(docs: DataFrame, *, keep: Iterable[str] = ("page_id",), **opti
     return explode_links(with_links(docs, **options), keep=keep)
 
 
-def links_from_pages(pages: DataFrame, *, keep: Iterable[str] = ("page_id",), balance: bool = True, **options) -> DataFrame:
+def links_from_pages(pages: DataFrame, *, keep: Iterable[str] = ("page_id",), partitions: int | None = None, **options) -> DataFrame:
     """Like ``extract_links``, from pages.
 
     Only elements a link can come from leave the parse, and no markup is built.
     """
     o = LinkOptions(**options)
     carry = [c for c in keep if c not in ("page_id", "url")]
-    docs = _parse(pages, markup=False, carry=tuple(carry), balance=balance, only_tags=o.tags)
+    docs = _parse(pages, markup=False, carry=tuple(carry), partitions=partitions, only_tags=o.tags)
     if "url" in keep:
         docs = docs.withColumn("page_url", F.col("url"))
         keep = ["page_url" if c == "url" else c for c in keep]
     return explode_links(with_links(docs, **options), keep=keep)
 
 
-def restrict_domains(links: DataFrame, domains: DataFrame, *, keep: bool = True) -> DataFrame:
+# Parts of a host's links in the join below: no host is one task.
+_SALTS = 32
+
+
+def restrict_domains(links: DataFrame, domains: DataFrame, *, keep: bool = True, stored: bool = False) -> DataFrame:
     """Keep (or drop) links whose host is in or below one of ``domains.domain``.
 
-    For lists too long to write into the plan.  The join side is the set of
-    distinct hosts, so a host with very many links is compared once; Spark picks
-    a broadcast only when the measured size allows it.
+    For lists too long to write into the plan.  Distinct hosts are compared with the
+    list, then links with the hosts found, each host in ``_SALTS`` parts, so a host with
+    very many links is spread.  The links are read twice and hence written to the
+    shared folder first, unless they are ``stored`` already.
     """
+    links = links if stored else store_table(links, "links")
     hosts = links.select(urls.netloc(F.col("url")).alias("_host")).distinct()
     suffixes = hosts.select("_host", F.explode(urls.host_suffixes(F.col("_host"))).alias("_domain"))
     listed = domains.select(F.lower("domain").alias("_domain"))
     hits = suffixes.join(listed, "_domain", "left_semi").select("_host").distinct()
-    work = links.withColumn("_host", urls.netloc(F.col("url")))
-    return work.join(hits, "_host", "left_semi" if keep else "left_anti").drop("_host")
+    parted = hits.select("_host", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_part"))
+    work = links.withColumns({"_host": urls.netloc(F.col("url")), "_part": F.pmod(F.xxhash64("url", *links.columns[:1]), F.lit(_SALTS)).cast("int")})
+    return work.join(parted, ["_host", "_part"], "left_semi" if keep else "left_anti").select(*links.columns)

@@ -24,28 +24,12 @@ _ARROW_STRINGS = pa.list_(pa.string())
 _ARROW_ATTRS = pa.map_(pa.string(), pa.string())
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out a small input over the cluster's cores before CPU-heavy work.
-
-    A file of a few row groups reads as a few tasks.  Input that already gives
-    every core a full split is left alone, so at scale there is no shuffle; the
-    shuffle is bounded by one split (``maxPartitionBytes``) per core.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * split else df
-
-
 def parse_pages(
     pages: DataFrame,
     *,
     keep: Iterable[str] = ("text", "html"),
     carry: Iterable[str] = (),
-    balance: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``page_id, url, html`` -> one ``docs`` row per page.
 
@@ -53,12 +37,13 @@ def parse_pages(
     which only outer-HTML reads need.  ``carry`` passes further columns through.
     Page filters belong *before* this call: Catalyst pushes them into the scan
     there, and cannot push them through the parse.  A null ``html`` gives a row
-    without nodes.
+    without nodes; bytes that are no UTF-8 are replaced.  The scan's splits are the
+    tasks; ``partitions`` deals pages out anew first, for files of few row groups.
     """
     keep = frozenset(keep)
     if unknown := keep - {"text", "html"}:
         raise ValueError(f"keep: unknown parts {sorted(unknown)}")
-    return _parse(pages, markup="html" in keep, carry=tuple(carry), balance=balance)
+    return _parse(pages, markup="html" in keep, carry=tuple(carry), partitions=partitions)
 
 
 def _parse(
@@ -66,7 +51,7 @@ def _parse(
     *,
     markup: bool,
     carry: tuple[str, ...] = (),
-    balance: bool = True,
+    partitions: int | None = None,
     only_tags: Iterable[str] | None = None,
 ) -> DataFrame:
     require(pages, page_id=T.DataType, url=T.StringType, html=T.StringType)
@@ -91,8 +76,8 @@ def _parse(
             if len(columns):
                 yield _to_arrow(batch.slice(start), names, columns)
 
-    source = pages.select(*names, "html")
-    return (spread(source) if balance else source).mapInArrow(run, T.StructType(fields))
+    source = pages.select(*names, "html").withColumns({c: F.make_valid_utf8(c) for c in ("url", "html")})
+    return (source.repartition(partitions) if partitions else source).mapInArrow(run, T.StructType(fields))
 
 
 def _to_arrow(pages: pa.RecordBatch, names: list[str], c: PageColumns) -> pa.RecordBatch:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import codecs
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
@@ -34,12 +34,21 @@ EXTENSION_KINDS = {
 # Parser names an override may carry; there is one parser here.
 BACKENDS = ("lexbor", "html5ever")
 
-SNIFF_BYTES = 5000      # fixed value: how much of a body may tell its kind
+# A value of Spark holds fewer bytes than this; bodies that inflate beyond it stay packed.
+_MOST_BYTES = (1 << 31) - (1 << 20)
+# Inflated bytes handed back to Spark per Arrow batch; a single larger body is a batch of its own.
+_BATCH_BYTES = 16 << 20
+
+# The codecs of the charsets that the web knows.
+WEB_CODECS = frozenset(
+    "utf-8 utf-16 utf-16-le utf-16-be cp866 cp874 cp932 cp949 gb18030 big5hkscs euc_jp iso2022_jp koi8-r koi8-u mac-roman mac-cyrillic"
+    " cp1250 cp1251 cp1252 cp1253 cp1254 cp1255 cp1256 cp1257 cp1258 iso8859-2 iso8859-3 iso8859-4 iso8859-5 iso8859-6 iso8859-7"
+    " iso8859-8 iso8859-10 iso8859-13 iso8859-14 iso8859-15 iso8859-16".split())
 
 # Declared charsets that stand for a wider one.
 _CODECS = {
     "ascii": "cp1252", "us-ascii": "cp1252", "iso-8859-1": "cp1252", "latin-1": "cp1252", "latin1": "cp1252",
-    "gb2312": "gb18030", "gbk": "gb18030", "shift_jis": "cp932", "euc-kr": "cp949", "big5": "big5hkscs",
+    "iso-8859-9": "cp1254", "iso-8859-11": "cp874", "tis-620": "cp874", "gb2312": "gb18030", "gbk": "gb18030", "shift_jis": "cp932", "euc-kr": "cp949", "big5": "big5hkscs",
 }
 
 
@@ -66,12 +75,14 @@ def name_kind(name: Column) -> Column:
 
 
 def body_kind(body: Column) -> Column:
-    head = F.lower(F.decode(F.substring(body, 1, SNIFF_BYTES), "ISO-8859-1"))
+    """A marker anywhere in the body tells; without one, control characters say binary."""
+    text = F.lower(F.decode(body, "ISO-8859-1"))
     return (
-        F.when(body.isNull() | head.rlike(r"[\x01-\x08\x0b\x0c\x0e-\x1f]"), F.lit(None))
-        .when(head.contains("<html>"), "html")
-        .when(head.contains("<?xml"), "xml")
-        .when(head.contains("<!doctype html>"), "html")
+        F.when(body.isNull(), F.lit(None))
+        .when(text.contains("<html>"), "html")
+        .when(text.contains("<?xml"), "xml")
+        .when(text.contains("<!doctype html>"), "html")
+        .when(text.rlike(r"[\x01-\x08\x0b\x0c\x0e-\x1f]"), F.lit(None))
         .otherwise("text")
     )
 
@@ -130,43 +141,67 @@ def html_only(classified: DataFrame, observation: Observation | str | None = Non
     return classified.where("is_html")
 
 
+def _member(data: bytes, wbits: int, room: int) -> tuple[bytes, bytes]:
+    """One compressed member, whole, and what follows it; else ``zlib.error``."""
+    stream = zlib.decompressobj(wbits)
+    plain = stream.decompress(data, room)
+    if not stream.eof:
+        raise zlib.error("cut short, or too large for a value")
+    return plain, stream.unused_data
+
+
 def _inflate(body: bytes) -> bytes:
-    out, rest = [], body
+    out, rest, room = [], body, _MOST_BYTES
     while rest:
-        stream = zlib.decompressobj(47)     # gzip or zlib header
         try:
-            out.append(stream.decompress(rest) + stream.flush())
+            plain, rest = _member(rest, 47, room)       # gzip or zlib header
         except zlib.error:
-            if out:
-                break                       # padding after the last member
-            return zlib.decompressobj(-15).decompress(rest)
-        rest = stream.unused_data
+            if not out:
+                return _member(rest, -15, room)[0]
+            if rest[:2] == b"\x1f\x8b":
+                raise                                   # a further member that is not whole
+            break                                       # padding after the last member
+        out.append(plain)
+        room -= len(plain)
+        if not room:
+            raise zlib.error("too large for a value")
     return b"".join(out)
 
 
-@task_udf(T.BinaryType())
-def _decompress(bodies: pa.Array) -> pa.Array:
-    out = []
-    for body in bodies.to_pylist():
-        try:
-            out.append(None if body is None else _inflate(body))
-        except zlib.error:
-            out.append(None)
-    return pa.array(out, pa.binary())
+def _inflated(body: bytes | None) -> bytes | None:
+    try:
+        return None if body is None else _inflate(body)
+    except zlib.error:
+        return None
+
+
+def _with_plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add ``_plain``, the inflated ``_packed``; batches end by inflated bytes."""
+    for batch in batches:
+        start, size, plain = 0, 0, []
+        for row, body in enumerate(batch.column("_packed")):
+            plain.append(_inflated(body.as_py()))
+            size += len(plain[-1] or b"")
+            if size >= _BATCH_BYTES or row + 1 == batch.num_rows:
+                part = batch.slice(start, row + 1 - start)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(plain, pa.binary())], names=[*part.schema.names, "_plain"])
+                start, size, plain = row + 1, 0, []
 
 
 def decompress(responses: DataFrame) -> DataFrame:
     """Undo gzip or deflate named by ``Content-Encoding`` and remove that header.
 
     Goes before ``classify_html``, which takes no content type from a body that
-    is still compressed.  Other rows, and bodies that do not inflate, stay.
+    is still compressed.  Other rows, and bodies that do not inflate to their
+    end, stay as they are.
     """
     require(responses, headers=T.MapType, body=T.BinaryType)
     packed = F.lower(F.trim(header("content-encoding"))).isin("gzip", "x-gzip", "deflate")
-    work = responses.withColumn("_plain", _decompress(F.when(packed, F.col("body"))))
+    work = responses.withColumns({"_packed": F.when(packed, F.col("body")), "body": F.when(packed, F.lit(None)).otherwise(F.col("body"))})
+    work = work.mapInArrow(_with_plain, T.StructType([*work.schema.fields, T.StructField("_plain", T.BinaryType())]))
     done = F.col("_plain").isNotNull()
     return work.withColumns({
-        "body": F.coalesce("_plain", "body"),
+        "body": F.coalesce("_plain", "_packed", "body"),
         "headers": F.when(done, F.map_filter("headers", lambda k, _: F.lower(k) != "content-encoding")).otherwise(F.col("headers")),
     }).select(*responses.columns)
 
@@ -186,7 +221,8 @@ def _decode_one(body: bytes, charset: str | None) -> str:
     charset = (charset or "").strip().lower()
     try:
         codec = codecs.lookup(_CODECS.get(charset, charset)).name
-        return body.decode(codec, "replace")
+        if codec in WEB_CODECS:
+            return body.decode(codec, "replace").encode("utf-8", "replace").decode()
     except (LookupError, UnicodeError):
         pass
     try:
@@ -199,7 +235,7 @@ def declared_charset() -> Column:
     """The charset named by the content type, else by a meta tag, else ""."""
     in_header = F.lower(F.regexp_extract(header("content-type"), r"(?i)charset\s*=\s*[\"']?([\w.:-]+)", 1))
     in_body = F.lower(F.regexp_extract(
-        F.decode("body", "ISO-8859-1"), r"(?i)<meta[^>]{1,200}charset\s*=\s*[\"']?([\w.:-]+)", 1))
+        F.decode("body", "ISO-8859-1"), r"(?i)<meta[^>]*?charset\s*=\s*[\"']?([\w.:-]+)", 1))
     return F.when(F.length(in_header) > 0, in_header).otherwise(in_body)
 
 

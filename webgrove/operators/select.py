@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 from operator import or_
+from re import Pattern
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -169,7 +170,12 @@ class Selection:
         place = F.lit(index + 1 if index >= 0 else index)
         return self._map(lambda refs: F.array_compact(F.array(F.try_element_at(refs, place))))
 
-    def slice(self, start: int | None = None, stop: int | None = None) -> Selection:
+    def slice(self, start: int | None = None, stop: int | None = None, step: int | None = None) -> Selection:
+        if step == 0:
+            raise ValueError("slice step cannot be zero")
+        if step is not None and step != 1:
+            return self._map(lambda refs: _stepped(refs, start, stop, step))
+
         def cut(refs: Column) -> Column:
             size = F.size(refs)
 
@@ -185,9 +191,7 @@ class Selection:
 
     def __getitem__(self, key: int | slice) -> Selection:
         if isinstance(key, slice):
-            if key.step not in (None, 1):
-                raise ValueError("a selection slice has no step")
-            return self.slice(key.start, key.stop)
+            return self.slice(key.start, key.stop, key.step)
         return self.item(key)
 
     def __iter__(self):
@@ -242,16 +246,29 @@ class Selection:
     def count(self) -> Column:
         return self._use(F.size)
 
-    def re(self, regex: str, *, replace_entities: bool = True) -> Column:
+    def re(self, regex: str | Pattern[str], *, replace_entities: bool = True) -> Column:
         """All captures over all values."""
         found = self._use(lambda refs: F.flatten(F.transform(refs, lambda r: captures(self.value(r), regex))))
         return decode_entities(found) if replace_entities else found
 
-    def re_first(self, regex: str, default: str | None = None, *, replace_entities: bool = True) -> Column:
+    def re_first(self, regex: str | Pattern[str], default: str | None = None, *, replace_entities: bool = True) -> Column:
         found = self.re(regex, replace_entities=replace_entities)
         return F.coalesce(F.get(found, F.lit(0)), F.lit(default))
 
 
+def _stepped(refs: Column, start: int | None, stop: int | None, step: int) -> Column:
+    """``refs[start:stop:step]`` as Python counts."""
+    size, low, high = F.size(refs), F.lit(0 if step > 0 else -1), F.size(refs) - (0 if step > 0 else 1)
+
+    def bound(i: int | None, default: Column) -> Column:
+        return default if i is None else F.greatest(F.least(F.lit(i) if i >= 0 else size + i, high), low)
+
+    first, end = bound(start, low if step > 0 else high), bound(stop, high if step > 0 else low)
+    last = end - (1 if step > 0 else -1)
+    some = last >= first if step > 0 else last <= first
+    return F.transform(F.when(some, F.sequence(first, last, F.lit(step))).otherwise(_no_ints()), lambda i: F.get(refs, i))
+
+
 def _read(n: Column, read: str, attr: str | None) -> Column:
     if read == "text":
         return node_text(n)

@@ -31,10 +31,11 @@ def link_graph(links: DataFrame) -> DataFrame:
 def host_summary(links: DataFrame) -> DataFrame:
     """Per source host: pages with links, links, distinct targets.
 
-    Every page's first link has ``pos`` 0, so pages need no distinct count.
+    Pages and targets are made distinct per host and value before a host's rows meet,
+    so a host with very many links is spread out.
     """
     return links.groupBy(host(F.col("page_url")).alias("src_host")).agg(
-        F.count_if(F.col("pos") == 0).alias("n_pages"),
+        F.count_distinct("page_id").alias("n_pages"),
         F.count("*").alias("n_links"),
         F.count_distinct("url").alias("n_targets"),
     )

@@ -19,6 +19,7 @@ NODE_TYPE = T.StructType([
     T.StructField("depth", T.IntegerType()),
     T.StructField("sib", T.IntegerType()),        # 1-based place among element siblings
     T.StructField("nsib", T.IntegerType()),       # number of element siblings, itself included
+    T.StructField("kids", T.IntegerType()),       # number of element children
     T.StructField("tag", T.StringType()),         # lower case; null once dropped
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("attr_names", T.ArrayType(T.StringType())),   # source order

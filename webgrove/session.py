@@ -33,6 +33,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark._configured_for = {"webgrove"}
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark._own_folder = tempfile.mkdtemp(prefix="run-")     # one process: driver and tasks share its disk
     ship(spark, webgrove)
     return spark
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,20 +59,37 @@ def write_table(df: DataFrame, path: str, *, mode: str = "errorifexists", partit
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor sees, as the cluster names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor sees, as the cluster names it.
+
+    A session that is one process (``local[..]``) may leave the setting out:
+    ``configure`` then names a folder for it.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.__dict__.get("_own_folder")
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return folder.rstrip("/")
 
 
-def store_docs(docs: DataFrame, path: str | None = None, *, name: str = "docs", mode: str = "overwrite") -> DataFrame:
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+def store_table(df: DataFrame, name: str) -> DataFrame:
+    """Write to a new shared folder and read back: made once, and it survives lost executors."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_docs(docs: DataFrame, path: str | None = None, *, mode: str = "errorifexists") -> DataFrame:
     """Write parsed pages and read them back: many selections, one parse.
 
     Unlike a cached table this survives lost executors, and a read of a few node
-    fields (``nodes.tag``) scans only those columns.
+    fields (``nodes.tag``) scans only those columns.  Without a path a new folder
+    below the shared one is used.
     """
-    path = path or f"{shared_folder(docs.sparkSession)}/{name}"
+    path = path or new_folder(docs.sparkSession, "docs")
     docs.write.mode(mode).parquet(path)
     return docs.sparkSession.read.parquet(path)
 

@@ -21,10 +21,11 @@ def stream_links(pages: DataFrame, path: str, *, checkpoint: str | None = None,
 
 
 def stream_records(
-    pages: DataFrame, container: str, fields: Mapping[str, FieldLike], path: str, *, checkpoint: str | None = None
+    pages: DataFrame, container: str, fields: Mapping[str, FieldLike], path: str, *, checkpoint: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Records of arriving pages, appended to ``path``."""
-    return write_stream(extract_records(parse_pages(pages), container, fields), path, checkpoint=checkpoint)
+    return write_stream(extract_records(parse_pages(pages, partitions=partitions), container, fields), path, checkpoint=checkpoint)
 
 
 def stream_html(

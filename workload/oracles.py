@@ -46,12 +46,14 @@ d AS (SELECT page_id, page_url, text, url, CAST(row_number() OVER (PARTITION BY
 # -- the pages of links that workload.inputs.link_pages derives --------------------
 # bare: URL without query and fragment; top: its origin; up: the folder above.
 
-DERIVED = """
+# Links of the page itself come first, at places below zero.
+DERIVED = RESOLVED + """,
 b AS (SELECT page_id, url, regexp_replace(url,'[?#].*','') AS bare, regexp_extract(url,'^(https?://[^/]+)',1) AS top FROM pages),
 f AS (SELECT *, regexp_replace(substr(bare,length(top)+1),'[^/]*$','') AS folder FROM b),
 g AS (SELECT *, top||regexp_replace(folder,'[^/]+/$','') AS parent FROM f),
 c(page_id, page_url, pos, tag, attr, value, url, text, nofollow) AS (
-  SELECT page_id, url, 0, 'a', 'href', url, url, 'as is', false FROM g
+  SELECT a.page_id, a.page_url, a.pos-1000000, 'a', 'href', a.href, r.url, a.text, false FROM a JOIN r ON r.page_id=a.page_id AND r.pos=a.pos
+  UNION ALL SELECT page_id, url, 0, 'a', 'href', url, url, 'as is', false FROM g
   UNION ALL SELECT page_id, url, 1, 'a', 'href', '../up?b=2&a=1#frag', parent||'up?b=2&a=1#frag', 'up', true FROM g
   UNION ALL SELECT page_id, url, 2, 'a', 'href', bare||'/report.PDF', bare||'/report.PDF', 'file', false FROM g
   UNION ALL SELECT page_id, url, 3, 'a', 'href', 'mailto:x@example.com', 'mailto:x@example.com', 'mail', false FROM g
@@ -93,9 +95,18 @@ O["response_gunzip"] = O["response_text"]
 O["sink_roundtrip"] = f"WITH {UNIQUE} SELECT page_id, pos, url FROM d"
 O["parse_tag_counts"] = f"""SELECT page_id, {n('<p>')} AS n_p, {n('<br>')} AS n_br, {n('<li>')} AS n_li, {n('<a href=')} AS n_a,
 {n('<div ')} AS n_div, {n('<meta ')} AS n_meta, {n('<script>')} AS n_script, {n('<h1>')} AS n_h1 FROM pages"""
-O["node_rows"] = """SELECT page_id, tag, CAST(depth AS INTEGER) AS depth, len(regexp_extract_all(html, '<'||tag||'[ >]')) AS n
-FROM pages, (VALUES ('html',0),('head',1),('title',2),('body',1),('nav',2),('ul',3),('li',4),('a',5),('article',2),('h1',3),('p',3),('footer',2)) t(tag,depth)
-WHERE regexp_matches(html, '<'||tag||'[ >]')"""
+# An unclosed <b> is reopened, three alike at most, in every later piece of the page that holds text.
+REOPENED = """plain AS (SELECT page_id, regexp_replace(regexp_replace(html,'<script>.*</script>|<style>[^<]*</style>','','g'),'<!--.*?-->','','g') AS h FROM pages),
+cuts AS (SELECT page_id, regexp_replace(h,'(<p>|</p>|</article>|<footer>)',chr(1)||'\\1','g') AS h FROM plain),
+pieces AS (SELECT page_id, unnest(string_split(h,chr(1))) AS piece, generate_subscripts(string_split(h,chr(1)),1) AS k FROM cuts),
+marks AS (SELECT page_id, k, regexp_replace(piece,'<[^>]*>','','g')<>'' AS holds, len(regexp_extract_all(piece,'<b>')) AS written FROM pieces),
+seen AS (SELECT *, coalesce(sum(written) OVER (PARTITION BY page_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS before FROM marks),
+bold AS (SELECT page_id, CAST(sum(written+CASE WHEN holds THEN least(3,before) ELSE 0 END) AS BIGINT) AS n FROM seen GROUP BY page_id)"""
+O["node_rows"] = f"""WITH {REOPENED} SELECT page_id, tag, CAST(depth AS INTEGER) AS depth, len(regexp_extract_all(h, '<'||tag||'[ >]')) AS n
+FROM (SELECT p.page_id, regexp_replace(html,'<script>.*</script>','<script>') AS h FROM pages p),
+(VALUES ('html',0),('head',1),('meta',2),('title',2),('style',2),('script',2),('body',1),('nav',2),('ul',3),('li',4),('a',5),('div',2),('article',2),('h1',3),('p',3),('br',NULL),('footer',2)) t(tag,depth)
+WHERE regexp_matches(h, '<'||tag||'[ >]') UNION ALL SELECT page_id, 'b', NULL, n FROM bold WHERE n>0"""
+O["formatting_reopened"] = "SELECT page_id, 80 AS n_inside, 'two' AS innermost FROM pages"
 O["node_siblings"] = f"""SELECT page_id, CAST(unnest(range(1, k+1)) AS INTEGER) AS sib, CAST(k AS INTEGER) AS nsib, 1 AS n_below
 FROM (SELECT page_id, {n('<li>')} AS k FROM pages)"""
 O["parse_null_pages"] = f"""SELECT page_id, url LIKE '%?%' AS is_empty, CASE WHEN url LIKE '%?%' THEN 'none' ELSE {H1} END AS h1 FROM pages"""
@@ -160,19 +171,25 @@ O["array_rows"] = f"WITH {ANCHORS} SELECT page_id, CAST(pos AS INTEGER) AS pos,
 O["array_count"] = f"SELECT page_id, {n('<li>')} AS n_li, 0 AS n_zz FROM pages"
 
 MATCHES = f"SELECT page_id, unnest(l) AS m, generate_subscripts(l,1)-1 AS i FROM (SELECT page_id, regexp_extract_all({H1},'[A-Za-z]+ [a-z]+') AS l FROM pages)"
-O["regex_all"] = f"""WITH x AS ({MATCHES}) SELECT page_id, CAST(2*i AS INTEGER) AS pos, regexp_extract(m,'^([A-Za-z]+)',1) AS value FROM x
-UNION ALL SELECT page_id, CAST(2*i+1 AS INTEGER), regexp_extract(m,' ([a-z]+)$',1) FROM x"""
+O["regex_all"] = f"""WITH x AS ({MATCHES}) SELECT page_id, CAST(2*i AS INTEGER) AS pos, regexp_extract(m,'^([A-Za-z]+)',1) AS value, 'h1' AS source FROM x
+UNION ALL SELECT page_id, CAST(2*i+1 AS INTEGER), regexp_extract(m,' ([a-z]+)$',1), 'h1' FROM x
+UNION ALL SELECT page_id, i, v, 'script' FROM pages, (VALUES (0,'7'),(1,'t="'),(2,'DATA={{')) s(i,v)"""
 O["regex_one_group"] = f"""WITH {ANCHORS}, x AS (SELECT page_id, pos, regexp_extract(href,'/(th[a-z]*)',1) AS value FROM a WHERE regexp_matches(href,'/th'))
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos)-1 AS INTEGER) AS pos, value FROM x"""
 O["regex_first"] = f"""SELECT page_id, CASE WHEN regexp_matches({H1},'[a-z]{{5,}}') THEN regexp_extract({H1},'[a-z]{{5,}}') ELSE 'none' END AS word,
 nullif(regexp_extract({H1},'([A-Z])[a-z]+',1),'') AS initial,
 CASE WHEN regexp_matches({H1},'[0-9]{{7}}') THEN regexp_extract({H1},'[0-9]{{7}}') ELSE 'none' END AS number FROM pages"""
-O["entity_decode"] = f"""SELECT page_id, replace(replace(replace(regexp_extract(html,'<footer>([^<]*)</footer>',1),'&copy;','©'),'&middot;','·'),'&quot;','"') AS footer FROM pages"""
-O["strip_blank_values"] = "SELECT page_id, url AS stripped FROM pages"
-O["rel_tokens"] = "SELECT page_id, url LIKE '%spam%' AS nofollow, false AS absent FROM pages"
+O["entity_decode"] = """SELECT page_id, md5(replace(replace(replace(html,'&copy;','©'),'&middot;','·'),'&quot;','"')) AS digest FROM pages"""
+O["strip_blank_values"] = "SELECT page_id, md5(trim(html, ' '||chr(9)||chr(10)||chr(12)||chr(13))) AS digest FROM pages"
+O["rel_tokens"] = f"WITH {ANCHORS} SELECT page_id, pos, page_url LIKE '%spam%' AS nofollow, false AS absent FROM a"
 
 O["drop_subtrees"] = f"""SELECT page_id, '<head><meta charset="utf-8"><title>'||replace({TITLE},'&','&amp;')||'</title>'
-||regexp_extract(html,'(<script>.*</script>)',1)||'</head>' AS head, 0 AS n_a, '<footer></footer>' AS first, 1 AS n_last, 1 AS n_left FROM pages"""
+||regexp_extract(html,'(<script>.*</script>)',1)||'</head>' AS head, 0 AS n_a,
+'<footer>'||repeat('<b>',least(3,{n('<b>')}))||replace({FOOTER_TEXT},'&','&amp;')||repeat('</b>',least(3,{n('<b>')}))||'</footer>' AS first,
+1 AS n_last, 1+least(3,{n('<b>')}) AS n_left FROM pages"""
+O["drop_indexed"] = f"""WITH {LISTS} SELECT page_id, array_to_string(l[2:len(l)-2],'|') AS left, CASE WHEN len(l) BETWEEN 1 AND 3 THEN 1 ELSE 0 END AS n_empty FROM t"""
+O["drop_scoped"] = f"""WITH {LISTS} SELECT page_id, array_to_string(list_transform(range(2,len(l)+1,2), lambda i: l[i]),'|') AS left,
+CAST((len(l)+1)//2 AS INTEGER) AS n_empty, 0 AS n_h1 FROM t"""
 O["drop_keeps_input"] = f"""WITH {ANCHORS} SELECT p.page_id, {n('<li>')} AS n_before, greatest({n('<li>')}-1,0) AS n_after, a.text AS new_first
 FROM pages p LEFT JOIN (SELECT page_id, text FROM a WHERE pos=1) a ON a.page_id=p.page_id"""
 O["page_clean_text"] = f"SELECT page_id, {TITLE}||{FOOTER_TEXT} AS text FROM pages"
@@ -227,9 +244,10 @@ O["host_graph"] = GRAPH
 O["host_graph_degrees"] = f"""WITH e AS ({GRAPH}) SELECT host, CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i) AS BIGINT) AS in_degree FROM
 (SELECT src_host AS host, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst_host, 0, 1 FROM e) GROUP BY host"""
 O["most_linked"] = f"WITH {RESOLVED} SELECT url, count(*) AS n_links FROM r GROUP BY url ORDER BY n_links DESC, url LIMIT 20"
-O["tag_frequency"] = """WITH s AS (SELECT page_id, html FROM pages),
-t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html,'<script>.*</script>','<script>'),'<([a-z][a-z0-9]*)[ >]',1)) AS tag FROM s)
-SELECT tag, CAST(sum(k) AS BIGINT) AS n_elements, count(*) AS n_pages FROM (SELECT page_id, tag, count(*) AS k FROM t WHERE tag<>'b' GROUP BY ALL) GROUP BY tag"""
+O["tag_frequency"] = f"""WITH {REOPENED},
+t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html,'<script>.*</script>','<script>'),'<([a-z][a-z0-9]*)[ >]',1)) AS tag FROM pages),
+k AS (SELECT page_id, tag, count(*) AS n FROM t WHERE tag<>'b' GROUP BY ALL UNION ALL SELECT page_id, 'b', n FROM bold WHERE n>0)
+SELECT tag, CAST(sum(n) AS BIGINT) AS n_elements, count(*) AS n_pages FROM k GROUP BY tag"""
 O["attribute_frequency"] = f"""SELECT attribute, CAST(sum(k) AS BIGINT) AS n_elements, count(*) AS n_pages FROM (
 SELECT page_id, 'a.href' AS attribute, {n('<a href=')} AS k FROM pages UNION ALL SELECT page_id, 'html.lang', {n('<html lang=')} FROM pages
 UNION ALL SELECT page_id, 'meta.charset', {n('<meta charset=')} FROM pages UNION ALL SELECT page_id, 'div.class', {n('<div class=')} FROM pages)

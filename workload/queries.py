@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,9 @@ from webgrove import (
 from webgrove.functions.text import decode_entities, has_nofollow
 from webgrove.operators.links import candidates
 from webgrove.operators.rows import explode_structs
-from webgrove.sources.tables import stream_pages, stream_responses, store_docs, write_table
+from webgrove.sources.tables import new_folder, store_docs, store_table, stream_pages, write_table
 from webgrove.streaming.jobs import stream_html, stream_links, stream_records
-from workload.inputs import docs, link_pages, pages, responses, run_folder
+from workload.inputs import as_responses, docs, link_pages, pages, partitions, responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,8 +56,8 @@ def response_gunzip(spark, sf):
 
 @query
 def sink_roundtrip(spark, sf):
-    folder = run_folder(spark, "sink") + "/links"
-    write_table(links_from_pages(pages(spark, sf)).select("page_id", "pos", "url"), folder)
+    folder = new_folder(spark, "sink")
+    write_table(links_from_pages(pages(spark, sf), partitions=partitions(spark)).select("page_id", "pos", "url"), folder)
     return spark.read.parquet(folder)
 
 
@@ -68,8 +69,18 @@ def parse_tag_counts(spark, sf):
 
 @query
 def node_rows(spark, sf):
-    wanted = F.col("tag").isin("html", "head", "title", "body", "nav", "ul", "li", "a", "article", "h1", "p", "footer")
-    return nodes(docs(spark, sf)).where(wanted).groupBy("page_id", "tag", "depth").agg(F.count("*").alias("n"))
+    """Elements by tag; the depth where it is the same for all of a tag."""
+    depth = F.when(~F.col("tag").isin("b", "br"), F.col("depth"))
+    return nodes(docs(spark, sf)).groupBy("page_id", "tag", depth.alias("depth")).agg(F.count("*").alias("n"))
+
+
+@query
+def formatting_reopened(spark, sf):
+    """Forty elements that a block leaves unclosed are all in the two blocks after it."""
+    opened = F.concat(*(F.lit(f'<b id="u{i}">') for i in range(40)))
+    marked = pages(spark, sf).withColumn("html", F.concat("html", F.lit("<p>"), opened, F.lit("x<p class=u>one<p class=u>two")))
+    return parse_pages(marked, keep=("text",), partitions=partitions(spark)).select(
+        "page_id", css("p.u b[id]").count().alias("n_inside"), css("p.u")[-1].css("#u39::text").get().alias("innermost"))
 
 
 @query
@@ -81,13 +92,13 @@ def node_siblings(spark, sf):
 @query
 def parse_null_pages(spark, sf):
     some = pages(spark, sf).withColumn("html", F.when(~F.col("url").contains("?"), F.col("html")))
-    return parse_pages(some, keep=("text",)).select(
+    return parse_pages(some, keep=("text",), partitions=partitions(spark)).select(
         "page_id", F.size("nodes").alias("n_nodes") == 0, css("h1::text").get("none").alias("h1")).toDF("page_id", "is_empty", "h1")
 
 
 @query
 def stored_docs_reuse(spark, sf):
-    stored = store_docs(docs(spark, sf), run_folder(spark, "docs") + "/docs")
+    stored = store_docs(docs(spark, sf))
     return stored.select(
         "page_id", css("title::text").get().alias("title"), css("h1::text").get().alias("h1"),
         css("li").count().alias("n_li"), css("nav a").count().alias("n_nav_links"))
@@ -122,7 +133,7 @@ def route_overrides(spark, sf):
 @query
 def route_html_links(spark, sf):
     html = html_only(classify_html(responses(spark, sf)), "routing")
-    return links_from_pages(to_pages(html)).groupBy("page_id").agg(F.count("*").alias("n_links"))
+    return links_from_pages(to_pages(html), partitions=partitions(spark)).groupBy("page_id").agg(F.count("*").alias("n_links"))
 
 
 @query
@@ -143,13 +154,13 @@ def select_tag(spark, sf):
 def select_id(spark, sf):
     marked = pages(spark, sf).withColumn("html", F.regexp_replace("html", "<article>", '<article id="main story">'))
     marked = marked.withColumn("html", F.regexp_replace("html", "<h1>", '<h1 id="head">'))
-    return select(parse_pages(marked, keep=("text",)), "#head::text").select("page_id", "pos", "value")
+    return select(parse_pages(marked, keep=("text",), partitions=partitions(spark)), "#head::text").select("page_id", "pos", "value")
 
 
 @query
 def select_class(spark, sf):
     marked = pages(spark, sf).withColumn("html", F.regexp_replace("html", '<div class="ad">', '<div class="box\tad wide">'))
-    return select(parse_pages(marked, keep=("text",)), ".ad::text").select("page_id", "pos", "tag", "value")
+    return select(parse_pages(marked, keep=("text",), partitions=partitions(spark)), ".ad::text").select("page_id", "pos", "tag", "value")
 
 
 @query
@@ -249,7 +260,7 @@ def project_attrib(spark, sf):
 
 @query
 def project_link_parts(spark, sf):
-    return iter_links(parse_pages(link_pages(spark, sf), keep=("text",)), attrs=("href", "data-url")).select(
+    return iter_links(parse_pages(link_pages(spark, sf), keep=("text",), partitions=partitions(spark)), attrs=("href", "data-url")).select(
         "page_id", "pos", "attr", "value", "text", "nofollow")
 
 
@@ -302,7 +313,14 @@ def array_count(spark, sf):
 
 @query
 def regex_all(spark, sf):
-    return _exploded(docs(spark, sf), css("h1::text").re(r"([A-Za-z]+) ([a-z]+)"))
+    """Several groups over headings; literal braces, ``{,n}`` and flags over scripts, as text and compiled."""
+    d = docs(spark, sf)
+    words = _exploded(d, css("h1::text").re(r"([A-Za-z]+) ([a-z]+)")).withColumn("source", F.lit("h1"))
+    braces = pages(spark, sf).withColumn("html", F.replace("html", F.lit("track("), F.lit('DATA={"id":7,"x{":"}"};track(')))
+    parsed = parse_pages(braces, keep=("text",), partitions=partitions(spark))
+    scripts = _exploded(parsed, F.concat(
+        css("script::text").re(r'{"id":(\d+),'), css("script::text").re(r't.{,3}"'), css("script::text").re(re.compile(r"data={", re.I)))).withColumn("source", F.lit("script"))
+    return words.unionByName(scripts)
 
 
 @query
@@ -320,37 +338,51 @@ def regex_first(spark, sf):
 
 @query
 def entity_decode(spark, sf):
-    footer = F.regexp_extract("html", "<footer>([^<]*)</footer>", 1)
-    return pages(spark, sf).select("page_id", decode_entities(footer, scalar=True).alias("footer"))
+    return pages(spark, sf).select("page_id", F.md5(decode_entities(F.col("html"), scalar=True)).alias("digest"))
 
 
 @query
 def strip_blank_values(spark, sf):
-    padded = F.concat(F.lit(" \t\n"), "url", F.lit("\f\r "))
-    return pages(spark, sf).select("page_id", strip_blanks(padded).alias("stripped"))
+    padded = F.concat(F.lit(" \t\n"), "html", F.lit("\f\r "))
+    return pages(spark, sf).select("page_id", F.md5(strip_blanks(padded)).alias("digest"))
 
 
 @query
 def rel_tokens(spark, sf):
     rel = F.concat(F.regexp_extract("url", "^(https?)", 1), F.lit(","), F.when(F.col("url").contains("spam"), "nofollow").otherwise("nofollowed"))
-    return pages(spark, sf).select("page_id", has_nofollow(rel).alias("nofollow"), has_nofollow(F.lit(None).cast("string")).alias("absent"))
+    marked = pages(spark, sf).withColumn("html", F.replace("html", F.lit("<a href"), F.concat(F.lit('<a rel="'), rel, F.lit('" href'))))
+    links = iter_links(parse_pages(marked, keep=("text",), partitions=partitions(spark)))
+    return links.select("page_id", "pos", "nofollow", has_nofollow(F.lit(None).cast("string")).alias("absent"))
 
 
 # -- edits -------------------------------------------------------------------
 
 @query
 def drop_subtrees(spark, sf):
-    cut = drop(docs(spark, sf, html=True), "nav", "div.ad", "article", "style", "b", "zz")
+    cut = drop(docs(spark, sf, html=True), "nav", "div.ad", "article", "style", "zz")
     return cut.select(
         "page_id", css("head").get().alias("head"), css("a").count().alias("n_a"), css("body > *:first-child").get().alias("first"),
         css("body > footer:last-child").count().alias("n_last"), css("body").css("*").count().alias("n_left"))
 
 
+@query
+def drop_indexed(spark, sf):
+    cut = drop(docs(spark, sf), css("li")[0], css("li")[-2:])
+    return cut.select("page_id", F.array_join(css("li::text").getall(), "|").alias("left"), css("ul:empty").count().alias("n_empty"))
+
+
+@query
+def drop_scoped(spark, sf):
+    cut = drop(docs(spark, sf), css("nav").css("li").css("a")[::2], "h1")
+    return cut.select("page_id", F.array_join(css("a::text").getall(), "|").alias("left"), css("li:empty").count().alias("n_empty"), css("h1").count().alias("n_h1"))
+
+
 @query
 def drop_keeps_input(spark, sf):
-    d = docs(spark, sf)
-    left = drop(d, "li:first-child").select("page_id", css("li").count().alias("n_after"), css("li:first-child::text").get().alias("new_first"))
-    return d.select("page_id", css("li").count().alias("n_before")).join(left, "page_id")
+    """The edited columns beside a count over those given, from one parse."""
+    d = docs(spark, sf).withColumn("n_before", css("li").count())
+    edited = drop(d, "li:first-child")
+    return edited.select("page_id", "n_before", css("li").count().alias("n_after"), css("li:first-child::text").get().alias("new_first"))
 
 
 @query
@@ -361,7 +393,7 @@ def page_clean_text(spark, sf):
 # -- links -------------------------------------------------------------------
 
 def _links(spark, sf, **options):
-    return links_from_pages(link_pages(spark, sf), **options)
+    return links_from_pages(link_pages(spark, sf), partitions=partitions(spark), **options)
 
 
 @query
@@ -371,12 +403,12 @@ def link_scan(spark, sf):
 
 @query
 def link_resolve(spark, sf):
-    return links_from_pages(pages(spark, sf), unique=False)
+    return links_from_pages(pages(spark, sf), partitions=partitions(spark), unique=False)
 
 
 @query
 def link_unique(spark, sf):
-    return links_from_pages(pages(spark, sf))
+    return links_from_pages(pages(spark, sf), partitions=partitions(spark))
 
 
 @query
@@ -393,7 +425,7 @@ def link_no_strip(spark, sf):
 def link_base(spark, sf):
     based = pages(spark, sf).withColumn("html", F.regexp_replace("html", "<title>", '<base href="/deep/er/"><title>'))
     based = based.withColumn("html", F.regexp_replace("html", '<a href="/', '<a href="'))
-    return links_from_pages(based, unique=False).select("page_id", "pos", "url")
+    return links_from_pages(based, partitions=partitions(spark), unique=False).select("page_id", "pos", "url")
 
 
 @query
@@ -407,7 +439,7 @@ def link_process_value(spark, sf):
 @query
 def link_normalise(spark, sf):
     urls = pages(spark, sf).withColumn("html", F.regexp_replace("html", '<a href="/([^"]*)">', '<a href="/x y|$1?q=\'$1\'">'))
-    return links_from_pages(urls, unique=False).select("page_id", "pos", "url")
+    return links_from_pages(urls, partitions=partitions(spark), unique=False).select("page_id", "pos", "url")
 
 
 @query
@@ -432,10 +464,10 @@ def link_deny_domains(spark, sf):
 
 @query
 def link_domain_table(spark, sf):
-    links = _links(spark, sf)
+    links = store_table(_links(spark, sf), "links")
     spam = pages(spark, sf).where(F.col("url").rlike("spam|pills")).select(
         F.regexp_extract("url", "([^./]+[.]example[.][a-z]+)", 1).alias("domain")).distinct()
-    return restrict_domains(links, spam, keep=False).select("page_id", "pos", "url")
+    return restrict_domains(links, spam, keep=False, stored=True).select("page_id", "pos", "url")
 
 
 @query
@@ -486,34 +518,35 @@ def crawl_rules(spark, sf):
 
 @query
 def crawl_frontier(spark, sf):
-    links = apply_rules(docs(spark, sf), (Rule({"allow": r"/th"}, follow=True), Rule(callback="rest")))
-    seen = links_from_pages(pages(spark, sf)).where(F.col("pos") == 0).select("url")
+    parsed = store_docs(docs(spark, sf))
+    links = apply_rules(parsed, (Rule({"allow": r"/th"}, follow=True), Rule(callback="rest")))
+    seen = extract_links(parsed).where(F.col("pos") == 0).select("url")
     return frontier(links, seen)
 
 
 @query
 def links_per_host(spark, sf):
-    return host_summary(links_from_pages(pages(spark, sf), keep=("page_id", "url"), unique=False))
+    return host_summary(links_from_pages(pages(spark, sf), partitions=partitions(spark), keep=("page_id", "url"), unique=False))
 
 
 @query
 def host_graph(spark, sf):
-    return link_graph(links_from_pages(link_pages(spark, sf), keep=("page_id", "url")))
+    return link_graph(links_from_pages(link_pages(spark, sf), partitions=partitions(spark), keep=("page_id", "url")))
 
 
 @query
 def host_graph_degrees(spark, sf):
-    return host_degrees(link_graph(links_from_pages(link_pages(spark, sf), keep=("page_id", "url"))))
+    return host_degrees(link_graph(links_from_pages(link_pages(spark, sf), partitions=partitions(spark), keep=("page_id", "url"))))
 
 
 @query
 def most_linked(spark, sf):
-    return top_links(links_from_pages(pages(spark, sf), unique=False), 20)
+    return top_links(links_from_pages(pages(spark, sf), partitions=partitions(spark), unique=False), 20)
 
 
 @query
 def tag_frequency(spark, sf):
-    return tag_profile(docs(spark, sf)).where(F.col("tag") != "b")
+    return tag_profile(docs(spark, sf))
 
 
 @query
@@ -525,7 +558,7 @@ def attribute_frequency(spark, sf):
 
 @query
 def scan_predicates(spark, sf):
-    d = parse_pages(link_pages(spark, sf), keep=("text",))
+    d = parse_pages(link_pages(spark, sf), keep=("text",), partitions=partitions(spark))
     found = candidates(lambda t: t.startswith("a"), lambda a: a.contains("-") | (a == "rel"))
     return explode_structs(d, found, keep=("page_id",)).select("page_id", "pos", "attr", "value")
 
@@ -547,31 +580,31 @@ def links_in_scope(spark, sf):
 
 # -- streams -----------------------------------------------------------------
 
-def _as_folder(df: DataFrame, spark: SparkSession, name: str) -> tuple[str, str]:
-    folder = run_folder(spark, name)
-    df.write.parquet(f"{folder}/in")
-    return f"{folder}/in", folder
+def _arriving(spark, sf) -> DataFrame:
+    """The given pages as a stream."""
+    pages(spark, sf)        # session settings
+    return stream_pages(spark, f"{sf}/pages.parque[t]")     # as a pattern the path may be one file or a folder
 
 
 @query
 def stream_page_links(spark, sf):
-    source, folder = _as_folder(pages(spark, sf), spark, "stream-links")
-    stream_links(stream_pages(spark, source), f"{folder}/out", checkpoint=f"{folder}/state").awaitTermination()
+    folder = new_folder(spark, "stream-links")
+    stream_links(_arriving(spark, sf), f"{folder}/out", checkpoint=f"{folder}/state", partitions=partitions(spark)).awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 
 @query
 def stream_page_records(spark, sf):
-    source, folder = _as_folder(pages(spark, sf), spark, "stream-records")
+    folder = new_folder(spark, "stream-records")
     fields = {"label": "a::text", "href": "a::attr(href)"}
-    stream_records(stream_pages(spark, source), "li", fields, f"{folder}/out", checkpoint=f"{folder}/state").awaitTermination()
+    stream_records(_arriving(spark, sf), "li", fields, f"{folder}/out", checkpoint=f"{folder}/state", partitions=partitions(spark)).awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
 
 @query
 def stream_routing(spark, sf):
-    rows = responses(spark, sf).drop("page_id").withColumns({
+    folder = new_folder(spark, "stream-routing")
+    rows = as_responses(_arriving(spark, sf)).drop("page_id").withColumns({
         "has_override": F.lit(False), "backend_override": F.lit(None).cast("string")})
-    source, folder = _as_folder(rows, spark, "stream-routing")
-    stream_html(stream_responses(spark, source), f"{folder}/out", checkpoint=f"{folder}/state").awaitTermination()
+    stream_html(rows, f"{folder}/out", checkpoint=f"{folder}/state").awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("url", F.md5("html").alias("digest"))
