@@ -33,6 +33,8 @@ KEYS = 30
 #: Nodes compared in one task at a time; larger blocks are dealt out as pairs of tiles.
 TILE = 4096
 LEAF = 32
+#: At most so many member rows (three longs each) are broadcast to the texts.
+SENT_ROWS = 1_000_000
 REMEMBERED = 400_000
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 #: Fixed odd multipliers that tell a word's place in its shingle, and a mixer's constants.
@@ -231,11 +233,15 @@ def _node(hashes: np.ndarray) -> int:
 
 def _tiled(rows: DataFrame, key: str, sizes: DataFrame, tile: int) -> DataFrame:
     """Rows with ``pair``: every pair of tiles of a block, so that any two rows of the block
-    meet in one of its pairs, and no pair holds much more than two tiles."""
-    tiles = sizes.where(F.col("n") > 1).select(key, F.ceil(F.col("n") / tile).cast("int").alias("_tiles"))
+    meet in one of its pairs, and no pair holds much more than two tiles.
+
+    Only the few blocks of more than a tile are listed, so the rows of all others need
+    not be shuffled for this.
+    """
+    large = stored(sizes.where(F.col("n") > tile).select(key, F.ceil(F.col("n") / tile).cast("int").alias("_tiles")), "large")
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("_tiles")).cast("int")
     partners = F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))
-    return (rows.join(tiles, key).withColumn("_own", own).withColumn("_other", partners)
+    return (rows.join(large, key, "left").withColumn("_tiles", F.coalesce("_tiles", F.lit(1))).withColumn("_own", own).withColumn("_other", partners)
             .withColumn("pair", F.greatest("_own", "_other").cast("long") * F.lit(1 << 31) + F.least("_own", "_other"))
             .drop("_own", "_other", "_tiles"))
 
@@ -320,7 +326,9 @@ def _verified(docs: DataFrame, members: DataFrame, percent: int, tile: int) -> D
 
         yield from in_batches(found(), links)
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(members, "doc_id").select("node", "block", "text")
+    # few documents are members: behind a check of their number they go to the texts, beyond it both are shuffled
+    few = members.count() <= SENT_ROWS
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(members) if few else members, "doc_id").select("node", "block", "text")
     filled = texts.mapInArrow(to_sets, "node long, block long, hashes binary, size long")
     sizes = members.groupBy("block").agg(F.count("*").alias("n"))
     return (_tiled(filled, "block", sizes, tile).repartition(parts, "block", "pair")
