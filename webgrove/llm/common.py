@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webgrove.session import configure
+from webgrove.sources.tables import new_folder, store_table
 
 #: ASCII white space, the separators of the contract's words.
 BLANKS = " \t\n\x0b\x0c\r"
-_own_folders: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -24,24 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared one (``spark.checkpoint.dir``).
-
-    Where none is set (tests in one process) a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _own_folders.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="run-")
-        _own_folders[spark.sparkContext.applicationId] = base
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4()}"
+    """A new folder below the cluster's shared one (``spark.checkpoint.dir``)."""
+    return new_folder(configure(spark), name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a new shared folder and read back: computed once, and it survives lost executors."""
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    configure(df.sparkSession)
+    return store_table(df, name)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
