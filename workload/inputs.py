@@ -57,12 +57,13 @@ def responses(spark: SparkSession, sf_dir: str, *, compressed: bool = False) ->
 
 
 def as_responses(pages: DataFrame, *, compressed: bool = False) -> DataFrame:
-    """``www.`` hosts say XML, ``m.`` hosts say XHTML with a charset, ``blog.`` hosts
+    """``www.`` hosts say XML, ``m.`` hosts say XHTML with a charset (an odd one with a query), ``blog.`` hosts
     say nothing; other hosts say plain text with https and HTML (UTF-16) with http."""
     host = F.regexp_extract("url", "^https?://([^/]+)", 1)
     utf16 = ~host.rlike("^(www|m|blog)[.]") & F.col("url").startswith("http://")
     content_type = (
         F.when(host.startswith("www."), "application/xml")
+        .when(host.startswith("m.") & F.col("url").contains("?"), "application/xhtml+xml; charset=unicode_escape")     # no charset of the web
         .when(host.startswith("m."), "Application/XHTML+xml; charset=utf-8")
         .when(host.startswith("blog."), F.lit(None))
         .when(F.col("url").startswith("https://"), "text/plain")

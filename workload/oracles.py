@@ -92,6 +92,7 @@ WHEN url LIKE 'https://%' THEN 'text' ELSE 'html' END"""
 KINDS = f"k AS (SELECT *, {KIND} AS kind FROM (SELECT *, regexp_extract(url,'^https?://([^/]+)',1) AS host FROM pages))"
 O["response_text"] = f"WITH {KINDS} SELECT page_id, url, md5(html) AS digest FROM k WHERE kind='html'"
 O["response_gunzip"] = O["response_text"]
+O["response_cut"] = "SELECT page_id, true AS is_whole, true AS is_packed FROM pages"
 O["sink_roundtrip"] = f"WITH {UNIQUE} SELECT page_id, pos, url FROM d"
 O["parse_tag_counts"] = f"""SELECT page_id, {n('<p>')} AS n_p, {n('<br>')} AS n_br, {n('<li>')} AS n_li, {n('<a href=')} AS n_a,
 {n('<div ')} AS n_div, {n('<meta ')} AS n_meta, {n('<script>')} AS n_script, {n('<h1>')} AS n_h1 FROM pages"""

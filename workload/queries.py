@@ -54,6 +54,14 @@ def response_gunzip(spark, sf):
     return decoded.select("page_id", "url", F.md5("html").alias("digest"))
 
 
+@query
+def response_cut(spark, sf):
+    """Bodies that lost their end stay packed, and say so."""
+    cut = responses(spark, sf, compressed=True).withColumn("body", F.expr("substring(body, 1, octet_length(body) - 9)"))
+    left = decompress(cut.withColumn("n_cut", F.octet_length("body")))
+    return left.select("page_id", (F.octet_length("body") == F.col("n_cut")).alias("is_whole"), F.map_contains_key("headers", "content-encoding").alias("is_packed"))
+
+
 @query
 def sink_roundtrip(spark, sf):
     folder = new_folder(spark, "sink")
