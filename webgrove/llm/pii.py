@@ -43,12 +43,17 @@ _DIGITS = re.compile(
     r"|(?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d))"
     r"|(?P<ssn>(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-]))"
     r"|(?P<card>(?<![\w])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7})(?![\w]))"
-    r"|(?P<key>(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{40}|[0-9A-F]{40})(?![A-Za-z0-9]))"
+    r"|(?P<key>(?<![A-Za-z0-9])(?:[0-9a-f]{40}|[0-9A-F]{40})(?![A-Za-z0-9]))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))")
 _SECRET = re.compile(r"""(?i)(?:token|password|passwd|secret|api[_-]?key)["'#*$%&!]{0,3}\s*[:=][#*$%&!]{0,3}\s*["']?([a-z0-9_\-/+]{8,})""")
 _PERSON = re.compile(rf"(?<!\w)({_TITLE})\.?[  ]+({_NAME}(?:[  ]{_NAME}){{0,2}})(?!\w)")
-_HAS_TITLE = re.compile(_TITLE)
-_SECRET_WORD = re.compile(r"(?i)token|passw|secret|api[_-]?key")
+_ACCESS = re.compile(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])")
+# What a text must hold for the patterns to be tried at all, and how far a match reaches around a digit in it.
+_TITLE_ENDS = tuple(t + end for titles in TITLES.values() for t in titles for end in (" ", "\xa0", "."))
+_SECRET_WORDS = ("token", "passw", "secret", "api")
+_DIGIT_RUN = re.compile(r"\d+")
+_REACH = 64
+_BLANK = re.compile(r"\s")
 
 
 def luhn_digit(digits: str) -> str:
@@ -78,14 +83,18 @@ def _valid(kind: str, value: str) -> bool:
 def detect(text: str) -> list[tuple[int, int, str]]:
     """``start, end, type`` of entities in order, none inside another; name tokens carry script and gender."""
     found: list[tuple[int, int, str]] = []
-    if "@" in text:
-        found += [(*m.span(), "email") for m in _EMAIL.finditer(text)]
-    for m in _DIGITS.finditer(text):
-        if _valid(m.lastgroup, m[0]):
-            found.append((*m.span(), m.lastgroup))
-    if _SECRET_WORD.search(text):
+    for start, end in _around_signs(text):
+        found += [(*m.span(), "email") for m in _EMAIL.finditer(text, start, end)]
+    for start, end in _around_digits(text):
+        for m in _DIGITS.finditer(text, start, end):
+            if _valid(m.lastgroup, m[0]):
+                found.append((*m.span(), m.lastgroup))
+    if "AKIA" in text:
+        found += [(*m.span(), "key") for m in _ACCESS.finditer(text)]
+    lower = text.lower()
+    if any(word in lower for word in _SECRET_WORDS):
         found += [(*m.span(1), "secret") for m in _SECRET.finditer(text)]
-    if _HAS_TITLE.search(text):
+    if any(end in text for end in _TITLE_ENDS):
         for m in _PERSON.finditer(text):
             tokens = list(re.finditer(_NAME, m[2]))
             for token in tokens:
@@ -99,6 +108,30 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _around_signs(text: str) -> Iterator[tuple[int, int]]:
+    """The stretches without white space that hold an ``@``."""
+    at = text.find("@")
+    while at >= 0:
+        start = max(text.rfind(c, 0, at) for c in " \n\t") + 1
+        blank = _BLANK.search(text, at)
+        end = blank.start() if blank else len(text)
+        yield start, end
+        at = text.find("@", end)
+
+
+def _around_digits(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches that hold every digit with its surroundings; no match with a digit is cut by their ends."""
+    start = end = -1
+    for m in _DIGIT_RUN.finditer(text):
+        if m.start() - _REACH > end:
+            if end >= 0:
+                yield start, end
+            start = max(0, m.start() - _REACH)
+        end = min(len(text), m.end() + _REACH)
+    if end >= 0:
+        yield start, end
+
+
 def script(name: str) -> str:
     c = name[0]
     return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" or "ἀ" <= c <= "῿" else "latin"
