@@ -403,6 +403,27 @@ def test_surrogates(spark, odd, nothing):
         pii.replace_entities(docs, key=b"short")
 
 
+PHONES = ["555-123-4567", "202.555.0143", "1-800-555-0199", "+49 30 1234567", "+49 (0) 30 / 123456", "0049 30 1234567", "+33 1 23 45 67 89", "+34 612 34 56 78",
+          "+44 20 7946 0958", "+353 1 234 5678", "+4915123456789", "030 1234567", "(030) 123 45 67", "0170/1234567", "089 - 12345678", "01 23 45 67 89",
+          "06.12.34.56.78", "020 7946 0958", "612 34 56 78", "91 234 56 78", "+1 (017) 555-7713"]
+NO_PHONES = ["01.02.2024 10:30", "05/06/2023", "01/02/24 - 03/04/24", "+3.14159265", "0.123456789", "ISBN 0306406152", "0123 4567 8901 2345", "1,234,567.0123", "100 000 000"]
+
+
+def test_phones_written_by_hand(spark):
+    """Mentions that no generator made, each gone; its separators and country code stay."""
+    docs = spark.createDataFrame([(i, f"call {t}, now") for i, t in enumerate(PHONES + NO_PHONES)], "doc_id long, text string")
+    text = {r.doc_id: (r.text, r.n_replaced) for r in pii.replace_entities(docs, key=KEY).collect()}
+    for i, mention in enumerate(PHONES):
+        new, n = text[i]
+        assert n == 1 and mention not in new and re.sub(r"\d", "", new) == f"call {re.sub(chr(92) + 'd', '', mention)}, now", (mention, new)
+        if mention.startswith(("+", "00")):
+            code = re.match(r"(?:\+|00)(?:1|353|\d\d)", mention)[0]
+            assert new.startswith(f"call {code}")
+    assert [text[len(PHONES) + i] for i in range(len(NO_PHONES))] == [(f"call {t}, now", 0) for t in NO_PHONES]
+    same = [re.sub(r"\(0\)|\D", "", text[PHONES.index(t)][0]).removeprefix("00") for t in ("+49 30 1234567", "0049 30 1234567")]
+    assert same[0] == same[1]
+
+
 def test_colliding_surrogates_are_drawn_again(spark):
     """All addresses of a tiny format: most first draws collide; none may in the end."""
     docs = spark.createDataFrame([(i, f"write to a.{i:02d}@example.com now") for i in range(60)], "doc_id long, text string")

@@ -32,6 +32,8 @@ GIVEN = {("latin", "m"): ("Al", "Ben", "Dan", "Ed", "Jon", "Leo", "Max", "Tom"),
 SYLLABLES = {"latin": ("ba", "co", "du", "fe", "gi", "ha", "ko", "lu", "me", "ni", "po", "ra", "se", "ti", "vo", "we"),
              "cyrillic": ("ба", "ве", "го", "ди", "жу", "за", "ко", "лу", "ме", "ни", "по", "ра", "се", "ти", "фо", "ша"),
              "greek": ("βα", "γε", "δι", "ζο", "θα", "κε", "λι", "μο", "να", "πε", "ρι", "σο", "τα", "φε", "χι", "ψο")}
+#: The country codes of two digits; 1 and 7 have one, all others three.
+_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 _GENDER = {title.lower(): gender for gender, titles in TITLES.items() for title in titles}
 _TITLE = "|".join(sorted((t for titles in TITLES.values() for t in titles), key=len, reverse=True))
 _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яёα-ωά-ώ]"
@@ -45,6 +47,21 @@ _DIGITS = re.compile(
     r"|(?P<card>(?<![\w])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2}[ \-]\d{1,7})(?![\w]))"
     r"|(?P<key>(?<![A-Za-z0-9])(?:[0-9a-f]{40}|[0-9A-F]{40})(?![A-Za-z0-9]))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))")
+# Phone numbers in free groups (``_dialled`` counts their digits): behind + or 00, with a leading 0,
+# then the fixed national forms 3-3-4 and Spain's nine digits.
+_GAP = r"[ \xa0\u202f.\-\u2013/()]{1,3}"
+_ALONE = r"(?<![\w.,+/=\-])"
+_APART = r"(?<![0-9][ \xa0\u202f])"
+_ENDS = r"(?!\w|[.,\-/][0-9])"
+_DIALLED = re.compile(
+    rf"(?P<abroad>(?:(?<![0-9+])\+|{_ALONE}00)[ \xa0]?[1-9][0-9]{{0,14}}(?:(?![ \xa0][.\-\u2013][ \xa0]){_GAP}[0-9]{{1,14}}){{0,7}}(?![0-9]))"
+    rf"|(?P<area>{_ALONE}{_APART}(?<!ISBN )(?<!ISBN: )\(?0[1-9][0-9]{{0,11}}(?:{_GAP}[0-9]{{1,11}}){{0,6}}(?!\w))"
+    rf"|(?P<fixed>{_ALONE}(?:(?:1[.\-])?[0-9]{{3}}[.\-/][0-9]{{3}}[.\-][0-9]{{4}}|{_APART}(?:(?:1[ \xa0])?[0-9]{{3}}[ \xa0][0-9]{{3}}[ \xa0.\-][0-9]{{4}}"
+    r"|[6-9][0-9]{2}(?:[ \xa0\-][0-9]{2}){3}(?![ \xa0][0-9])|[89][0-9][ \xa0\-][0-9]{3}(?:[ \xa0\-][0-9]{2}){2}(?![ \xa0][0-9])"
+    rf"|[6-9][0-9]{{2}}(?:[ \xa0\-][0-9]{{3}}){{2}}(?![ \xa0][0-9]))){_ENDS})")
+_DATE = re.compile(r"\(?[0-9]{1,2}([./\- ])[0-9]{1,2}\1(?:[0-9]{4}|[0-9]{2})(?!\1?[0-9])")
+_GROUP = re.compile(r"[0-9]+")
+_TRUNK = re.compile(r"\(0\)")
 _SECRET = re.compile(r"""(?i)(?:token|password|passwd|secret|api[_-]?key)["'#*$%&!]{0,3}\s*[:=][#*$%&!]{0,3}\s*["']?([a-z0-9_\-/+]{8,})""")
 _PERSON = re.compile(rf"(?<!\w)({_TITLE})\.?[  ]+({_NAME}(?:[  ]{_NAME}){{0,2}})(?!\w)")
 _ACCESS = re.compile(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])")
@@ -80,15 +97,47 @@ def _valid(kind: str, value: str) -> bool:
     return True
 
 
+def _dialled(m: re.Match[str]) -> int:
+    """Where the phone number of a ``_DIALLED`` match ends, or -1: whole groups, 7 to 15 digits abroad, 9 to 12 behind a leading 0."""
+    if m.lastgroup == "fixed":
+        return m.end()
+    abroad = m.lastgroup == "abroad"
+    groups = [(g[0], g.end()) for g in _GROUP.finditer(m.string, m.start(), m.end())]
+    if abroad and m[0].startswith("00"):
+        groups[0] = groups[0][0][2:] or groups.pop(1)[0], groups[0][1]
+        if len(groups) == 1:                        # a long number with zeros in front
+            return -1
+    head = groups[0][0]
+    least, most = (7, 15) if abroad else (9, 12)
+    if abroad and head[0] in "17":
+        least = most = 11
+    elif abroad and len(head) < 2 or not abroad and _DATE.match(m.string, m.start()):
+        return -1
+    n, end = 0, -1
+    for i, (digits, at) in enumerate(groups):
+        trunk = digits == "0" and m.string[at:at + 1] == ")"
+        if n + len(digits) > most + trunk or (i > 1 and len(digits) < 2 and not trunk and groups[i - 1][0] != "0"):
+            break
+        n, end = n + len(digits) - (trunk and abroad), at
+    return end if n >= least else -1
+
+
 def detect(text: str) -> list[tuple[int, int, str]]:
     """``start, end, type`` of entities in order, none inside another; name tokens carry script and gender."""
     found: list[tuple[int, int, str]] = []
     for start, end in _around_signs(text):
         found += [(*m.span(), "email") for m in _EMAIL.finditer(text, start, end)]
     for start, end in _around_digits(text):
+        failed = []
         for m in _DIGITS.finditer(text, start, end):
             if _valid(m.lastgroup, m[0]):
                 found.append((*m.span(), m.lastgroup))
+            else:
+                failed.append(m.span())
+        for m in _DIALLED.finditer(text, start, end):
+            until = _dialled(m)
+            if until >= 0 and not any(a < until and m.start() < b for a, b in failed):
+                found.append((m.start(), until, "phone"))
     if "AKIA" in text:
         found += [(*m.span(), "key") for m in _ACCESS.finditer(text)]
     lower = text.lower()
@@ -139,7 +188,12 @@ def script(name: str) -> str:
 
 def normal(kind: str, value: str) -> str:
     """What mentions of one entity have in common."""
-    if kind in ("phone", "card", "ssn"):
+    if kind == "phone":
+        digits = re.sub(r"\D", "", value)
+        if value[0] == "+" or value.startswith("00") or len(digits) == 11 and digits[0] == "1":
+            return "+" + re.sub(r"\D", "", _TRUNK.sub("", value)).removeprefix("00")
+        return digits
+    if kind in ("card", "ssn"):
         return re.sub(r"\D", "", value)
     if kind == "iban":
         return value.replace(" ", "")
@@ -168,6 +222,13 @@ class Stream:
         return "e" if c.isalpha() and c.islower() else "E" if c.isalpha() else c
 
 
+def _code_digits(digits: str) -> int:
+    """How many digits the country code in front has."""
+    if digits[0] in "17":
+        return 1
+    return 2 if digits[:2] in _CODES else 3
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """The normalised surrogate of a normalised entity."""
     draw = Stream(key, kind, value, attempt)
@@ -189,8 +250,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         low = {1: (1, 9), 2: (10, 90), 3: (100, 155)}
         return ".".join(str(low[len(part)][0] + draw.below(low[len(part)][1])) for part in value.split("."))
     if kind == "phone":
-        body = "".join(draw.like(c) for c in value[-10:])
-        return value[:-10] + body[:3] + (value[-7:-4] if value[-7:-4] == "555" else body[3:6]) + body[6:]
+        kept = 1 + _code_digits(value[1:]) if value[0] == "+" else 1 if value[0] == "0" else 0
+        body = value[:kept] + "".join(map(draw.like, value[kept:]))
+        return body[:-7] + (value[-7:-4] if value[-7:-4] == "555" else body[-7:-4]) + body[-4:]
     if kind == "card":
         body = value[0] + "".join(map(draw.like, value[1:-1]))
         return body + luhn_digit(body)
@@ -206,7 +268,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
 
 def shaped(kind: str, mention: str, new: str) -> str:
     """A normalised surrogate in the spelling of the mention: its separators and its case."""
-    if kind in ("phone", "card", "ssn", "iban"):
+    if kind == "phone":
+        given = iter(new.removeprefix("+"))
+        zeros = 2 if mention.startswith("00") and new[0] == "+" else 0
+        return mention[:zeros] + re.sub(r"\(0\)|\d", lambda m: next(given) if m[0] != "(0)" or new[0] != "+" else m[0], mention[zeros:])
+    if kind in ("card", "ssn", "iban"):
         given = iter(new)
         return "".join(next(given) if c.isalnum() else c for c in mention)
     if kind.startswith(("given", "surname")):
