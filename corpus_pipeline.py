@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webgrove.llm import decontaminate, jaccard, packing, pii, quality
@@ -10,6 +10,11 @@ from webgrove.llm.common import stored, table
 from webgrove.llm.queries import SURROGATE_KEY, vocabulary
 
 
+def text_digest() -> Column:
+    """What rows of one text have in common; null for no text."""
+    return F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     judged = quality.quality_rules(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -17,18 +22,28 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies; documents without an id all stay."""
-    groups = jaccard.jaccard_components(docs)
-    first = stored(groups.where("component_id = doc_id").select("doc_id").distinct(), "first")
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each group of near copies, that of the least id; documents without an id all stay.
+
+    An id is no key: of its texts, those in different groups stay.  Rows are told apart by id
+    and digest of the text, and of rows that share both the least one stays, in every run.
+    """
+    keyed = docs.withColumn("_digest", text_digest())
+    groups = jaccard.jaccard_components(keyed.select(F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "_digest").alias("doc_id"), "text"))
+    first = stored(groups.where("component_id = doc_id and not doc_id.nameless").select("doc_id.doc_id", "doc_id._digest").distinct(), "first")
+    named = (keyed.join(first, (keyed["doc_id"] == first["doc_id"]) & keyed["_digest"].eqNullSafe(first["_digest"]), "left_semi")
+             .groupBy("doc_id", "_digest").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*"))
     return named.unionByName(docs.where("doc_id is null"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated, as they are; of those without an id too."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), keep_text=False)
+    """Documents that are not contaminated, as they are; of those without an id too.
+
+    The verdict is one on the text, so it is carried by the text's digest, not by an id that other texts may have.
+    """
+    texts = docs.select(text_digest().alias("doc_id"), "text")
+    found = decontaminate.find_contamination(texts, table(spark, sf_dir, "benchmark", "item_id", "text"), keep_text=False)
     hit = stored(found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
+    return docs.join(hit, text_digest() == F.col("_hit"), "left_anti").select(*docs.columns)
 
 
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

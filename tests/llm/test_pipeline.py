@@ -58,6 +58,39 @@ def test_repeated_rows_and_ids(spark):
     assert not any(re.search("7713", r.text or "") for r in clean.collect()) and len(SURROGATE_KEY) >= 16
 
 
+FIELDS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(start, n=80):
+    return " ".join(f"word{i}" for i in range(start, start + n))
+
+
+def test_verdict_of_a_row_is_its_own(spark):
+    """A contaminated text takes no other row of its id, or without an id, along."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").select("text").first()[0]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in
+                                  [(None, item), (None, words(0)), (None, None), (4, item), (4, words(500)), (4, words(500)), (5, words(0)), (6, item)]], FIELDS)
+    left = corpus_pipeline.decontamination_stage(spark, docs, SF)
+    assert left.columns == docs.columns
+    key = lambda r: (r[0] or 0, r[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=key) == sorted(
+        [(None, words(0)), (None, None), (4, words(500)), (4, words(500)), (5, words(0))], key=key)
+
+
+def test_texts_of_one_id_stay_apart(spark):
+    """Of an id's rows one per group of near copies stays; what stays does not depend on the order of rows."""
+    given = [(7, words(0), "en", "s", 1), (7, words(500), "en", "s", 1), (7, words(500), "de", "s", 1), (7, words(500) + " end", "en", "s", 1), (8, words(500), "en", "s", 1),
+             (9, words(900), "en", "s", 1), (3, words(900) + " end", "en", "s", 1), (9, words(2000), "en", "s", 1), (1, None, "en", "s", 1), (1, "", "en", "s", 1),
+             (None, words(0), "en", "s", 1), (None, words(7000), "en", "s", 1)]
+    got = []
+    for rows in (given, given[::-1]):
+        left = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, FIELDS).repartition(5), SF).collect()
+        got.append(sorted((tuple(r) for r in left), key=str))
+    assert got[0] == got[1]
+    ids = sorted((r[0] or 0, (r[1] or "").split(" ")[0]) for r in got[0])
+    assert ids == [(0, "word0"), (0, "word7000"), (1, ""), (1, ""), (3, "word900"), (7, "word0"), (7, "word500"), (9, "word2000")]
+
+
 def test_stages_on_an_empty_table(spark):
     docs = table(spark, SF, "documents", "doc_id", "text", "lang", "source", "n_chars").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -303,9 +303,13 @@ def _verified(docs: DataFrame, members: DataFrame, percent: int, tile: int) -> D
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
+            seen: set[int] = set()                  # a task sends each node once, however often its row is repeated
             for node, block, text in rows_of(batches, "node", "block", "text"):
+                if node in seen:
+                    continue
                 hashes = shingles(text_bytes(text))
                 if _node(hashes) == node:           # a repeated id may belong to another text
+                    seen.add(node)
                     yield node, block, hashes.tobytes(), len(hashes)
 
         yield from in_batches(rows(), sets)
