@@ -431,6 +431,17 @@ def test_colliding_surrogates_are_drawn_again(spark):
     assert len(set(mails)) == 60 and not set(mails) & {f"a.{i:02d}@example.com" for i in range(60)}
 
 
+def test_a_full_format_gives_way_to_a_wider_one(spark):
+    """Every address of four digits is an entity, so none can be a surrogate."""
+    given = [".".join(f"{i:04d}") for i in range(10_000)]
+    docs = spark.createDataFrame([(i, "at " + " ".join(given[i::20])) for i in range(20)], "doc_id long, text string")
+    new = [w for r in pii.replace_entities(docs, key=KEY).collect() for w in r.text.split()[1:]]
+    assert len(new) == len(set(new)) == 10_000 and not set(new) & set(given)
+    assert all(0 < int(part) < 256 for w in new for part in w.split("."))
+    drawn = {pii.surrogate(KEY, "ip", "8.8.8.8", n) for n in range(pii.ATTEMPTS)} | {pii.surrogate(KEY, "phone", "+4912345", n) for n in range(pii.ATTEMPTS)}
+    assert all(re.fullmatch(r"\+[1-9]\d{6}|\d+(\.\d+){3}", d) for d in drawn)
+
+
 def test_types_of_results(spark):
     kinds = {"conv_id": T.LongType(), "n_turns": T.LongType(), "turns_sha256": T.StringType(), "loss_chars": T.LongType(), "loss_sha256": T.StringType(), "formatted_chars": T.LongType()}
     assert {f.name: f.dataType for f in QUERIES["op1_chat_windows"](spark, SF).schema} == kinds

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from webgrove.llm.common import in_batches, rows_of, stored, text_bytes
 
 ATTEMPTS = 64
+#: Attempts after which an address or a phone number that is still open gets a wider format.
+WIDER = 8
 _JUNK = r"[\s.\-#*$%&!]"
 #: Titles that tell a bearer's gender.
 TITLES = {"m": ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Don", "господин", "κύριος"),
@@ -248,9 +250,16 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return longer + "".join(map(draw.like, local)) + "@" + ".".join(host + labels[-kept:])
     if kind == "ip":
         low = {1: (1, 9), 2: (10, 90), 3: (100, 155)}
+        if attempt >= 2 * WIDER:
+            return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        if attempt >= WIDER:
+            return ".".join(str(low[n][0] + draw.below(low[n][1])) for n in (min(3, len(part) + 1) for part in value.split(".")))
         return ".".join(str(low[len(part)][0] + draw.below(low[len(part)][1])) for part in value.split("."))
     if kind == "phone":
         kept = 1 + _code_digits(value[1:]) if value[0] == "+" else 1 if value[0] == "0" else 0
+        if attempt >= WIDER:
+            head = "+" + str(1 + draw.below(9)) if value[0] == "+" else value[:kept]
+            return head + "".join(map(draw.like, value[len(head):]))
         body = value[:kept] + "".join(map(draw.like, value[kept:]))
         return body[:-7] + (value[-7:-4] if value[-7:-4] == "555" else body[-7:-4]) + body[-4:]
     if kind == "card":
@@ -307,6 +316,11 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
 
     A round draws for all that are open.  An entity keeps its draw if no entity has that
     value, none kept it in an earlier round and no smaller open value drew it too.
+
+    A full format gives way to a wider one of the same type: emails and names grow longer, after
+    ``WIDER`` attempts the parts of an IP address get a digit more and after as many again any
+    value from 1 to 254, and a phone number keeps neither country code nor 555 (its count of
+    digits stays).  So an address stays open only where the corpus holds most of all addresses there are.
     """
     schema = pa.schema([("kind", pa.string()), ("value", pa.string()), ("attempt", pa.int32()), ("new", pa.string())])
     names = "kind string, value string, attempt int, new string"
