@@ -233,6 +233,17 @@ def test_jaccard_of_odd_rows(spark, odd, nothing):
         (1, 0, 1), (2, 0, 2), (3, 0, 3), (5, 1, 5), (6, 1, 5), (7, 3, 7)}
 
 
+def test_jaccard_through_a_text_without_id(spark):
+    """A and B are linked only through a text that no named document has."""
+    def text(a):
+        return " ".join(f"w{i}" for i in range(a, a + 200))
+
+    docs = [(1, text(0)), (None, text(10)), (None, text(10)), (2, text(30)), (3, text(5000)), (None, text(5010)), (None, text(9000)), (None, text(9010)), (None, None)]
+    got = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows(got, "doc_id", "component_id") == sorted(
+        [(1, 1), (2, 1), (None, 1), (None, 1), (3, 3), (None, 3), (None, None), (None, None), (None, None)], key=lambda r: tuple((v is not None, v or 0) for v in r))
+
+
 def test_tree_loses_nothing_and_bounds_hold():
     draw = np.random.default_rng(2)
     sizes = np.sort(draw.integers(40, 60, 300))

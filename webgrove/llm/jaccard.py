@@ -18,7 +18,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webgrove.llm.common import in_batches, rows_of, runs, shuffle_partitions, stored, text_bytes
@@ -207,24 +207,30 @@ def classes_in(vectors: list[np.ndarray], sizes: list[int], percent: int, linked
     return classes.roots()
 
 
+def _digest() -> Column:
+    """Of a text without an id."""
+    return F.when(F.isnull("doc_id"), F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+
+
 def _describe(docs: DataFrame, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, node, keys, vector``; nodes are 64-bit digests of whole sets, null for empty ones."""
+    """``doc_id, digest, n_shingles, node, keys, vector``; nodes are 64-bit digests of whole sets, null
+    for empty ones.  ``digest``, of the text, stands in for a null id and is null elsewhere."""
     id_type, id_name = docs.limit(0).select("doc_id").toArrow().schema.field(0).type, docs.schema["doc_id"].dataType.simpleString()
-    schema = pa.schema([("doc_id", id_type), ("n_shingles", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64())), ("vector", pa.binary())])
+    schema = pa.schema([("doc_id", id_type), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64())), ("vector", pa.binary())])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
+            for doc_id, digest, text in rows_of(batches, "doc_id", "digest", "text"):
                 hashes = shingles(text_bytes(text))
                 if len(hashes):
-                    yield doc_id, len(hashes), _node(hashes), block_keys(hashes, percent).view(np.int64), packed_vector(hashes)
+                    yield doc_id, digest, len(hashes), _node(hashes), block_keys(hashes, percent).view(np.int64), packed_vector(hashes)
                 else:
-                    yield doc_id, 0, None, None, None
+                    yield doc_id, digest, 0, None, None, None
 
         yield from in_batches(rows(), schema)
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        describe, f"doc_id {id_name}, n_shingles long, node long, keys array<long>, vector binary")
+    return docs.select("doc_id", _digest().alias("digest"), F.col("text").cast("binary").alias("text")).mapInArrow(
+        describe, f"doc_id {id_name}, digest binary, n_shingles long, node long, keys array<long>, vector binary")
 
 
 def _node(hashes: np.ndarray) -> int:
@@ -295,7 +301,8 @@ def _shared(percent: int):
 def _verified(docs: DataFrame, members: DataFrame, percent: int, tile: int) -> DataFrame:
     """Links ``a, b`` of nodes whose whole sets are as similar as wanted, enough to join each class.
 
-    ``members``: ``doc_id, node, block``, one document for every node to look at.
+    ``members``: ``doc_id, digest, node, block``, one document for every node to look at, by its
+    id or, if only documents without one have that set, by the digest of its text.
     """
     parts = shuffle_partitions(docs.sparkSession)
     sets = pa.schema([("node", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("size", pa.int64())])
@@ -332,7 +339,13 @@ def _verified(docs: DataFrame, members: DataFrame, percent: int, tile: int) -> D
 
     # few documents are members: behind a check of their number they go to the texts, beyond it both are shuffled
     few = members.count() <= SENT_ROWS
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(members) if few else members, "doc_id").select("node", "block", "text")
+    def texts_by(key: str, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        wanted = wanted.select(key, "node", "block")
+        return rows.join(F.broadcast(wanted) if few else wanted, key).select("node", "block", "text")
+
+    whole = F.col("text").cast("binary").alias("text")
+    texts = texts_by("doc_id", docs.select("doc_id", whole), members.where("doc_id is not null")).unionByName(
+        texts_by("digest", docs.where("doc_id is null").select(_digest().alias("digest"), whole), members.where("doc_id is null")))
     filled = texts.mapInArrow(to_sets, "node long, block long, hashes binary, size long")
     sizes = members.groupBy("block").agg(F.count("*").alias("n"))
     return (_tiled(filled, "block", sizes, tile).repartition(parts, "block", "pair")
@@ -350,10 +363,10 @@ def jaccard_components(docs: DataFrame, *, percent: int = PERCENT, tile: int = T
     """
     described = stored(_describe(docs, percent), "described")
     nodes = stored(described.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("vector").alias("vector")), "nodes")
+        F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("vector").alias("vector")), "nodes")
     near = component_labels(_candidates(nodes, percent, tile))
     blocks = near.select("node", F.col("label").alias("block")).unionByName(near.select(F.col("label").alias("node"), F.col("label").alias("block")).distinct())
-    members = stored(nodes.where("doc_id is not null").select("node", "doc_id").join(blocks, "node").select("doc_id", "node", "block"), "members")
+    members = stored(nodes.select("node", "doc_id", "digest").join(blocks, "node").select("doc_id", "digest", "node", "block"), "members")
     labels = component_labels(_verified(docs, members, percent, tile))
     placed = nodes.select("node", F.col("doc_id").alias("_least")).join(labels, "node", "left").select(
         "node", F.coalesce("label", "node").alias("label"), "_least")
