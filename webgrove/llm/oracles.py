@@ -30,6 +30,12 @@ def _feistel(x: str) -> str:
     return f"list_reduce(list_prepend(({x})::BIGINT, [{keys}]), lambda s, k: ({right} << n.half) | xor(s >> n.half, {_mixed(right, 'k')}))"
 
 
+def _leaf(n_chars: str) -> str:
+    """A document's digest with the given number of characters."""
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen(({f})::VARCHAR)::VARCHAR || ':' || ({f})::VARCHAR END" for f in fields) + ")"
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
@@ -45,6 +51,31 @@ walk AS (
     UNION ALL
     SELECT y, doc_id, size, text_crc32, y < n.total FROM (SELECT {_feistel('x')} AS y, doc_id, size, text_crc32, done FROM walk, n) w, n WHERE NOT done)
 SELECT doc_id, size, text_crc32, 'rows' AS law, (x % 16)::INTEGER AS shard, x // 16 AS slot, NULL::INTEGER AS grown_shard FROM walk WHERE done
+""",
+    # both trees level by level, then every leaf's walk up its own and the last one
+    "op12_merkle_manifest": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+rows AS (SELECT row_number() OVER () AS id, * FROM documents),
+seals AS (SELECT id, doc_id, lang, {_leaf('n_chars')} AS leaf,
+    CASE WHEN {_crc32('doc_id::VARCHAR')} % 7 = 0 THEN {_leaf('n_chars + 1')} ELSE {_leaf('n_chars')} END AS claimed FROM rows, crc),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM seals),
+lower_tree AS (SELECT lang, 0 AS lvl, idx, n, leaf AS h FROM leaves
+    UNION ALL SELECT lang, lvl + 1, idx // 2, (n + 1) // 2, sha256(h || coalesce(after, ''))
+    FROM (SELECT *, lead(h) OVER (PARTITION BY lang ORDER BY idx) AS after FROM lower_tree WHERE n > 1) WHERE idx % 2 = 0),
+subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM lower_tree WHERE n = 1),
+upper_tree AS (SELECT 0 AS lvl, idx, n, h FROM subroots
+    UNION ALL SELECT lvl + 1, idx // 2, (n + 1) // 2, sha256(h || coalesce(after, ''))
+    FROM (SELECT *, lead(h) OVER (ORDER BY idx) AS after FROM upper_tree WHERE n > 1) WHERE idx % 2 = 0),
+climb AS (SELECT id, lang, 0 AS lvl, idx, n, claimed AS f, '' AS p FROM leaves
+    UNION ALL SELECT c.id, c.lang, c.lvl + 1, c.idx // 2, (c.n + 1) // 2,
+        sha256(CASE WHEN c.idx % 2 = 0 THEN c.f || coalesce(s.h, '') ELSE coalesce(s.h, '') || c.f END), c.p || coalesce(s.h, '')
+    FROM climb c LEFT JOIN lower_tree s ON s.lang IS NOT DISTINCT FROM c.lang AND s.lvl = c.lvl AND s.idx = xor(c.idx, 1) WHERE c.n > 1),
+crown AS (SELECT c.id, 0 AS lvl, s.idx, s.n, c.f, c.p FROM climb c JOIN subroots s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1
+    UNION ALL SELECT c.id, c.lvl + 1, c.idx // 2, (c.n + 1) // 2,
+        sha256(CASE WHEN c.idx % 2 = 0 THEN c.f || coalesce(s.h, '') ELSE coalesce(s.h, '') || c.f END), c.p || coalesce(s.h, '')
+    FROM crown c LEFT JOIN upper_tree s ON s.lvl = c.lvl AND s.idx = xor(c.idx, 1) WHERE c.n > 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, sha256(c.p) AS proof_sha256, c.f AS folded_root, c.f = r.h AS verified
+FROM crown c JOIN leaves l USING (id) JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang, (SELECT h FROM upper_tree WHERE n = 1) r WHERE c.n = 1
 """,
     "op3_jaccard_join": r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

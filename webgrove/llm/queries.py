@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webgrove.llm import chat, decontaminate, jaccard, packing, pii, quality, sharding, tokens, urls, warc
+from webgrove.llm import chat, decontaminate, jaccard, merkle, packing, pii, quality, sharding, tokens, urls, warc
 from webgrove.llm.common import table
 
 
@@ -75,6 +75,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = table(spark, sf_dir, "documents", *fields)
+    # a seventh of the documents claims one character more than it has
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    forged = merkle.leaf_digest(*(F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields))
+    manifest = merkle.merkle_manifest(docs.withColumn("forged", F.when(tampered, forged)), fields=fields, carry=("forged",))
+    checked = merkle.verified(manifest.withColumn("claimed", F.coalesce("forged", "leaf")), "claimed")
+    return checked.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "op1_chat_windows": op1_chat_windows,
     "op2_packing": op2_packing,
@@ -86,4 +97,5 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
