@@ -36,6 +36,8 @@ def _leaf(n_chars: str) -> str:
     return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen(({f})::VARCHAR)::VARCHAR || ':' || ({f})::VARCHAR END" for f in fields) + ")"
 
 
+#: The words of a text in lower case.
+_LETTERS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
@@ -51,6 +53,23 @@ walk AS (
     UNION ALL
     SELECT y, doc_id, size, text_crc32, y < n.total FROM (SELECT {_feistel('x')} AS y, doc_id, size, text_crc32, done FROM walk, n) w, n WHERE NOT done)
 SELECT doc_id, size, text_crc32, 'rows' AS law, (x % 16)::INTEGER AS shard, x // 16 AS slot, NULL::INTEGER AS grown_shard FROM walk WHERE done
+""",
+    "op11_importance_resampling": rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS id, doc_id, {_LETTERS} AS w FROM documents),
+dw AS (SELECT id, unnest(w) AS g FROM d),
+bw AS (SELECT unnest({_LETTERS}) AS g FROM benchmark),
+bucket AS (SELECT g, {_crc32('g')} % 10000 AS b FROM (SELECT g FROM dw UNION SELECT g FROM bw), crc),
+s AS (SELECT b, count(*) AS s FROM dw JOIN bucket USING (g) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM bw JOIN bucket USING (g) GROUP BY b),
+gain AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS v FROM s LEFT JOIN t USING (b)),
+mean AS (SELECT id, floor(sum(v)::DOUBLE / count(*))::BIGINT AS weight FROM dw JOIN bucket USING (g) JOIN gain ON gain.b = bucket.b GROUP BY id),
+scored AS (SELECT id, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM d LEFT JOIN mean USING (id)),
+fit AS (SELECT id, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM scored LEFT JOIN fit USING (id)
 """,
     # both trees level by level, then every leaf's walk up its own and the last one
     "op12_merkle_manifest": rf"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webgrove.llm import chat, decontaminate, jaccard, merkle, packing, pii, quality, sharding, tokens, urls, warc
+from webgrove.llm import chat, configurations, decontaminate, jaccard, merkle, packing, pii, quality, resampling, sharding, tokens, urls, warc
 from webgrove.llm.common import table
 
 
@@ -75,6 +75,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance_resample(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "text"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ("doc_id", "source", "lang", "n_chars", "text")
     docs = table(spark, sf_dir, "documents", *fields)
@@ -86,6 +90,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return configurations.best_fit_packing(
+        table(spark, sf_dir, "documents", "doc_id", "text"),
+        json_file=vocabulary("byte_bpe_50k.json"), rank_file=vocabulary("byte_bpe_50k.tiktoken"))
+
+
 QUERIES = {
     "op1_chat_windows": op1_chat_windows,
     "op2_packing": op2_packing,
@@ -97,5 +107,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
+    "op11_importance_resampling": op11_importance_resampling,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
