@@ -237,7 +237,7 @@ def test_plans_of_random_histograms():
             assert bound <= used + 1e-6
             check_plan(counts, configurations.best_fit(counts))
             if scale == 1000:
-                assert used <= 1.01 * bound + 1
+                assert used <= 1.06 * bound + 1
 
 
 def test_program_beats_decreasing_fit():
