@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from webgrove.functions.process import ListFunction, checked
 from webgrove.functions.udf import task_udf
 from webgrove.schema import PIECES_TYPE
 
@@ -130,6 +131,30 @@ def finish_urls(page_url: pa.Array, values: pa.Array) -> pa.Array:
     return _per_page([page_url], values, lambda u, v: _finish(u or "", v))
 
 
+def process_urls(apply: ListFunction) -> Callable[[str, str, Column], Column]:
+    """``join_urls``, a user's function and ``finish_urls`` in one pass over the pages of a batch.
+
+    The function sees the URLs of all pages as one list, without those that do not resolve.
+    """
+
+    @task_udf(PIECES_TYPE)
+    def run(base: pa.Array, page_url: pa.Array, values: pa.Array) -> pa.Array:
+        joined: list[str | None] = []
+        owners: list[str] = []
+        offsets = [0]
+        for b, u, items in zip(base.to_pylist(), page_url.to_pylist(), values.to_pylist(), strict=True):
+            joined += [None if item is None else _join(b or "", item) for item in items or ()]
+            owners += [u or ""] * (len(joined) - len(owners))
+            offsets.append(len(joined))
+        at = [i for i, url in enumerate(joined) if url is not None]
+        given = [joined[i] for i in at]
+        for i, url in zip(at, checked(given, apply(given)) if given else (), strict=True):
+            joined[i] = None if url is None else _finish(owners[i], url)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(joined, pa.string()))
+
+    return run
+
+
 @task_udf(PIECES_TYPE)
 def resolve_urls(base: pa.Array, page_url: pa.Array, values: pa.Array) -> pa.Array:
     """``join_urls`` and ``finish_urls`` in one pass, for when nothing comes between."""

@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webgrove.functions import urls
+from webgrove.functions.process import list_function
 from webgrove.functions.text import has_nofollow, jvm_pattern, strip_blanks
 from webgrove.operators.parse import _parse
 from webgrove.operators.rows import explode_structs
 from webgrove.operators.select import NODES, let, node_text
-from webgrove.sources.tables import store_table
 
 # Extensions that are not followed unless the caller says otherwise.
 DENIED_EXTENSIONS = (
@@ -54,7 +54,7 @@ class LinkOptions:
     attrs: Strings = ("href",)
     canonicalize: bool = False
     unique: bool = True
-    process_value: Callable[[Column], Column] | None = None
+    process_value: Callable | None = None
     deny_extensions: Strings | None = None
     strip: bool = True
 
@@ -116,6 +116,8 @@ def resolve(docs: DataFrame, scan: tuple, name: str) -> DataFrame:
         work = work.withColumn("_urls", urls.resolve_urls("base_url", "url", F.col("_hard")))
         work = work.withColumn("_urls", F.expr("transform(_urls, (u, i) -> IF(get(_clean, i), concat(_origin, get(_values, i)), u))")).drop(
             "_values", "_origin", "_clean", "_hard")
+    elif apply := list_function(process_value):
+        work = work.withColumn("_urls", urls.process_urls(apply)("base_url", "url", values))
     else:
         work = work.withColumn("_urls", urls.join_urls("base_url", values))
         processed = F.transform("_urls", lambda u: F.when(u.isNotNull(), process_value(u)))
@@ -197,8 +199,11 @@ def extract_links(docs: DataFrame, *, keep: Iterable[str] = ("page_id",), **opti
 
     Options: ``allow``, ``deny`` (patterns searched in the URL), ``allow_domains``,
     ``deny_domains``, ``tags``, ``attrs``, ``canonicalize``, ``unique``,
-    ``process_value`` (Column -> Column, null drops the link), ``deny_extensions``
-    and ``strip``.
+    ``process_value``, ``deny_extensions`` and ``strip``.
+
+    ``process_value`` maps a link's URL, joined with the base, to another one; null or None
+    drops the link.  It is a function of a Column, a function of a string, or a scalar UDF
+    (plain, pandas, Arrow) over one string; see ``functions.process.list_function``.
     """
     return explode_links(with_links(docs, **options), keep=keep)
 
@@ -217,23 +222,30 @@ def links_from_pages(pages: DataFrame, *, keep: Iterable[str] = ("page_id",), pa
     return explode_links(with_links(docs, **options), keep=keep)
 
 
-# Parts of a host's links in the join below: no host is one task.
+# Parts of a listed domain's links in the joins below: no host is one task.
 _SALTS = 32
 
 
-def restrict_domains(links: DataFrame, domains: DataFrame, *, keep: bool = True, stored: bool = False) -> DataFrame:
+def restrict_domains(links: DataFrame, domains: DataFrame, *, keep: bool = True) -> DataFrame:
     """Keep (or drop) links whose host is in or below one of ``domains.domain``.
 
-    For lists too long to write into the plan.  Distinct hosts are compared with the
-    list, then links with the hosts found, each host in ``_SALTS`` parts, so a host with
-    very many links is spread.  The links are read twice and hence written to the
-    shared folder first, unless they are ``stored`` already.
+    For lists too long to write into the plan.  A host meets the domains of ``n`` labels by
+    its own last ``n`` labels, one equijoin for every number of labels that the list has, so
+    a link is one row throughout and hosts never meet in a suffix that is too short to be
+    listed.  Each domain stands in ``_SALTS`` parts, so a host with very many links is spread.
+    The links are read once and may be a stream; the list is a table, null and empty domains in it count for nothing.
     """
-    links = links if stored else store_table(links, "links")
-    hosts = links.select(urls.netloc(F.col("url")).alias("_host")).distinct()
-    suffixes = hosts.select("_host", F.explode(urls.host_suffixes(F.col("_host"))).alias("_domain"))
-    listed = domains.select(F.lower("domain").alias("_domain"))
-    hits = suffixes.join(listed, "_domain", "left_semi").select("_host").distinct()
-    parted = hits.select("_host", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_part"))
-    work = links.withColumns({"_host": urls.netloc(F.col("url")), "_part": F.pmod(F.xxhash64("url", *links.columns[:1]), F.lit(_SALTS)).cast("int")})
-    return work.join(parted, ["_host", "_part"], "left_semi" if keep else "left_anti").select(*links.columns)
+    listed = domains.select(F.lower("domain").alias("_domain")).where("_domain <> ''").distinct().withColumn(
+        "_labels", F.size(F.split("_domain", r"\.")))
+    lengths = sorted(row["_labels"] for row in listed.select("_labels").distinct().collect())       # names of hosts have 127 labels at most
+    work = links.withColumns({
+        "_names": F.split(urls.netloc(F.col("url")), r"\."),
+        "_part": F.pmod(F.xxhash64("url", *links.columns[:1]), F.lit(_SALTS)).cast("int"), "_found": F.lit(False)})
+    for n in lengths:
+        parted = listed.where(F.col("_labels") == n).select(
+            F.col("_domain"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_listed_part"))
+        tail = F.when(F.size("_names") >= n, F.array_join(F.slice("_names", -n, n), "."))
+        work = work.withColumn("_tail", tail).join(
+            parted, (F.col("_tail") == F.col("_domain")) & (F.col("_part") == F.col("_listed_part")), "left")
+        work = work.withColumn("_found", F.col("_found") | F.col("_domain").isNotNull()).drop("_tail", "_domain", "_listed_part")
+    return work.where(F.col("_found") if keep else ~F.col("_found")).select(*links.columns)

@@ -305,26 +305,35 @@ def within_all(refs: Column, parts: list[Part], body: Callable[[Column], Column]
     return with_matchers(parts, lambda inside: let(F.flatten(F.transform(refs, lambda c: inside(c["pre"]))), body))
 
 
+def running_count(flags: Column) -> Column:
+    """How many items of a boolean array, one per node, are true up to and including each place."""
+    return F.aggregate(F.expr(_STEPS), F.transform(flags, lambda f: f.cast("int")), lambda seen, step: F.transform(
+        seen, lambda x, i: x + F.coalesce(F.get(seen, i - step), F.lit(0))))
+
+
 def with_matchers(parts: list[Part], body: Callable[[Callable[[Column], Column]], Column]) -> Column:
-    """Flag the matches of each part once per page; ``body`` gets a function from a
+    """Find the matches of each part once per page; ``body`` gets a function from a
     context element's number to the ``refs`` inside it.
 
-    Reading a context then costs its own subtree only.
+    A part's matches are an array in document order and, per element, how many of them
+    lie up to it.  A context's matches are the slice between two such counts, so reading
+    it costs its matches alone, however large or deep its subtree is.
     """
     reads = _reads(parts)
 
-    def go(i: int, flags: list[Column | None]) -> Column:
+    def go(i: int, found: list[tuple[Column, Column] | None]) -> Column:
         if i < len(parts):
             if not parts[i].steps:
-                return go(i + 1, [*flags, None])
+                return go(i + 1, [*found, None])
             flagged = _with_condition(parts[i].steps, lambda cond: F.transform(
                 F.col(NODES), lambda n: F.coalesce(cond(n), F.lit(False))))
-            return let(flagged, lambda f: go(i + 1, [*flags, f]))
+            return let(flagged, lambda flags: let(_places(flags), lambda hits: let(
+                running_count(flags), lambda upto: go(i + 1, [*found, (hits, upto)]))))
 
         def inside(pre: Column) -> Column:
             lists = [
                 _in_context(pre, f, reads.index((part.read, part.attr)))
-                for part, f in zip(parts, flags, strict=True)
+                for part, f in zip(parts, found, strict=True)
             ]
             return lists[0] if len(lists) == 1 else F.concat(*lists)
 
@@ -333,13 +342,18 @@ def with_matchers(parts: list[Part], body: Callable[[Callable[[Column], Column]]
     return go(0, [])
 
 
-def _in_context(pre: Column, flags: Column | None, read: int) -> Column:
-    """The flagged elements below ``pre``; without flags, the element itself."""
-    if flags is None:
+def _places(flags: Column) -> Column:
+    """The numbers of the flagged elements."""
+    return F.filter(F.transform(flags, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
+
+
+def _in_context(pre: Column, found: tuple[Column, Column] | None, read: int) -> Column:
+    """The matches below ``pre``; without any search, the element itself."""
+    if found is None:
         return F.array(_ref(pre, read))
-    last = node_at(pre)["last"]
-    below = F.when(last > pre, F.sequence(pre + 1, last)).otherwise(_no_ints())
-    return F.transform(F.filter(below, lambda j: F.get(flags, j)), lambda j: _ref(j, read))
+    hits, upto = found
+    first = F.get(upto, pre)
+    return F.transform(F.slice(hits, first + 1, F.get(upto, node_at(pre)["last"]) - first), lambda j: _ref(j, read))
 
 
 def require_pieces(docs: DataFrame, *queries: str) -> None:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webgrove.operators.links import LinkOptions, _finish, first_per_key, resolve
 from webgrove.operators.rows import explode_structs
+from webgrove.sources.tables import new_folder, store_table
 
 
 @dataclass(frozen=True)
@@ -60,6 +62,36 @@ def _labelled(name: str, i: int, rule: Rule) -> Column:
     ))
 
 
+class SeenUrls:
+    """The URLs fetched so far, as a table bucketed and sorted by URL.
+
+    A crawl round joins its new URLs with the buckets where they lie: only the new ones
+    are shuffled, however many were seen before.  The table's files are in the shared
+    folder, its name in the session's catalog.
+    """
+
+    def __init__(self, spark: SparkSession, *, buckets: int | None = None, path: str | None = None, name: str | None = None) -> None:
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.path = path or new_folder(spark, "seen")
+        self.name = name or f"seen_{uuid.uuid4().hex}"
+        self.spark = spark
+        self.add(spark.createDataFrame([], "url string"))
+
+    def table(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def add(self, urls: DataFrame) -> None:
+        """Remember ``urls.url``; one file a bucket."""
+        rows = urls.select("url").where("url is not null").repartition(self.buckets, "url")
+        rows.write.bucketBy(self.buckets, "url").sortBy("url").mode("append").option("path", self.path).saveAsTable(self.name)
+
+    def next_round(self, links: DataFrame) -> DataFrame:
+        """Followed URLs not seen before, each once, written to the shared folder and from now on seen."""
+        found = store_table(frontier(links, self.table()), "frontier")
+        self.add(found)
+        return found
+
+
 def frontier(links: DataFrame, seen: DataFrame) -> DataFrame:
     """Followed URLs not yet fetched, each once.
 

@@ -9,6 +9,9 @@ from webgrove.functions.urls import host
 from webgrove.operators.parse import live
 from webgrove.operators.rows import explode_structs
 
+#: Bits of a sketch's register number: 4,096 registers, a relative error of about 1.3 percent.
+SKETCH_BITS = 12
+
 
 def with_hosts(links: DataFrame) -> DataFrame:
     """Add ``src_host`` (of ``page_url``) and ``dst_host`` (of ``url``)."""
@@ -28,6 +31,35 @@ def link_graph(links: DataFrame) -> DataFrame:
     )
 
 
+def link_states(links: DataFrame) -> DataFrame:
+    """``link_graph`` as states that can be stored per crawl and merged later: counts, and a sketch of the distinct URLs."""
+    return with_hosts(links).groupBy("src_host", "dst_host").agg(
+        F.count("*").alias("n_links"), F.count_if("nofollow").alias("n_nofollow"), F.hll_sketch_agg("url", F.lit(SKETCH_BITS)).alias("urls"))
+
+
+def merge_link_states(states: DataFrame) -> DataFrame:
+    """States of several crawls as one; URLs that several of them saw count once."""
+    return states.groupBy("src_host", "dst_host").agg(
+        F.sum("n_links").alias("n_links"), F.sum("n_nofollow").alias("n_nofollow"), F.hll_union_agg("urls").alias("urls"))
+
+
+def estimated_graph(states: DataFrame) -> DataFrame:
+    """``link_graph``'s columns from states; ``n_urls`` is an estimate, about 1 percent off."""
+    return states.select("src_host", "dst_host", "n_links", F.hll_sketch_estimate("urls").alias("n_urls"), (F.col("n_nofollow") / F.col("n_links")).alias("nofollow_share"))
+
+
+def tag_states(docs: DataFrame) -> DataFrame:
+    """``tag_profile`` as mergeable states; pages of several crawls, told apart by ``page_id``, count once per tag."""
+    tags = F.array_distinct(F.transform(live(), lambda n: n["tag"]))
+    rows = docs.select("page_id", F.explode(tags).alias("tag"))
+    return rows.groupBy("tag").agg(F.hll_sketch_agg("page_id", F.lit(SKETCH_BITS)).alias("pages"))
+
+
+def merge_tag_states(states: DataFrame) -> DataFrame:
+    """``tag, n_pages`` (an estimate) over the states of several crawls."""
+    return states.groupBy("tag").agg(F.hll_sketch_estimate(F.hll_union_agg("pages")).alias("n_pages"))
+
+
 def host_summary(links: DataFrame) -> DataFrame:
     """Per source host: pages with links, links, distinct targets.
 

@@ -35,6 +35,10 @@ def partitions(spark: SparkSession) -> int:
 
 
 def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_pages_of(pages(spark, sf_dir))
+
+
+def link_pages_of(pages: DataFrame) -> DataFrame:
     url = F.regexp_replace("url", "&", "&amp;")
     bare = F.regexp_replace("url", "[?#].*", "")
     added = F.concat(
@@ -44,7 +48,7 @@ def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<link href="/style.css" rel="stylesheet"><a href="http://[bad">bad</a><a href="" data-url="/data/'),
         F.col("page_id"), F.lit('">self</a><a href="../up?a=1&amp;b=2">twin</a>'),
     )
-    return pages(spark, sf_dir).withColumn("html", F.replace("html", F.lit("</ul>"), F.concat(added, F.lit("</ul>"))))
+    return pages.withColumn("html", F.replace("html", F.lit("</ul>"), F.concat(added, F.lit("</ul>"))))
 
 
 @task_udf(T.BinaryType())

@@ -204,6 +204,7 @@ O["link_base"] = f"""WITH {ANCHORS} SELECT page_id, pos,
 regexp_extract(page_url,'^(https?://[^/]+)',1)||'/deep/er/'||{ENCODED.format("substr(href,2)")} AS url FROM a"""
 O["link_process_value"] = derived(DEFAULT_DENY, columns="page_id, pos, url, text", url="regexp_replace(url,'[?#].*','')",
                                   scan="tag IN ('a','area') AND attr='href' AND url NOT LIKE 'mailto:%'")
+O["link_process_udf"] = f"SELECT p.*, form FROM ({O['link_process_value']}) p, (VALUES ('string'), ('series'), ('array')) f(form)"
 O["link_normalise"] = f"""WITH {ANCHORS} SELECT page_id, pos, regexp_extract(page_url,'^(https?://[^/]+)',1)||'/x%20y%7C'
 ||{ENCODED.format("substr(href,2)")}||'?q=%27'||{ENCODED.format("substr(href,2)")}||'%27' AS url FROM a"""
 O["link_allow"] = derived("regexp_matches(url,'/en/|[?]a=1')")
@@ -214,6 +215,9 @@ O["link_deny_domains"] = derived(DEFAULT_DENY + f" AND NOT regexp_matches({HOST}
 O["link_domain_table"] = f"""WITH l AS ({derived(DEFAULT_DENY)}), z AS (SELECT DISTINCT regexp_extract(url,'([^./]+[.]example[.][a-z]+)',1) AS dom
 FROM pages WHERE regexp_matches(url,'spam|pills'))
 SELECT page_id, pos, url FROM l WHERE NOT EXISTS (SELECT 1 FROM z WHERE {HOST}=z.dom OR {HOST} LIKE '%.'||z.dom)"""
+O["stream_domain_table"] = f"""WITH l AS ({derived(DEFAULT_DENY)}), z AS (SELECT DISTINCT regexp_extract(url,'([^./]+[.]example[.][a-z]+)',1) AS dom
+FROM pages WHERE contains(url,'/en/'))
+SELECT page_id, pos, url FROM l WHERE EXISTS (SELECT 1 FROM z WHERE {HOST}=z.dom OR ends_with({HOST}, '.'||z.dom))"""
 O["link_deny_extensions"] = derived("NOT regexp_matches(lower(regexp_extract(url,'^[a-z]+://[^/?#]*([^?#]*)',1)),'[.]html?$')")
 O["link_schemes"] = f"""SELECT page_id, regexp_extract(url,'^([a-z]+):',1) AS scheme, count(*) AS n FROM ({derived('true')}) GROUP BY ALL"""
 # Query strings here hold two pairs at most; sorting them is swapping them.
@@ -236,12 +240,18 @@ CASE rule WHEN 0 THEN 'parse_th' WHEN 1 THEN 'parse_short' END AS callback, rule
 FROM e WHERE rule IS NOT NULL"""
 O["crawl_frontier"] = f"""WITH {UNIQUE} SELECT DISTINCT url FROM d WHERE regexp_matches(url,'/th')
 AND NOT EXISTS (SELECT 1 FROM d s WHERE s.pos=0 AND s.url=d.url)"""
+O["crawl_rounds"] = f"""WITH {UNIQUE}, new AS (SELECT DISTINCT url FROM d WHERE NOT EXISTS (SELECT 1 FROM d s WHERE s.pos=0 AND s.url=d.url))
+SELECT url, CASE WHEN contains(url,'/th') THEN 1 ELSE 2 END::INTEGER AS round FROM new"""
 O["links_per_host"] = f"""WITH {RESOLVED} SELECT regexp_extract(page_url,'^https?://([^/:]+)',1) AS src_host, count(DISTINCT page_id) AS n_pages,
 count(*) AS n_links, count(DISTINCT url) AS n_targets FROM r GROUP BY ALL"""
 GRAPH = f"""SELECT regexp_extract(page_url,'^https?://([^/:]+)',1) AS src_host, regexp_extract(url,'^https?://([^/:]+)',1) AS dst_host,
 count(*) AS n_links, count(DISTINCT url) AS n_urls, avg(CAST(nofollow AS INTEGER)) AS nofollow_share
 FROM ({derived(DEFAULT_DENY, columns='page_url, url, nofollow')}) GROUP BY ALL"""
 O["host_graph"] = GRAPH
+# Pages whose number leaves the rest 2 are in both crawls.
+O["host_graph_merged"] = f"""SELECT src_host, dst_host, CAST(sum(n) AS BIGINT) AS n_links, true AS is_close FROM (
+SELECT regexp_extract(page_url,'^https?://([^/:]+)',1) AS src_host, regexp_extract(url,'^https?://([^/:]+)',1) AS dst_host, CASE WHEN page_id % 3 = 2 THEN 2 ELSE 1 END AS n
+FROM ({derived(DEFAULT_DENY, columns='page_id, page_url, url')})) GROUP BY ALL"""
 O["host_graph_degrees"] = f"""WITH e AS ({GRAPH}) SELECT host, CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i) AS BIGINT) AS in_degree FROM
 (SELECT src_host AS host, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst_host, 0, 1 FROM e) GROUP BY host"""
 O["most_linked"] = f"WITH {RESOLVED} SELECT url, count(*) AS n_links FROM r GROUP BY url ORDER BY n_links DESC, url LIMIT 20"
@@ -249,6 +259,7 @@ O["tag_frequency"] = f"""WITH {REOPENED},
 t AS (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html,'<script>.*</script>','<script>'),'<([a-z][a-z0-9]*)[ >]',1)) AS tag FROM pages),
 k AS (SELECT page_id, tag, count(*) AS n FROM t WHERE tag<>'b' GROUP BY ALL UNION ALL SELECT page_id, 'b', n FROM bold WHERE n>0)
 SELECT tag, CAST(sum(n) AS BIGINT) AS n_elements, count(*) AS n_pages FROM k GROUP BY tag"""
+O["tag_pages_merged"] = f"SELECT tag, n_pages AS exact, true AS is_close FROM ({O['tag_frequency']})"
 O["attribute_frequency"] = f"""SELECT attribute, CAST(sum(k) AS BIGINT) AS n_elements, count(*) AS n_pages FROM (
 SELECT page_id, 'a.href' AS attribute, {n('<a href=')} AS k FROM pages UNION ALL SELECT page_id, 'html.lang', {n('<html lang=')} FROM pages
 UNION ALL SELECT page_id, 'meta.charset', {n('<meta charset=')} FROM pages UNION ALL SELECT page_id, 'div.class', {n('<div class=')} FROM pages)
@@ -263,3 +274,8 @@ O["links_in_scope"] = f"WITH {ANCHORS} SELECT page_id, CAST(pos-1 AS INTEGER) AS
 O["stream_page_links"] = O["link_unique"]
 O["stream_page_records"] = f"WITH {ANCHORS} SELECT page_id, pos, text AS label, href FROM a"
 O["stream_routing"] = f"WITH {KINDS} SELECT url, md5(html) AS digest FROM k WHERE kind='html'"
+O["stream_three_tables"] = f"""WITH {UNIQUE}, {KINDS},
+h AS (SELECT page_id FROM k WHERE kind='html')
+SELECT 'links' AS part, page_id, pos, url AS value FROM d JOIN h USING (page_id)
+UNION ALL SELECT 'records', page_id, pos, text||' '||href FROM a JOIN h USING (page_id)
+UNION ALL SELECT 'skipped', page_id, 0, kind FROM k WHERE kind<>'html'"""

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webgrove import (
-    Field, Rule, apply_rules, attribute_profile, classify_html, clean_text, css, decompress, drop, extract_links,
+    Field, Rule, SeenUrls, apply_rules, attribute_profile, classify_html, clean_text, css, decompress, drop, extract_links,
     extract_page_fields, extract_records, frontier, host_degrees, host_summary, html_only, iter_links, link_graph,
     links_from_pages, nodes, nonempty, parse_pages, restrict_domains, select, split_html, strip_blanks, tag_profile,
     to_pages, top_links, with_links,
@@ -17,9 +22,12 @@ from webgrove import (
 from webgrove.functions.text import decode_entities, has_nofollow
 from webgrove.operators.links import candidates
 from webgrove.operators.rows import explode_structs
-from webgrove.sources.tables import new_folder, store_docs, store_table, stream_pages, write_table
-from webgrove.streaming.jobs import stream_html, stream_links, stream_records
-from workload.inputs import as_responses, docs, link_pages, pages, partitions, responses
+from webgrove.sources.tables import new_folder, store_docs, store_table, stream_pages, write_stream, write_table
+from webgrove.plans.graph import estimated_graph, link_states, merge_link_states, merge_tag_states, tag_states
+from webgrove.streaming.jobs import (
+    crawl_tables, parse_responses, read_batches, stream_html, stream_links, stream_records, stream_tables,
+)
+from workload.inputs import as_responses, docs, link_pages, link_pages_of, pages, partitions, responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -444,6 +452,25 @@ def link_process_value(spark, sf):
     return _links(spark, sf, process_value=cut).select("page_id", "pos", "url", "text")
 
 
+@query
+def link_process_udf(spark, sf):
+    """The same rewriting by a pandas UDF, an Arrow UDF and a function of strings."""
+    def cut(u: str) -> str | None:
+        return None if u.startswith("mailto:") else re.sub(r"[?#].*", "", u, flags=re.S)
+
+    @F.pandas_udf(T.StringType())
+    def cut_series(u: pd.Series) -> pd.Series:
+        return u.str.replace(r"[?#].*", "", regex=True, flags=re.S).where(~u.str.startswith("mailto:"), None)
+
+    @F.arrow_udf(T.StringType())
+    def cut_array(u: pa.Array) -> pa.Array:
+        return pc.if_else(pc.starts_with(u, "mailto:"), None, pc.replace_substring_regex(u, r"(?s)[?#].*", ""))
+
+    found = [_links(spark, sf, process_value=f).select("page_id", "pos", "url", "text", F.lit(name).alias("form"))
+             for name, f in (("string", cut), ("series", cut_series), ("array", cut_array))]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def link_normalise(spark, sf):
     urls = pages(spark, sf).withColumn("html", F.regexp_replace("html", '<a href="/([^"]*)">', '<a href="/x y|$1?q=\'$1\'">'))
@@ -472,10 +499,20 @@ def link_deny_domains(spark, sf):
 
 @query
 def link_domain_table(spark, sf):
-    links = store_table(_links(spark, sf), "links")
     spam = pages(spark, sf).where(F.col("url").rlike("spam|pills")).select(
         F.regexp_extract("url", "([^./]+[.]example[.][a-z]+)", 1).alias("domain")).distinct()
-    return restrict_domains(links, spam, keep=False, stored=True).select("page_id", "pos", "url")
+    return restrict_domains(_links(spark, sf), spam, keep=False).select("page_id", "pos", "url")
+
+
+@query
+def stream_domain_table(spark, sf):
+    """Links of arriving pages, restricted to a table of domains on the way."""
+    folder = new_folder(spark, "stream-domains")
+    kept = pages(spark, sf).where(F.col("url").contains("/en/")).select(
+        F.regexp_extract("url", "([^./]+[.]example[.][a-z]+)", 1).alias("domain")).distinct()
+    links = links_from_pages(link_pages_of(_arriving(spark, sf)), partitions=partitions(spark))
+    write_stream(restrict_domains(links, kept), f"{folder}/out", checkpoint=f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("page_id", "pos", "url")
 
 
 @query
@@ -532,6 +569,17 @@ def crawl_frontier(spark, sf):
     return frontier(links, seen)
 
 
+@query
+def crawl_rounds(spark, sf):
+    """Two rounds over one store of seen URLs; the second finds what the first did not."""
+    links = store_table(links_from_pages(pages(spark, sf), partitions=partitions(spark)), "links")
+    seen = SeenUrls(spark)
+    seen.add(links.where(F.col("pos") == 0).select("url"))
+    first = seen.next_round(links.where(F.col("url").contains("/th")))
+    second = seen.next_round(links)
+    return first.withColumn("round", F.lit(1)).unionByName(second.withColumn("round", F.lit(2)))
+
+
 @query
 def links_per_host(spark, sf):
     return host_summary(links_from_pages(pages(spark, sf), partitions=partitions(spark), keep=("page_id", "url"), unique=False))
@@ -542,6 +590,26 @@ def host_graph(spark, sf):
     return link_graph(links_from_pages(link_pages(spark, sf), partitions=partitions(spark), keep=("page_id", "url")))
 
 
+@query
+def host_graph_merged(spark, sf):
+    """Sketches of two crawls, merged; how far their estimates are from the exact counts."""
+    links = store_table(links_from_pages(link_pages(spark, sf), partitions=partitions(spark), keep=("page_id", "url")), "links")
+    crawls = [links.where(F.col("page_id") % 3 != k) for k in (0, 1)]      # a third of the pages is in both
+    merged = estimated_graph(merge_link_states(reduce(DataFrame.unionByName, (store_table(link_states(c), "states") for c in crawls))))
+    exact = link_graph(links).select("src_host", "dst_host", F.col("n_urls").alias("exact"))
+    close = F.abs(F.col("n_urls") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.03 * F.col("exact"))
+    return merged.join(exact, ["src_host", "dst_host"]).select("src_host", "dst_host", "n_links", close.alias("is_close"))
+
+
+@query
+def tag_pages_merged(spark, sf):
+    parsed = store_docs(docs(spark, sf))
+    crawls = [parsed.where(F.col("page_id") % 3 != k) for k in (0, 1)]
+    merged = merge_tag_states(reduce(DataFrame.unionByName, (store_table(tag_states(c), "states") for c in crawls)))
+    exact = tag_profile(parsed).select("tag", F.col("n_pages").alias("exact"))
+    return merged.join(exact, "tag").select("tag", "exact", (F.abs(F.col("n_pages") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.03 * F.col("exact"))).alias("is_close"))
+
+
 @query
 def host_graph_degrees(spark, sf):
     return host_degrees(link_graph(links_from_pages(link_pages(spark, sf), partitions=partitions(spark), keep=("page_id", "url"))))
@@ -609,6 +677,19 @@ def stream_page_records(spark, sf):
     return spark.read.parquet(f"{folder}/out")
 
 
+@query
+def stream_three_tables(spark, sf):
+    """Links, records and skipped responses from one parse of each batch."""
+    folder = new_folder(spark, "stream-tables")
+    tables = crawl_tables("li", {"label": "a::text", "href": "a::attr(href)"})
+    source = as_responses(_arriving(spark, sf)).repartition(partitions(spark))
+    stream_tables(source, tables, f"{folder}/out", prepare=parse_responses, checkpoint=f"{folder}/state").awaitTermination()
+    links, records, skipped = (read_batches(spark, f"{folder}/out", name) for name in tables)
+    return (links.select(F.lit("links").alias("part"), "page_id", "pos", F.col("url").alias("value"))
+            .unionByName(records.select(F.lit("records").alias("part"), "page_id", "pos", F.concat_ws(" ", "label", "href").alias("value")))
+            .unionByName(skipped.select(F.lit("skipped").alias("part"), "page_id", F.lit(0).alias("pos"), F.col("kind").alias("value"))))
+
+
 @query
 def stream_routing(spark, sf):
     folder = new_folder(spark, "stream-routing")
