@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from webgrove import (
-    Rule, apply_rules, attribute_profile, frontier, host_degrees, host_summary, link_graph, links_from_pages, parse_pages, tag_profile,
+    Rule, SeenUrls, apply_rules, attribute_profile, frontier, host_degrees, host_summary, link_graph, links_from_pages, parse_pages, tag_profile,
     top_links,
 )
+from webgrove.plans.graph import estimated_graph, link_states, merge_link_states, merge_tag_states, tag_states
 
 
 def pages_of(spark, *items):
@@ -47,6 +48,43 @@ def test_frontier(spark):
     assert frontier(links.drop("follow"), seen).count() == 2
 
 
+def test_seen_urls_stay_where_they_are(spark):
+    seen = SeenUrls(spark)
+    seen.add(spark.range(1000).selectExpr("concat('http://e.com/', id) AS url"))
+    seen.add(spark.createDataFrame([("http://e.com/x",), (None,)], "url string"))
+    links = spark.range(995, 1005).selectExpr("concat('http://e.com/', id) AS url", "id % 2 = 0 AS follow")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for buckets, exchanges in ((None, 1), (16, 2)):         # of the new URLs alone
+            store = SeenUrls(spark, buckets=buckets)
+            plan = frontier(links, store.table())._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == exchanges, plan
+            scan = plan[plan.index("LeftAnti"):].partition("FileScan")
+            assert "Bucketed: true" in scan[2] and "Exchange" not in scan[0].rpartition("Range")[2]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r.url for r in seen.next_round(links).collect()) == ["http://e.com/1000", "http://e.com/1002", "http://e.com/1004"]
+    assert seen.next_round(links).count() == 0
+    assert sorted(r.url for r in seen.next_round(links.drop("follow")).collect()) == ["http://e.com/1001", "http://e.com/1003"]
+
+
+def test_states_of_crawls_merge(spark):
+    links = spark.range(30_000).selectExpr("id % 3 AS crawl", "concat('http://h', id % 2, '.com/') AS page_url",
+                                           "concat('http://t.net/', id % 7001) AS url", "id % 4 = 0 AS nofollow")
+    states = [link_states(links.where(F.col("crawl") == k)) for k in range(3)]
+    merged = estimated_graph(merge_link_states(states[0].unionByName(states[1]).unionByName(states[2])))
+    exact = {r.src_host: r for r in link_graph(links).collect()}
+    for r in merged.collect():
+        want = exact[r.src_host]
+        assert (r.n_links, r.nofollow_share) == (want.n_links, want.nofollow_share)
+        assert abs(r.n_urls - want.n_urls) <= 0.03 * want.n_urls
+    assert merged.count() == len(exact) == 2
+    docs = parse_pages(pages_of(spark, *((f"http://e.com/{i}", "<p>x<p>y" + "<b>z</b>" * (i % 2)) for i in range(500))))
+    again = tag_states(docs.where("page_id < 300")).unionByName(tag_states(docs.where("page_id >= 100")))
+    pages = {r.tag: r.n_pages for r in merge_tag_states(again).collect()}
+    assert abs(pages["p"] - 500) <= 15 and abs(pages["b"] - 250) <= 8
+
+
 def test_graph_and_degrees(spark):
     pages = pages_of(
         spark, ("http://a.com/1", '<a href="http://b.com/x">1</a><a href="http://B.com:80/y" rel=nofollow>2</a><a href="/self">3</a>'),

@@ -66,8 +66,10 @@ class SeenUrls:
     """The URLs fetched so far, as a table bucketed and sorted by URL.
 
     A crawl round joins its new URLs with the buckets where they lie: only the new ones
-    are shuffled, however many were seen before.  The table's files are in the shared
-    folder, its name in the session's catalog.
+    are shuffled, however many were seen before.  That holds while there are at least as
+    many buckets as the session has shuffle partitions, the default; with fewer, Spark
+    shuffles the store instead.  The table's files are in the shared folder, its name in
+    the session's catalog.
     """
 
     def __init__(self, spark: SparkSession, *, buckets: int | None = None, path: str | None = None, name: str | None = None) -> None:
