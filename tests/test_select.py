@@ -1,14 +1,16 @@
 """Selections, projections, arrays and regex captures."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import LIST, SITE
-from webgrove import Selection, SelectorError, css, nonempty, parse_pages, select
+from webgrove import Selection, SelectorError, css, drop, nonempty, parse_pages, select
 from webgrove.functions import selectors
 from webgrove.functions.page_tree import INT_FIELDS, PageColumns
+from webgrove.sources.tables import store_docs
 
 
 @pytest.fixture(scope="module")
@@ -168,7 +170,7 @@ def test_regex(read):
     assert read("site", css("p::text").re(r"(\w+) (open)?")) == ["Bring", "", "a", "", "Desk", "open", "till", ""]
 
 
-@pytest.mark.parametrize("query", ["a:hover", "a[", "a > ", "> a", "a b::before", ".", "a,[x='", "p:nth-child(x)", "a..b", ":not(a b)", "x:has(y)"])
+@pytest.mark.parametrize("query", ["a:hover", "a[", "a > ", "> a", "a b::before", ".", "a,[x='", "p:nth-child(x)", "a..b", ":not(a b)", "x:lang(y)"])
 def test_unknown_forms_are_refused(query):
     with pytest.raises(SelectorError):
         css(query)
@@ -246,3 +248,83 @@ def test_selection_plan_has_no_shuffle_and_no_second_python_pass(spark, docs):
 
 def test_parts_split():
     assert [p.read for p in selectors.parse("a::text, b::attr(x), c")] == ["text", "attr", "html"]
+
+
+# :has() and places of type, against a walk over every element
+
+def grown(draw, depth=0):
+    """Random nested markup of a few tags."""
+    if depth > 4 or draw.random() < 0.15:
+        return draw.choice(("x", "", "<i class=a>y</i>", "<u>z</u>"))
+    tag = draw.choice(("div", "ul", "i", "u"))
+    mark = draw.choice(("", " class=a", " id=k"))
+    return f"<{tag}{mark}>" + "".join(grown(draw, depth + 1) for _ in range(draw.randint(0, 4))) + f"</{tag}>"
+
+
+def simple(n, text):
+    tag, _, cls = text.partition(".")
+    return n is not None and n.tag is not None and tag in ("*", "", n.tag) and (not cls or n.attrs.get("class") == cls)
+
+
+def reached(page, n, combinator):
+    beside = [m for m in page if m.tag is not None and m.parent == n.parent and m.pre > n.pre]
+    return {" ": [m for m in page if n.pre < m.pre <= n.last], ">": [m for m in page if m.parent == n.pre], "+": beside[:1], "~": beside}[combinator]
+
+
+def has(page, n, steps):
+    """``steps``: (combinator, compound) pairs from the element on."""
+    if not steps:
+        return True
+    return any(simple(m, steps[0][1]) and has(page, m, steps[1:]) for m in reached(page, n, steps[0][0]))
+
+
+def test_has_and_types_equal_a_walk(spark):
+    draw = random.Random(11)
+    made = spark.createDataFrame([(i, "http://e.com", "".join(grown(draw) for _ in range(6))) for i in range(25)], "page_id long, url string, html string")
+    parsed = parse_pages(made, keep=("text",))
+    relative = {
+        "u": [(" ", "u")], "> i.a": [(">", "i.a")], "+ div": [("+", "div")], "~ ul": [("~", "ul")], "ul > i": [(" ", "ul"), (">", "i")],
+        "> div u": [(">", "div"), (" ", "u")], "+ ul .a": [("+", "ul"), (" ", "*.a")], "~ div > u + i": [("~", "div"), (">", "u"), ("+", "i")], "> *": [(">", "*")]}
+    types = {"first": ":first-of-type", "last": ":last-of-type", "only": ":only-of-type", "even": ":nth-of-type(even)", "back": ":nth-last-of-type(n+2)"}
+    for work in (parsed, drop(parsed, "ul > i"), drop(parsed, "div:has(> u)")):
+        columns = [css(f"body *:has({q})").refs()["pre"].alias(f"h{k}") for k, q in enumerate(relative)]
+        columns += [css(f"body *{q}").refs()["pre"].alias(name) for name, q in types.items()]
+        columns += [css("body *:not(:has(u, > i.a)):is(:first-of-type, .a)").refs()["pre"].alias("mixed"), css("div:has(u) > i:last-of-type").refs()["pre"].alias("steps")]
+        for row in work.select("nodes", *columns).collect():
+            page = row.nodes
+            body = next(n for n in page if n.tag == "body")
+            inside = [n for n in page if n.tag is not None and body.pre < n.pre <= body.last]
+            for k, steps in enumerate(relative.values()):
+                assert row[f"h{k}"] == [n.pre for n in inside if has(page, n, steps)], list(relative)[k]
+
+            def place(n, back=False):
+                same = [m.pre for m in page if m.tag == n.tag and m.parent == n.parent]
+                return (same[::-1] if back else same).index(n.pre) + 1
+
+            assert row["first"] == [n.pre for n in inside if place(n) == 1]
+            assert row["last"] == [n.pre for n in inside if place(n, True) == 1]
+            assert row["only"] == [n.pre for n in inside if place(n) == place(n, True) == 1]
+            assert row["even"] == [n.pre for n in inside if place(n) % 2 == 0]
+            assert row["back"] == [n.pre for n in inside if place(n, True) >= 2]
+            assert row["mixed"] == [n.pre for n in inside if not has(page, n, [(" ", "u")]) and not has(page, n, [(">", "i.a")])
+                                    and (place(n) == 1 or simple(n, "*.a"))]
+            divs = {n.pre for n in page if n.tag == "div" and has(page, n, [(" ", "u")])}
+            assert row["steps"] == [n.pre for n in page if n.tag == "i" and n.parent in divs and place(n, True) == 1]
+
+
+@pytest.mark.parametrize("query", ["p:has(", "p:has()", "p:has(> )", "p:nth-of-type()", "p:nth-of-type(x)", "p:first-of-type(1)", "p:has(a::text)", "p:has"])
+def test_relative_selectors_that_cannot_be_read(query):
+    with pytest.raises(SelectorError):
+        css(query)
+
+
+def test_context_reads_cost_their_matches(spark):
+    """Nested contexts: each costs a slice, not a walk over what is below it."""
+    html = "<div>" * 20_000 + "<em>x</em>" + "</div>" * 20_000
+    pages = spark.createDataFrame([(1, "http://e.com", html)], "page_id long, url string, html string")
+    stored = store_docs(parse_pages(pages, keep=("text",)))
+    start = time.perf_counter()
+    assert stored.select(css("div").css("em").count()).first()[0] == 20_000
+    assert stored.select(css("div:has(em)").count()).first()[0] == 20_000
+    assert stored.select(css("div:has(> div:only-of-type)").count()).first()[0] == 19_999
+    assert time.perf_counter() - start < 60

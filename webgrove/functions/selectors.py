@@ -1,7 +1,7 @@
 """Selector text -> predicates on an element struct (built on the driver).
 
-A compound such as ``p.content[lang]`` becomes one boolean Column; combinators
-are applied by ``webgrove.operators.select``.  Anything outside the forms below
+A compound such as ``p.content[lang]`` becomes one boolean Column; combinators, and the
+arrays that ``:has()`` and the tests of type need, are applied by ``webgrove.operators.select``.  Anything outside the forms below
 raises ``SelectorError`` while the plan is built.
 """
 
@@ -23,10 +23,29 @@ class SelectorError(ValueError):
     """The selector is malformed or uses a form that is not offered."""
 
 
+class PageArray(NamedTuple):
+    """An array with an item per element that a test needs; ``operators.select`` builds it once per page.
+
+    ``"type place"``: the element's place among its siblings of the same tag, counted from
+    the end if ``steps`` is not empty.  ``"has"``: whether the relative selector ``steps`` leads
+    from the element to some other one.
+    """
+
+    kind: str
+    steps: list
+
+
+class Compound(NamedTuple):
+    """``test(n, arrays)``: does element ``n`` match, given the page's arrays that ``needs`` names."""
+
+    needs: list[PageArray]
+    test: Callable[[Column, list[Column]], Column]
+
+
 class Part(NamedTuple):
     """One comma part: what to match (empty = the current element) and what to read."""
 
-    steps: list[tuple[str, Predicate]]     # (combinator before it, compound)
+    steps: list[tuple[str, Compound]]      # (combinator before it, compound)
     read: str                              # "html", "text" or "attr"
     attr: str | None
 
@@ -80,11 +99,11 @@ def _part(text: str) -> Part:
     return Part(_steps(text) if text else [], read, attr)
 
 
-def _steps(text: str) -> list[tuple[str, Predicate]]:
+def _steps(text: str) -> list[tuple[str, Compound]]:
     steps, at, combinator = [], 0, ""
     while True:
-        predicate, at = _compound(text, at)
-        steps.append((combinator, predicate))
+        compound, at = _compound(text, at)
+        steps.append((combinator, compound))
         if at == len(text):
             return steps
         match = _COMBINATOR.match(text, at)
@@ -93,8 +112,26 @@ def _steps(text: str) -> list[tuple[str, Predicate]]:
         combinator, at = match.group(1) or " ", match.end()
 
 
-def _compound(text: str, at: int) -> tuple[Predicate, int]:
-    tests: list[Predicate] = []
+def plain(test: Predicate) -> Compound:
+    """A test of the element alone."""
+    return Compound([], lambda n, _: test(n))
+
+
+def _joined(compounds: list[Compound], combine: Callable[[list[Column]], Column]) -> Compound:
+    """Several tests of one element as one; each sees the arrays it needs."""
+    needs, ends = [], []
+    for compound in compounds:
+        needs += compound.needs
+        ends.append(len(needs))
+
+    def test(n: Column, arrays: list[Column]) -> Column:
+        return combine([c.test(n, arrays[end - len(c.needs):end]) for c, end in zip(compounds, ends, strict=True)])
+
+    return Compound(needs, test)
+
+
+def _compound(text: str, at: int) -> tuple[Compound, int]:
+    tests: list[Compound] = []
     start, tagged = at, False
     while match := _SIMPLE.match(text, at):
         at = match.end()
@@ -103,15 +140,15 @@ def _compound(text: str, at: int) -> tuple[Predicate, int]:
                 raise SelectorError(f"type selector must come first in {text[start:]!r}")
             if match["tag"] != "*":
                 tagged = True
-                tests.append(_tag(_unescape(match["tag"]).lower()))
+                tests.append(plain(_tag(_unescape(match["tag"]).lower())))
         elif match["id"]:
-            tests.append(_attribute("id", "=", _unescape(match["id"]), fold=False))
+            tests.append(plain(_attribute("id", "=", _unescape(match["id"]), fold=False)))
         elif match["cls"]:
-            tests.append(_attribute("class", "~=", _unescape(match["cls"]), fold=False))
+            tests.append(plain(_attribute("class", "~=", _unescape(match["cls"]), fold=False)))
         elif match["attr"]:
             value = next((match[k] for k in ("double", "single", "bare") if match[k] is not None), "")
             fold = (match["flag"] or "").lower() == "i"
-            tests.append(_attribute(_unescape(match["attr"]).lower(), match["op"], _unescape(value), fold=fold))
+            tests.append(plain(_attribute(_unescape(match["attr"]).lower(), match["op"], _unescape(value), fold=fold)))
         else:
             argument = None
             if match["call"]:
@@ -121,8 +158,8 @@ def _compound(text: str, at: int) -> tuple[Predicate, int]:
     if at == start:
         raise SelectorError(f"cannot read {text[at:]!r} in selector {text!r}")
     if not tagged:      # a dropped element has no tag and matches nothing
-        tests.insert(0, lambda n: n["tag"].isNotNull())
-    return (lambda n: reduce(and_, [t(n) for t in tests])), at
+        tests.insert(0, plain(lambda n: n["tag"].isNotNull()))
+    return _joined(tests, lambda found: reduce(and_, found)), at
 
 
 def _closing(text: str, at: int) -> int:
@@ -176,11 +213,21 @@ def _attribute(name: str, op: str | None, wanted: str, *, fold: bool) -> Predica
     return test
 
 
-def _pseudo(name: str, argument: str | None) -> Predicate:
+def _pseudo(name: str, argument: str | None) -> Compound:
     if argument is None and name in _PLAIN_PSEUDO:
-        return _PLAIN_PSEUDO[name]
+        return plain(_PLAIN_PSEUDO[name])
+    if argument is None and name in _TYPE_PLACES:
+        return _joined([_of_type(lambda place: place == 1, from_end=end) for end in _TYPE_PLACES[name]], lambda found: reduce(and_, found))
     if argument is not None and name in ("nth-child", "nth-last-child"):
-        return _nth(argument, from_end=name == "nth-last-child")
+        test = _nth(argument)
+        if name == "nth-child":
+            return plain(lambda n: test(n["sib"]))
+        return plain(lambda n: test(n["nsib"] - n["sib"] + 1))
+    if argument is not None and name in ("nth-of-type", "nth-last-of-type"):
+        return _of_type(_nth(argument), from_end=name == "nth-last-of-type")
+    if argument is not None and name == "has":
+        options = [_has(text) for text in _split(argument)]
+        return _joined(options, lambda found: reduce(or_, found))
     if argument is not None and name in ("not", "is", "where"):
         options = []
         for text in _split(argument):
@@ -188,12 +235,30 @@ def _pseudo(name: str, argument: str | None) -> Predicate:
             if len(steps) > 1:
                 raise SelectorError(f":{name}({argument}) may only hold compound selectors")
             options.append(steps[0][1])
-        if name == "not":
-            return lambda n: ~reduce(or_, [F.coalesce(o(n), F.lit(False)) for o in options])
-        return lambda n: reduce(or_, [F.coalesce(o(n), F.lit(False)) for o in options])
+
+        def any_option(found: list[Column]) -> Column:
+            return reduce(or_, [F.coalesce(f, F.lit(False)) for f in found])
+
+        return _joined(options, (lambda found: ~any_option(found)) if name == "not" else any_option)
     raise SelectorError(f"pseudo-class not offered: :{name}")
 
 
+#: From which ends an element must be the first of its tag.
+_TYPE_PLACES = {"first-of-type": (False,), "last-of-type": (True,), "only-of-type": (False, True)}
+
+
+def _of_type(test: Predicate, *, from_end: bool) -> Compound:
+    return Compound([PageArray("type place", ["from end"] if from_end else [])], lambda n, arrays: test(F.get(arrays[0], n["pre"])))
+
+
+def _has(text: str) -> Compound:
+    """A relative selector; without a combinator in front it leads to descendants."""
+    first = re.match(r"([>+~])\s*", text)
+    steps = _steps(text[first.end():] if first else text)
+    steps[0] = (first.group(1) if first else " ", steps[0][1])
+    return Compound([PageArray("has", steps)], lambda n, arrays: F.get(arrays[0], n["pre"]))
+
+
 _PLAIN_PSEUDO: dict[str, Predicate] = {
     "root": lambda n: n["parent"] < 0,
     "first-child": lambda n: n["sib"] == 1,
@@ -204,10 +269,11 @@ _PLAIN_PSEUDO: dict[str, Predicate] = {
 }
 
 
-def _nth(argument: str, *, from_end: bool) -> Predicate:
+def _nth(argument: str) -> Predicate:
+    """Whether a place, counted from 1, is one of those that ``an+b`` names."""
     match = _NTH.fullmatch(argument)
     if not match:
-        raise SelectorError(f"cannot read :nth-child({argument})")
+        raise SelectorError(f"cannot read the places {argument!r}")
     if match["word"]:
         a, b = 2, int(match["word"].lower() == "odd")
     elif match["only"]:
@@ -216,8 +282,7 @@ def _nth(argument: str, *, from_end: bool) -> Predicate:
         a = int(match["a"] + "1") if match["a"] in ("", "+", "-") else int(match["a"])
         b = int((match["sign"] or "") + (match["b"] or "0"))
 
-    def test(n: Column) -> Column:
-        place = (n["nsib"] - n["sib"] + 1) if from_end else n["sib"]
+    def test(place: Column) -> Column:
         if not a:
             return place == b
         steps = (place - b) * (1 if a > 0 else -1)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webgrove.functions import selectors
-from webgrove.functions.selectors import Part, Predicate
+from webgrove.functions.selectors import Compound, PageArray, Part, Predicate, plain
 from webgrove.functions.text import captures, decode_entities
 from webgrove.operators.rows import explode_structs
 
@@ -75,14 +75,16 @@ def running_end(matched: Predicate) -> Column:
     return running_max(F.transform(F.col(NODES), lambda n: F.when(matched(n), n["last"]).otherwise(F.lit(-1))))
 
 
-def beside(matched: Predicate, *, adjacent: bool) -> Column:
-    """Per element: is the sibling before it (or any earlier one) a match.
+def beside(matched: Predicate, *, adjacent: bool, after: bool = False) -> Column:
+    """Per element: is the sibling before it (or any earlier one) a match; with ``after``,
+    the sibling behind it (or any later one).
 
     Elements are put in sibling order, each looks to its left, and the answers go
     back into document order; no sibling is compared with all the others.
     """
     order = F.array_sort(F.transform(F.col(NODES), lambda n: F.struct(
         F.when(n["tag"].isNotNull(), n["parent"]).otherwise(F.lit(-2)).alias("parent"),    # dropped ones apart
+        (-n["pre"] if after else n["pre"]).alias("place"),
         n["pre"].alias("pre"),
         F.coalesce(matched(n), F.lit(False)).alias("hit"),
     )))
@@ -100,13 +102,89 @@ def beside(matched: Predicate, *, adjacent: bool) -> Column:
         lambda nearest: answers(s, lambda i: F.get(s, F.get(nearest, i - 1)))))
 
 
-def _with_condition(steps: list[tuple[str, Predicate]], body: Callable[[Predicate], Column]) -> Column:
-    """Bind what the combinators need, then hand ``body`` the whole condition."""
+def type_places(*, from_end: bool) -> Column:
+    """Per element: its place, from 1, among the siblings of its tag; one sort by parent and tag."""
+    order = F.array_sort(F.transform(F.col(NODES), lambda n: F.struct(
+        F.when(n["tag"].isNotNull(), n["parent"]).otherwise(F.lit(-2)).alias("parent"),
+        n["tag"].alias("tag"),
+        (-n["pre"] if from_end else n["pre"]).alias("place"),
+        n["pre"].alias("pre"),
+    )))
+
+    def starts(s: Column) -> Column:
+        def same(x: Column, before: Column) -> Column:
+            return before["parent"].eqNullSafe(x["parent"]) & before["tag"].eqNullSafe(x["tag"])
+
+        return running_max(F.transform(s, lambda x, i: F.when(same(x, F.get(s, i - 1)), F.lit(-1)).otherwise(i)))
+
+    return let(order, lambda s: let(starts(s), lambda first: F.transform(
+        F.array_sort(F.transform(s, lambda x, i: F.struct(x["pre"].alias("pre"), (i - F.get(first, i) + 1).alias("place")))),
+        lambda x: x["place"])))
+
+
+def _holds(hits: Column) -> Column:
+    """Per element: is a child of it flagged.  Parents of flagged elements and all elements meet in one sort."""
+    parents = F.filter(F.transform(F.col(NODES), lambda n: F.when(F.get(hits, n["pre"]), F.struct(n["parent"].alias("at"), F.lit(0).alias("own")))), lambda x: x.isNotNull())
+    both = F.array_sort(F.concat(parents, F.transform(F.col(NODES), lambda n: F.struct(n["pre"].alias("at"), F.lit(1).alias("own")))))
+    return let(both, lambda s: F.transform(
+        F.filter(
+            F.transform(s, lambda x, i: F.struct(x["own"].alias("own"), F.get(s, i - 1)["at"].eqNullSafe(x["at"]).alias("hit"))),
+            lambda x: x["own"] == 1),
+        lambda x: x["hit"]))
+
+
+def _reaches(combinator: str, hits: Column) -> Column:
+    """Per element: does the combinator lead from it to a flagged one."""
+    if combinator == " ":
+        return let(running_count(hits), lambda upto: F.transform(
+            F.col(NODES), lambda n: F.get(upto, n["last"]) > F.get(upto, n["pre"])))
+    if combinator == ">":
+        return _holds(hits)
+    return beside(lambda n: F.get(hits, n["pre"]), adjacent=combinator == "+", after=True)
+
+
+def _page_array(wanted: PageArray, body: Callable[[Column], Column]) -> Column:
+    """Bind an array that a compound needs."""
+    if wanted.kind == "type place":
+        return let(type_places(from_end=bool(wanted.steps)), body)
+
+    # from the last compound of the relative selector to the element it starts from
+    def go(i: int, reached: Column | None) -> Column:
+        if i < 0:
+            return body(reached)
+        combinator, compound = wanted.steps[i]
+
+        def flags(condition: Predicate) -> Column:
+            return F.transform(F.col(NODES), lambda n: F.coalesce(
+                condition(n) if reached is None else condition(n) & F.get(reached, n["pre"]), F.lit(False)))
+
+        return _bound(compound, lambda condition: let(flags(condition), lambda hits: let(
+            _reaches(combinator, hits), lambda found: go(i - 1, found))))
+
+    return go(len(wanted.steps) - 1, None)
+
+
+def _bound(compound: Compound, body: Callable[[Predicate], Column]) -> Column:
+    """Bind the arrays a compound needs, then hand ``body`` its test."""
+
+    def go(arrays: list[Column]) -> Column:
+        if len(arrays) == len(compound.needs):
+            return body(lambda n: compound.test(n, arrays))
+        return _page_array(compound.needs[len(arrays)], lambda found: go([*arrays, found]))
+
+    return go([])
+
+
+def _with_condition(steps: list[tuple[str, Compound]], body: Callable[[Predicate], Column]) -> Column:
+    """Bind what the compounds and combinators need, then hand ``body`` the whole condition."""
 
     def go(i: int, condition: Predicate) -> Column:
         if i == len(steps):
             return body(condition)
-        combinator, own = steps[i]
+        return _bound(steps[i][1], lambda own: after(i, condition, own))
+
+    def after(i: int, condition: Predicate, own: Predicate) -> Column:
+        combinator = steps[i][0]
         if combinator == " ":
             return let(
                 running_end(condition),
@@ -118,7 +196,7 @@ def _with_condition(steps: list[tuple[str, Predicate]], body: Callable[[Predicat
         flags = beside(condition, adjacent=combinator == "+")
         return let(flags, lambda f: go(i + 1, lambda n: own(n) & F.get(f, n["pre"])))
 
-    return go(1, steps[0][1])
+    return _bound(steps[0][1], lambda condition: go(1, condition))
 
 
 def any_of(parts: list[Part], body: Callable[[Predicate], Column]) -> Column:
@@ -128,7 +206,7 @@ def any_of(parts: list[Part], body: Callable[[Predicate], Column]) -> Column:
     def go(i: int, conditions: list[Predicate]) -> Column:
         if i == len(parts):
             return body(lambda n: reduce(or_, [F.coalesce(c(n), F.lit(False)) for c in conditions]))
-        steps = parts[i].steps or [("", lambda n: n["pre"] == 0)]
+        steps = parts[i].steps or [("", plain(lambda n: n["pre"] == 0))]
         return _with_condition(steps, lambda condition: go(i + 1, [*conditions, condition]))
 
     return go(0, [])

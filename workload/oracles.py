@@ -137,6 +137,23 @@ O["select_child"] = f"SELECT page_id, {n('<li>')} AS n_li, 0 AS n_none, {n('<a h
 O["select_siblings"] = f"""SELECT p.page_id, {AD} AS after_nav, greatest({n('<li>')}-1,0) AS n_next, {n('<p>')} AS n_later, a.text AS first_li,
 CAST(({n('<li>')}+1)//2 AS INTEGER) AS n_odd, least({n('<li>')},1) AS n_last, greatest({n('<li>')}-1,0) AS n_not_first
 FROM pages p LEFT JOIN (WITH {ANCHORS} SELECT page_id, text FROM a WHERE pos=0) a ON a.page_id=p.page_id"""
+TH = "contains(href,'th')"
+PLACED = "CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos)-1 AS INTEGER)"
+O["select_has"] = f"""WITH {ANCHORS}, s AS (SELECT *, lead(href) OVER (PARTITION BY page_id ORDER BY pos) AS after FROM a)
+SELECT page_id, {PLACED} AS pos, text AS value, 'child' AS form FROM s WHERE {TH}
+UNION ALL SELECT page_id, {PLACED}, text, 'deep' FROM s WHERE {TH}
+UNION ALL SELECT page_id, {PLACED}, text, 'none' FROM s WHERE NOT {TH}
+UNION ALL SELECT page_id, {PLACED}, text, 'before' FROM s WHERE contains(after,'th')
+UNION ALL SELECT page_id, 0, CASE form WHEN 'any' THEN '2' WHEN 'not child' THEN '0' ELSE '1' END, form FROM pages, (VALUES ('chain'), ('later'), ('not child'), ('any')) f(form)"""
+O["select_of_type"] = f"""WITH {ANCHORS}, s AS (SELECT *, count(*) OVER (PARTITION BY page_id) AS n FROM a),
+l AS (SELECT page_id, text, n, pos, CASE WHEN pos=0 THEN 1 ELSE pos END AS place, n - CASE WHEN n>1 THEN 1 ELSE 0 END AS n_left FROM s WHERE pos<>1)
+SELECT page_id, CAST(pos//2 AS INTEGER) AS pos, text AS value, 'odd' AS form FROM s WHERE pos%2=0
+UNION ALL SELECT page_id, 0, text, 'third from the end' FROM s WHERE pos=n-3
+UNION ALL SELECT page_id, 0, text, 'first' FROM s WHERE pos=0
+UNION ALL SELECT page_id, 0, text, 'last' FROM s WHERE pos=n-1
+UNION ALL SELECT page_id, 0, {H1}, 'only' FROM pages
+UNION ALL SELECT page_id, 0, text, 'dropped' FROM l WHERE place=2
+UNION ALL SELECT page_id, CASE WHEN n_left>=2 THEN 1 ELSE 0 END, text, 'dropped' FROM l WHERE place=n_left"""
 O["select_comma_list"] = f"""SELECT page_id, 0 AS pos, 'h1' AS tag, {H1} AS value FROM pages
 UNION ALL SELECT page_id, 1, 'title', {TITLE} FROM pages UNION ALL SELECT page_id, 2, 'html', {LANG} FROM pages"""
 O["select_scoped"] = f"""WITH {ANCHORS} SELECT page_id, CAST(2*pos AS INTEGER) AS pos, href AS value FROM a

@@ -225,6 +225,29 @@ def select_siblings(spark, sf):
         css("li:not(:first-child)").count().alias("n_not_first"))
 
 
+@query
+def select_has(spark, sf):
+    """Elements by what they hold: descendants, children, siblings behind them, chains, and none of these."""
+    work = docs(spark, sf)
+    texts = {"child": 'li:has(> a[href*="th"])', "deep": 'nav li:has(a[href*="th"])', "none": 'li:not(:has(a[href*="th"]))', "before": 'li:has(+ li a[href*="th"])'}
+    found = [_exploded(work, css(f"{q}::text").getall()).withColumn("form", F.lit(name)) for name, q in texts.items()]
+    counts = {"chain": "body:has(nav > ul a)", "later": "nav:has(~ footer)", "not child": "nav:has(> a)", "any": ":has(> li, > h1)"}
+    found += [work.select("page_id", F.lit(0).alias("pos"), css(q).count().cast("string").alias("value"), F.lit(name).alias("form")) for name, q in counts.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def select_of_type(spark, sf):
+    """Places among siblings of one tag, also after some are dropped."""
+    work = docs(spark, sf)
+    texts = {"odd": "li:nth-of-type(2n+1)", "third from the end": "li:nth-last-of-type(3)", "first": "nav li:first-of-type", "last": "li:last-of-type",
+             "only": "article > h1:only-of-type", "not only": "head > :not(title, :first-of-type)"}
+    found = [_exploded(work, css(f"{q}::text").getall()).withColumn("form", F.lit(name)) for name, q in texts.items()]
+    left = drop(work, "li:nth-of-type(2)")
+    found.append(_exploded(left, css("li:nth-of-type(2)::text, li:last-of-type::text").getall()).withColumn("form", F.lit("dropped")))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def select_comma_list(spark, sf):
     return select(docs(spark, sf), "h1::text, title::text, html::attr(lang), zz::text").select("page_id", "pos", "tag", "value")
