@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.test_operators import JSON, LONG, ODD, RANKS, SF, encoder, rows
-from webgrove.llm import configurations, merkle, packing, resampling
+from webgrove.llm import components, configurations, jaccard, merkle, packing, resampling
 
 
 @pytest.fixture(scope="module")
@@ -263,3 +263,71 @@ def test_places():
     assert list(zip(sequence.tolist(), offset.tolist(), strict=True)) == [
         (0, 0), (0, 5), (1, 0), (1, 5), (2, 0), (2, 5), (3, 0), (4, 0), (0, 10), (1, 10), (2, 10)]
     assert places.n_sequences == 5
+
+
+# similarity join: classes and components
+
+def classes_of(sets, percent):
+    """Least position of each set's class, by all pairs."""
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if label[i] != label[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def test_classes_of_mixed_groups():
+    """Groups of near copies that bridge, tiny and large sets, several vector lengths."""
+    draw = random.Random(8)
+    sets = []
+    for _ in range(14):
+        base = [draw.getrandbits(64) for _ in range(draw.choice((1, 5, 30, 70, 140, 300)))]
+        for _ in range(draw.choice((1, 3, 12))):
+            changed = [h if draw.random() > 0.06 else draw.getrandbits(64) for h in base]
+            sets.append(np.unique(np.array(changed, dtype=np.uint64)))
+            base = changed if draw.random() < 0.5 else base
+    sets.sort(key=len)
+
+    def linked(i, j):
+        common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        return 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common)
+
+    vectors = [jaccard.count_vector(s, jaccard.groups_of(len(s))) for s in sets]
+    want = classes_of(sets, 75)
+    assert jaccard.classes_in(vectors, [len(s) for s in sets], 75, linked).tolist() == want and len(set(want)) > 14
+    bound = jaccard.classes_in(vectors, [len(s) for s in sets], 75).tolist()
+    assert all(bound[i] == bound[j] for i in range(len(sets)) for j in range(i) if want[i] == want[j])
+
+
+def test_a_large_group_costs_about_one_comparison_a_member():
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(80)]
+    sets = sorted((jaccard.shingles(" ".join([*base[:k], f"q{draw.random()}", *base[k + 1:]]).encode()) for k in (draw.randrange(80) for _ in range(3000))), key=len)
+    compared = 0
+
+    def linked(i, j):
+        nonlocal compared
+        compared += 1
+        return True
+
+    vectors = [jaccard.count_vector(s, jaccard.groups_of(len(s))) for s in sets]
+    assert set(jaccard.classes_in(vectors, [len(s) for s in sets], 75, linked).tolist()) == {0}
+    assert compared < 2 * len(sets)
+
+
+def test_components_of_random_links(spark):
+    """Chains, stars with hot hubs, repeated and reversed links, loops."""
+    draw = random.Random(10)
+    links = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1600)] + [(draw.randrange(2000, 2600), draw.randrange(2000, 2600)) for _ in range(500)]
+    links += [(b, a) for a, b in links[::3]] + links[::5] + [(5000, 5000), (-3, 7000), (7000, -9)]
+    draw.shuffle(links)
+    label = {n: n for link in links for n in link}
+    while any(label[a] != label[b] for a, b in links):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    for parts in (1, 9):
+        got = dict(components.component_labels(spark.createDataFrame(links, "a long, b long").repartition(parts)).collect())
+        assert got == {n: x for n, x in label.items() if n != x}

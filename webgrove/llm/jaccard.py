@@ -33,6 +33,9 @@ KEYS = 30
 #: Nodes compared in one task at a time; larger blocks are dealt out as pairs of tiles.
 TILE = 4096
 LEAF = 32
+#: Classes whose last member a position meets before it searches.
+LATELY = 8
+_NO_CLASS = 1 << 62
 #: At most so many member rows (three longs each) are broadcast to the texts.
 SENT_ROWS = 1_000_000
 REMEMBERED = 400_000
@@ -113,98 +116,114 @@ class CountTree:
     """R-tree over count vectors of one length, packed in the order of set size.
 
     A box keeps the largest count of every coordinate and the smallest set size below
-    it.  ``sum(min(query, box))`` bounds the overlap with any point in the box.
+    it.  ``sum(min(query, box))`` bounds the overlap with any point in the box.  A box also
+    keeps the least and greatest class of the points put in so far, so a search goes past
+    boxes that hold nothing but the searcher's own class.
     """
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray) -> None:
         self.vectors, self.sizes = vectors, sizes
+        self.classes = np.full(len(sizes), -1)              # of points put in; -1 for the others
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         upper, least = vectors, sizes
         while len(upper) > LEAF:
             at = np.arange(0, len(upper), LEAF)
             upper, least = np.maximum.reduceat(upper, at, axis=0), np.minimum.reduceat(least, at)
             self.levels.append((upper, least))
-
-    def search(self, query: np.ndarray, size: int, end: int, percent: int) -> np.ndarray:
-        """Points before ``end`` whose bounded overlap with the query reaches the needed one."""
-        at = np.arange(len(self.levels[-1][0]) if self.levels else min(end, len(self.vectors)))
-        for upper, least in reversed(self.levels):
+        self.low = [np.full(len(least), _NO_CLASS) for _, least in self.levels]
+        self.high = [np.full(len(least), -1) for _, least in self.levels]
+
+    def put(self, at: int, class_: int) -> None:
+        self.classes[at] = class_
+        for low, high in zip(self.low, self.high, strict=True):
+            at //= LEAF
+            low[at], high[at] = min(low[at], class_), max(high[at], class_)
+
+    def merge(self, old: int, new: int) -> None:
+        """Points of one class become members of another."""
+        held = self.classes == old
+        if not held.any():
+            return
+        self.classes[held] = new
+        low, high = np.where(self.classes < 0, _NO_CLASS, self.classes), self.classes
+        for i in range(len(self.levels)):
+            at = np.arange(0, len(low), LEAF)
+            low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
+            self.low[i], self.high[i] = low, high
+
+    def search(self, query: np.ndarray, size: int, end: int, percent: int, own: int = -2) -> np.ndarray:
+        """Points before ``end`` in other classes than ``own`` whose bounded overlap with the query reaches the needed one."""
+        at = np.arange(len(self.levels[-1][0]) if self.levels else end)
+        for i in range(len(self.levels) - 1, -1, -1):
+            upper, least = self.levels[i]
+            if own >= -1:
+                at = at[(self.high[i][at] >= 0) & ((self.low[i][at] != own) | (self.high[i][at] != own))]
             bound = np.minimum(upper[at], query).sum(axis=1)
             at = at[bound >= needed(least[at], size, percent)]
             at = (at[:, None] * LEAF + np.arange(LEAF)).ravel()
-            below = len(self.vectors) if upper is self.levels[0][0] else len(self.levels[self._level(upper) - 1][0])
-            at = at[at < below]
+            at = at[at < (len(self.levels[i - 1][0]) if i else len(self.vectors))]
         at = at[at < end]
-        at = at[100 * self.sizes[at] >= percent * size]
+        at = at[(self.classes[at] != own) & (100 * self.sizes[at] >= percent * size)]
         bound = np.minimum(self.vectors[at], query).sum(axis=1)
         return at[bound >= needed(self.sizes[at], size, percent)]
 
-    def _level(self, upper: np.ndarray) -> int:
-        return next(i for i, (box, _) in enumerate(self.levels) if box is upper)
-
-
-class Classes:
-    """Union-find over positions."""
-
-    def __init__(self, n: int) -> None:
-        self.parent = np.arange(n)
-
-    def find(self, i: int) -> int:
-        parent = self.parent
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return int(i)
-
-    def join(self, i: int, j: int) -> bool:
-        a, b = self.find(i), self.find(j)
-        if a == b:
-            return False
-        self.parent[max(a, b)] = min(a, b)
-        return True
-
-    def roots(self) -> np.ndarray:
-        """The root of every position."""
-        while True:
-            up = self.parent[self.parent]
-            if (up == self.parent).all():
-                return up
-            self.parent = up
-
 
 def classes_in(vectors: list[np.ndarray], sizes: list[int], percent: int, linked=None) -> np.ndarray:
-    """Root of each position (sizes ascending), joined where the bound, and ``linked(i, j)`` if given, holds.
+    """Least position of each position's class (sizes ascending): positions are joined where the bound, and
+    ``linked(i, j)`` if given, holds.
 
-    A pair is looked at only while it lies in different classes, so a group of
-    copies costs about one verified pair a member.
+    A position first meets the last members of the classes lately grown; once it has a
+    class, boxes of that class alone are passed over.  So a group of copies costs about one
+    comparison a member, and a pair is looked at only while it lies in different classes.
     """
     n = len(sizes)
     size = np.array(sizes, dtype=np.int64)
-    classes = Classes(n)
+    class_of = np.arange(n)
     widths = np.array([len(v) for v in vectors])
     trees = {}
     for width in np.unique(widths).tolist():
         members = np.flatnonzero(widths == width)
         trees[width] = members, CountTree(np.array([vectors[i] for i in members], dtype=np.uint32), size[members])
-    for i in range(1, n):
+    lately: list[int] = []                                  # a member of each class grown lately, the last one first
+
+    def join(i: int, j: int) -> None:
+        """Position ``i``, not in any tree yet, takes the class of ``j`` along."""
+        new, old = sorted((int(class_of[i]), int(class_of[j])))
+        class_of[class_of == old] = new
+        for _, tree in trees.values():
+            tree.merge(old, new)
+
+    def near(i: int, j: int) -> bool:
+        if 100 * sizes[j] < percent * sizes[i]:
+            return False
+        width = min(len(vectors[i]), len(vectors[j]))
+        bound = np.minimum(folded(vectors[i], width), folded(vectors[j], width)).sum()
+        return bool(bound >= needed(sizes[j], sizes[i], percent)) and (linked is None or linked(i, j))
+
+    for i in range(n):
+        for j in lately:
+            if near(i, j):
+                class_of[i] = class_of[j]
+                break
         for width, (members, tree) in trees.items():
             before = int(np.searchsorted(members, i))
             if not before or width > widths[i] or 100 * int(tree.sizes[before - 1]) < percent * sizes[i]:
                 continue
-            found = members[tree.search(folded(vectors[i], width), sizes[i], before, percent)]
+            query = folded(vectors[i], width)
+            found = members[tree.search(query, sizes[i], before, percent, int(class_of[i]))]
             if linked is None:
-                for j in np.unique(classes.parent[found]).tolist():
-                    classes.join(i, j)
+                for class_ in np.unique(class_of[found]).tolist():
+                    join(i, class_)
                 continue
-            while len(found):
-                roots = np.array([classes.find(j) for j in found.tolist()])
-                found = found[roots != classes.find(i)]
-                if not len(found):
-                    break
+            while len(found := found[class_of[found] != class_of[i]]):
                 j, found = int(found[-1]), found[:-1]
                 if linked(i, j):
-                    classes.join(i, j)
-    return classes.roots()
+                    join(i, j)
+        own = int(class_of[i])
+        members, tree = trees[int(widths[i])]
+        tree.put(int(np.searchsorted(members, i)), own)
+        lately = [i, *(j for j in lately if class_of[j] != own)][:LATELY]
+    return class_of
 
 
 def _digest() -> Column:
