@@ -190,6 +190,8 @@ def classes_in(vectors: list[np.ndarray], sizes: list[int], percent: int, linked
         """Position ``i``, not in any tree yet, takes the class of ``j`` along."""
         new, old = sorted((int(class_of[i]), int(class_of[j])))
         class_of[class_of == old] = new
+        if old == i:                        # of no other position, hence in no tree
+            return
         for _, tree in trees.values():
             tree.merge(old, new)
 
@@ -201,10 +203,11 @@ def classes_in(vectors: list[np.ndarray], sizes: list[int], percent: int, linked
         return bool(bound >= needed(sizes[j], sizes[i], percent)) and (linked is None or linked(i, j))
 
     for i in range(n):
-        for j in lately:
-            if near(i, j):
-                class_of[i] = class_of[j]
-                break
+        if i > 4 * LEAF:                    # one search over a few points costs less than these meetings
+            for j in lately:
+                if near(i, j):
+                    class_of[i] = class_of[j]
+                    break
         for width, (members, tree) in trees.items():
             before = int(np.searchsorted(members, i))
             if not before or width > widths[i] or 100 * int(tree.sizes[before - 1]) < percent * sizes[i]:
@@ -212,7 +215,7 @@ def classes_in(vectors: list[np.ndarray], sizes: list[int], percent: int, linked
             query = folded(vectors[i], width)
             found = members[tree.search(query, sizes[i], before, percent, int(class_of[i]))]
             if linked is None:
-                for class_ in np.unique(class_of[found]).tolist():
+                for class_ in set(class_of[found].tolist()):
                     join(i, class_)
                 continue
             while len(found := found[class_of[found] != class_of[i]]):
