@@ -1,6 +1,8 @@
 """String and URL functions."""
 
+import random
 import re
+from urllib.parse import quote
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +118,53 @@ def test_patterns_read_as_python_does(spark, pattern, text):
 def test_patterns_without_counterpart_are_refused(pattern):
     with pytest.raises((ValueError, TypeError)):
         captures(F.col("v"), pattern)
+
+
+def odd_urls(n, seed):
+    """URLs of many forms: usual ones, and ones with a rare character, escape or part."""
+    draw = random.Random(seed)
+    chars = "abzAZ09-._~!$&'()*+,;=:@/ é|%<\"{}^`[]\\#?\x7f🙂"
+    escapes = ("%20", "%7E", "%2F", "%2f", "%3F", "%C3%A9", "%c3%a9", "%FF", "%41", "%25", "%2B", "%26", "%3D", "%zz", "%", "%253F", "%22", "%5F")
+
+    def text(most, rare):
+        return "".join(draw.choice(escapes) if draw.random() < rare / 2 else draw.choice(chars if draw.random() < rare else "abcXY12-._/") for _ in range(draw.randint(0, most)))
+
+    for _ in range(n):
+        rare = draw.choice((0, 0.05, 0.3))
+        host = draw.choice(("e.com", "a-b.e.com", "E.com", "u:p@e.com", "e.com:8080", "e.com:080", "bücher.de", "127.0.0.1", "e.com:", "x_y.com", ""))
+        path = draw.choice(("", "/", "/" + text(9, rare), "/../" + text(4, rare), "/./a", "/a//b", "/a;p=1", "/a;"))
+        query = draw.choice(("", "?", "?" + "&".join(draw.choice(("", "=")).join((text(4, rare), text(3, rare))) for _ in range(draw.randint(1, 4))), "?b=2&a=1&b=1", "?a&&b=&=c", "?a=b=c", "?x=1+2&x=1%202"))
+        yield draw.choice(("http", "https", "http", "ftp", "HTTP")) + "://" + host + path + query + draw.choice(("", "", "#", "#" + text(4, rare)))
+
+
+def test_plain_functions_equal_the_python_ones(spark):
+    """Whatever plain functions rewrite comes out as in Python, and usual URLs never go there."""
+    given = [*odd_urls(10_000, 6), "http://e.com/a?q=x,y/z:1", "http://e.com/%E2%82%AC?b=%21&a=%7C", None]
+    rows = spark.createDataFrame(list(enumerate(given)), "i long, url string").select(
+        "i", urls.is_plain(F.col("url")).alias("plain"), urls.canonical_plain(F.col("url")).alias("c"),
+        urls.settled(F.col("url"), F.lit("http://e.com")).alias("settled")).collect()
+    n_plain = n_settled = 0
+    for r in rows:
+        url = given[r.i]
+        if r.plain:
+            n_plain += 1
+            assert r.c.key == urls.canonical_url(url, keep_fragment=True), url
+            assert r.c.url == urls.canonical_url(url), url
+        if r.settled is not None:
+            n_settled += 1
+            assert r.settled == urls._finish("http://page.com/x", urls._join("http://e.com/y", url)), url
+    assert n_plain > 1500 and n_settled > 500
+    assert all(r.plain for r in rows[10_000:10_002]) and not rows[-1].plain
+
+
+def test_paths_are_encoded_as_in_python(spark):
+    draw = random.Random(7)
+    chars = "ab/~!$&'()*+,;=:@-._ é|%<\"{}^`[]🙂\x7f\u0301"
+    values = ["/" + "".join(draw.choice(("%20", "%c3", "%25", *chars)) for _ in range(draw.randint(0, 12))) for _ in range(5000)]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select(
+        "v", urls.encoded_path(F.col("v")).alias("e"), urls.settled(F.col("v"), F.lit("http://e.com:81")).alias("s")).collect()
+    for r in rows:
+        assert r.e == quote(r.v, urls._PART_SAFE)
+        if r.s is not None:
+            assert r.s == urls._finish("http://p.com/", urls._join("http://e.com:81/x/y", r.v)), r.v
+    assert sum(r.s is not None for r in rows) > 1000

@@ -31,15 +31,86 @@ _CLEAN_ORIGIN = re.compile(r"https?://[a-z0-9\-.]+(?::[1-9][0-9]{0,3})?(?=/|\?|#
 _STRIP = "".join(map(chr, range(33)))
 
 
+# Whole URLs that encoding and joining leave as they are, and what their parts may hold.
+_HOST = r"(https?://[a-z0-9\-.]+(?::[1-9][0-9]{0,3})?)"
+_SETTLED = re.compile(_HOST[1:-1] + r"(?:/[A-Za-z0-9:/@!$&()*+,=\-._~%]*)?(?:\?[A-Za-z0-9:/?@!$&()*+,;=\-._~%]+)?(?:#[A-Za-z0-9:/?@!$&()*+,;=\-._~%]+)?")
+# Escapes that stay: of characters a path must not hold, of its two marks, and of bytes above ASCII; in queries, of
+# all ASCII but letters, digits, "_.-~" and the blank.
+_PATH_ESCAPE = r"%(?:[01][0-9A-F]|2[023F]|3[CEF]|5[B-E]|60|7[BCDF]|[89A-F][0-9A-F])"
+_QUERY_ESCAPE = r"%(?:[01][0-9A-F]|2[1-9A-CF]|3[A-F]|40|5[B-E]|60|7[BCDF])"
+_CANONICAL = re.compile(
+    _HOST + rf"((?:/(?:[A-Za-z0-9:/@!$&'()*+,;=\-._~]|{_PATH_ESCAPE})*)?)"
+    rf"(?:\?((?:[A-Za-z0-9_.\-~+=&!$'()*,/:;?@]|{_QUERY_ESCAPE})*))?(?:#([A-Za-z0-9:/?@!$&'()*+,;=\-._~%]*))?")
+# Characters that the percent-encoding of a query's parts does not keep, and those that the one of paths does.
+_QUERY_RAW = "!$'()*,/:;?@"
+_KEPT = ":/?@!$&'()+,;=~"
+
+
+#: Longer URLs go to Python: the JVM's patterns recurse once per character of a repeated choice.
+_SHORT = 1000
+
+
+def _whole(pattern: re.Pattern[str]) -> str:
+    return f"^(?:{pattern.pattern})\\z"
+
+
+def _fits(url: Column, pattern: re.Pattern[str]) -> Column:
+    return (F.length(url) <= _SHORT) & url.rlike(_whole(pattern))
+
+
 def clean_origin(url: Column) -> Column:
     """Scheme and host of a URL that needs no rewriting; null for others."""
     found = F.regexp_extract(url, f"^({_CLEAN_ORIGIN.pattern.replace('(?=', '(?:(?=').replace('Z)', 'z))')})", 1)
     return F.when(F.length(found) > 0, found)
 
 
-def needs_origin_only(value: Column) -> Column:
-    """The value is a rooted path that neither joining nor encoding changes."""
-    return value.rlike(f"^{_CLEAN_ROOT.pattern}\\z")
+def encoded_path(value: Column) -> Column:
+    """Percent-encoded as ``safe_url`` does it for a path: the form encoding, less what a path may hold."""
+    out = F.replace(F.url_encode(value), F.lit("+"), F.lit("%20"))
+    for char in _KEPT:
+        out = F.replace(out, F.lit(f"%{ord(char):02X}"), F.lit(char))
+    return F.replace(out, F.lit("%25"), F.lit("%"))     # last: an escape's own sign comes back whole
+
+
+def settled(value: Column, origin: Column) -> Column:
+    """The URL that a value resolves to, where that takes no more than plain functions; null for others.
+
+    Those are whole URLs that hold nothing to encode, and rooted paths behind ``origin``.
+    """
+    return (F.when(origin.isNotNull() & value.rlike(_whole(_CLEAN_ROOT)), F.concat(origin, value))
+            .when(origin.isNotNull() & ~value.startswith("/.") & _fits(value, _PLAIN_ROOT), F.concat(origin, encoded_path(value)))
+            .when(_fits(value, _SETTLED), value))
+
+
+def is_plain(url: Column) -> Column:
+    """``canonical_plain`` holds for this URL."""
+    return F.coalesce(_fits(url, _CANONICAL), F.lit(False))
+
+
+def canonical_plain(url: Column) -> Column:
+    """``canonical_url`` of an ASCII URL with usual escapes, as ``struct<key,url>``.
+
+    Pairs are sorted by what they say, decoded, and written in one way.
+    """
+
+    def part(i: int) -> Column:
+        return F.coalesce(F.regexp_extract(url, _whole(_CANONICAL), i), F.lit(""))
+
+    def encoded(text: Column) -> Column:
+        for char in _QUERY_RAW:
+            text = F.replace(text, F.lit(char), F.lit(f"%{ord(char):02X}"))
+        return F.replace(text, F.lit("="), F.lit("%3D"))
+
+    def pair(piece: Column) -> Column:
+        name = F.substring_index(piece, "=", 1)
+        value = F.substring(piece, F.length(name) + 2, F.length(piece))
+        return F.struct(F.url_decode(name).alias("name"), F.url_decode(value).alias("value"), F.concat(encoded(name), F.lit("="), encoded(value)).alias("text"))
+
+    pieces = F.filter(F.split(part(3), "&"), lambda p: p != "")
+    query = F.array_join(F.transform(F.array_sort(F.transform(pieces, pair)), lambda p: p["text"]), "&")
+    path = F.when(part(2) == "", "/").otherwise(part(2))
+    plain = F.concat(part(1), path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)))
+    return F.struct(F.concat(plain, F.when(part(4) == "", "").otherwise(F.concat(F.lit("#"), part(4)))).alias("key"), plain.alias("url"))
 
 _CANONICAL_TYPE = T.ArrayType(
     T.StructType([T.StructField("key", T.StringType()), T.StructField("url", T.StringType())])

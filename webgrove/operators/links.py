@@ -109,13 +109,13 @@ def resolve(docs: DataFrame, scan: tuple, name: str) -> DataFrame:
     work = docs.withColumn("_raw", F.filter(candidates(tags, attrs), lambda c: c["value"].isNotNull()))
     values = F.transform("_raw", lambda c: strip_blanks(c["value"])) if strip else F.col("_raw.value")
     if process_value is None:
-        # Values that only need the origin in front are joined here; the others go to Python.
+        # Values that plain functions resolve stay here; the others go to Python.
         work = work.withColumns({"_values": values, "_origin": urls.clean_origin(F.col("base_url"))})
-        work = work.withColumn("_clean", F.transform("_values", lambda v: F.col("_origin").isNotNull() & urls.needs_origin_only(v)))
-        work = work.withColumn("_hard", F.expr("transform(_values, (v, i) -> IF(get(_clean, i), NULL, v))"))
+        work = work.withColumn("_done", F.transform("_values", lambda v: urls.settled(v, F.col("_origin"))))
+        work = work.withColumn("_hard", F.expr("transform(_values, (v, i) -> IF(get(_done, i) IS NULL, v, NULL))"))
         work = work.withColumn("_urls", urls.resolve_urls("base_url", "url", F.col("_hard")))
-        work = work.withColumn("_urls", F.expr("transform(_urls, (u, i) -> IF(get(_clean, i), concat(_origin, get(_values, i)), u))")).drop(
-            "_values", "_origin", "_clean", "_hard")
+        work = work.withColumn("_urls", F.expr("transform(_urls, (u, i) -> coalesce(get(_done, i), u))")).drop(
+            "_values", "_origin", "_done", "_hard")
     elif apply := list_function(process_value):
         work = work.withColumn("_urls", urls.process_urls(apply)("base_url", "url", values))
     else:
@@ -182,7 +182,11 @@ def _finish(work: DataFrame, name: str, o: LinkOptions) -> DataFrame:
         links = F.expr(first_per_key(name, "x.url")) if o.unique else F.col(name)
         return work.withColumn(name, F.filter(links, lambda x: allowed(x["url"], o)))
     # One key for equal URLs; the first wins, is filtered as written, then rewritten.
-    work = work.withColumn("_canonical", urls.canonical_urls(F.col(f"{name}.url")))
+    # Usual URLs are rewritten here, the others in Python.
+    work = work.withColumn("_plain", F.transform(f"{name}.url", lambda u: F.when(urls.is_plain(u), urls.canonical_plain(u))))
+    hard = F.expr(f"transform({name}.url, (u, i) -> IF(get(_plain, i) IS NULL, u, NULL))")
+    work = work.withColumn("_canonical", urls.canonical_urls(hard))
+    work = work.withColumn("_canonical", F.expr("transform(_canonical, (c, i) -> coalesce(get(_plain, i), c))")).drop("_plain")
     keyed = f"transform({name}, (x, i) -> struct(x AS link, get(_canonical, i).key AS key, get(_canonical, i).url AS url))"
     links = F.expr(first_per_key(keyed, "x.key") if o.unique else keyed)
     work = work.withColumn(name, F.filter(links, lambda x: allowed(x["link"]["url"], o)))
