@@ -23,6 +23,8 @@ from webgrove.functions.text import captures, decode_entities
 from webgrove.operators.rows import explode_structs
 
 NODES = "nodes"
+#: Up to so many elements a context is read by a walk over them.
+_FEW_NODES = 256
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -380,7 +382,13 @@ def _in_document(part: Part, read: int) -> Column:
 
 def within_all(refs: Column, parts: list[Part], body: Callable[[Column], Column]) -> Column:
     """Evaluate ``parts`` inside every context, in context order."""
-    return with_matchers(parts, lambda inside: let(F.flatten(F.transform(refs, lambda c: inside(c["pre"]))), body))
+    return let(by_page_size(lambda counted: with_matchers(
+        parts, lambda inside: F.flatten(F.transform(refs, lambda c: inside(c["pre"]))), counted=counted)), body)
+
+
+def by_page_size(build: Callable[[bool], Column]) -> Column:
+    """``build(counted)`` with counts on pages of many elements, by walks on others, where making counts would cost more."""
+    return F.when(F.size(NODES) > _FEW_NODES, build(True)).otherwise(build(False))
 
 
 def running_count(flags: Column) -> Column:
@@ -389,22 +397,25 @@ def running_count(flags: Column) -> Column:
         seen, lambda x, i: x + F.coalesce(F.get(seen, i - step), F.lit(0))))
 
 
-def with_matchers(parts: list[Part], body: Callable[[Callable[[Column], Column]], Column]) -> Column:
+def with_matchers(parts: list[Part], body: Callable[[Callable[[Column], Column]], Column], *, counted: bool) -> Column:
     """Find the matches of each part once per page; ``body`` gets a function from a
     context element's number to the ``refs`` inside it.
 
-    A part's matches are an array in document order and, per element, how many of them
-    lie up to it.  A context's matches are the slice between two such counts, so reading
-    it costs its matches alone, however large or deep its subtree is.
+    ``counted``: a part's matches are an array in document order and, per element, how many
+    of them lie up to it.  A context's matches are the slice between two such counts, so
+    reading it costs its matches alone, however large or deep its subtree is.  Otherwise
+    matches are flags, and a context costs a walk over its subtree.
     """
     reads = _reads(parts)
 
-    def go(i: int, found: list[tuple[Column, Column] | None]) -> Column:
+    def go(i: int, found: list[tuple[Column, ...] | None]) -> Column:
         if i < len(parts):
             if not parts[i].steps:
                 return go(i + 1, [*found, None])
             flagged = _with_condition(parts[i].steps, lambda cond: F.transform(
                 F.col(NODES), lambda n: F.coalesce(cond(n), F.lit(False))))
+            if not counted:
+                return let(flagged, lambda flags: go(i + 1, [*found, (flags,)]))
             return let(flagged, lambda flags: let(_places(flags), lambda hits: let(
                 running_count(flags), lambda upto: go(i + 1, [*found, (hits, upto)]))))
 
@@ -425,13 +436,17 @@ def _places(flags: Column) -> Column:
     return F.filter(F.transform(flags, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
 
 
-def _in_context(pre: Column, found: tuple[Column, Column] | None, read: int) -> Column:
+def _in_context(pre: Column, found: tuple[Column, ...] | None, read: int) -> Column:
     """The matches below ``pre``; without any search, the element itself."""
     if found is None:
         return F.array(_ref(pre, read))
-    hits, upto = found
-    first = F.get(upto, pre)
-    return F.transform(F.slice(hits, first + 1, F.get(upto, node_at(pre)["last"]) - first), lambda j: _ref(j, read))
+    last = node_at(pre)["last"]
+    if len(found) == 2:
+        hits, upto = found
+        first = F.get(upto, pre)
+        return F.transform(F.slice(hits, first + 1, F.get(upto, last) - first), lambda j: _ref(j, read))
+    below = F.when(last > pre, F.sequence(pre + 1, last)).otherwise(_no_ints())
+    return F.transform(F.filter(below, lambda j: F.get(found[0], j)), lambda j: _ref(j, read))
 
 
 def require_pieces(docs: DataFrame, *queries: str) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from webgrove.functions import selectors
 from webgrove.functions.text import captures, decode_entities
 from webgrove.operators.rows import explode_structs
-from webgrove.operators.select import Selection, _reads, css, let, require_pieces, with_matchers
+from webgrove.operators.select import Selection, _reads, by_page_size, css, let, require_pieces, with_matchers
 
 
 @dataclass(frozen=True)
@@ -61,16 +61,16 @@ def extract_records(
     require_pieces(docs, *(f.query for f in fields.values()))
     names = list(fields)
 
-    def build(i: int, inside: list[Callable[[Column], Column]]) -> Column:
+    def build(i: int, inside: list[Callable[[Column], Column]], counted: bool) -> Column:
         if i < len(names):
             parts = selectors.parse(fields[names[i]].query)
-            return with_matchers(parts, lambda match: build(i + 1, [*inside, match]))
+            return with_matchers(parts, lambda match: build(i + 1, [*inside, match], counted), counted=counted)
         return F.transform(css(container).refs(), lambda c: F.struct(*(
             let(match(c["pre"]), _reader(fields[name])).alias(name)
             for name, match in zip(names, inside, strict=True)
         )))
 
-    records = explode_structs(docs, build(0, []), keep=keep)
+    records = explode_structs(docs, by_page_size(lambda counted: build(0, [], counted)), keep=keep)
     for name, f in fields.items():
         if f.regex:
             records = records.withColumn(name, decode_entities(F.col(name), scalar=not f.many))
