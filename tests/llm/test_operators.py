@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -128,15 +129,33 @@ def test_contamination(spark, block):
 
 def test_contamination_random():
     draw = random.Random(3)
-    for _ in range(60):
+    for _ in range(400):
         items = [(str(k), [draw.choice("abc") for _ in range(draw.randint(1, 9))]) for k in range(4)]
-        machine = decontaminate.Automaton([(k, [w.encode() for w in ws]) for k, ws in items], 4)
+        machine = decontaminate.Machine(decontaminate.build([(k, [w.encode() for w in ws]) for k, ws in items], 4), 4)
         text = [draw.choice("abcd") for _ in range(30)]
         ranges, found = machine.matches([w.encode() for w in text])
         want = brute.contamination([(0, " ".join(text))], [(k, " ".join(ws)) for k, ws in items], 4)[0]
         assert sum(b - a for a, b in ranges) == want[2] and len(found) == want[3]
 
 
+def test_repetitive_texts_cost_linear_time():
+    def seconds(n):
+        same = [b"again"] * n
+        machine = decontaminate.Machine(decontaminate.build([("1", same), ("2", same[:5]), ("3", same[:3])], 13), 13)
+        begun = time.perf_counter()
+        assert machine.matches(same) == ([[0, n]], {"1", "2", "3"})
+        return time.perf_counter() - begun
+    assert seconds(20_000) < 1 and seconds(80_000) < 12 * max(seconds(20_000), 0.01)
+
+
+def test_long_items_are_cut_without_loss(spark):
+    words = [f"t{i}" for i in range(400)]
+    docs = spark.createDataFrame([(i, " ".join(words[i:i + 13])) for i in range(388)] + [(1000, " ".join(words[:12]))], "doc_id long, text string")
+    items = spark.createDataFrame([(9, " ".join(words))], "item_id long, text string")
+    found = decontaminate.find_contamination(docs, items, automaton_bytes=500)
+    assert rows(found.where("contaminated").select("doc_id", "n_hit")) == [(i, 13) for i in range(388)]
+
+
 def test_contamination_of_odd_rows(spark, odd, nothing):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(nothing, items).collect() == []

@@ -1,28 +1,40 @@
 """Benchmark decontamination with a generalised suffix automaton over words.
 
-The automaton holds every word sequence of the benchmark items.  A training text is
+The automaton holds every word sequence of the benchmark items.  It is built in tasks, one per
+share of the items, and stored as flat arrays in the shared folder; the tasks over the
+documents read it there, so items never pass through the driver.  A training text is
 streamed through it word by word; the longest match that ends at each word shows
 where an item's window (``window`` words in a row, or a whole shorter item) occurs.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webgrove.llm.common import in_batches, rows_of, text_bytes
+from webgrove.llm.common import in_batches, rows_of, runs, text_bytes, work_folder
 
 WINDOW = 13
 COVERAGE_PERCENT = 5
-#: Bytes of item texts in one automaton.  More items make further automata, through which
-#: the same stream of documents passes one after the other.
-AUTOMATON_BYTES = 32 << 20
+#: Bytes of item texts in one automaton (a bound on memory, not on items): up to 320 bytes of building task and 16 of stored
+#: arrays a byte.  More items make further automata, of which a worker keeps the last few.
+AUTOMATON_BYTES, MACHINES_HELD = 1 << 20, 4
+#: A stored automaton: its words, states, transitions (those of state s from ``first[s]``, by word), pairs of neighbouring words, and classes of hits.
+MACHINE = pa.schema([(name, pa.binary()) for name in (
+    "words", "link", "length", "top", "near", "first", "by", "to", "pairs", "class_state", "class_size", "class_first", "class_items")]
+    + [("items", pa.list_(pa.string())), ("shortest", pa.int32())])
 _SEPARATORS = bytes(32 if c < 0x30 or 0x3A <= c < 0x41 or 0x5B <= c <= 0x60 or 0x7B <= c <= 0x7F else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -32,44 +44,27 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_SEPARATORS).split()
 
 
-class Automaton:
-    """Generalised suffix automaton of word sequences, with the items below each state."""
+class Builder:
+    """Generalised suffix automaton of word sequences, grown word by word."""
 
-    def __init__(self, items: list[tuple[object, list[bytes]]], window: int) -> None:
-        self.window = window
+    def __init__(self) -> None:
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.items: list[set] = [set()]
+
+    def add(self, words: list[bytes]) -> list[int]:
+        """Take in one sequence; its word numbers."""
         number = self.vocabulary
-        coded = [(item, [number.setdefault(w, len(number)) for w in words]) for item, words in items if words]
-        for _, ids in coded:
-            last = 0
-            for word in ids:
-                last = self._extend(last, word)
-        self.shortest = min((min(len(ids), window) for _, ids in coded), default=window)
-        self.short: dict[int, list[tuple[int, object]]] = {}
-        for item, ids in coded:
-            state = 0
-            for word in ids:
-                state = self.next[state][word]
-                at = state
-                while at and item not in self.items[at]:
-                    self.items[at].add(item)
-                    at = self.link[at]
-            if len(ids) < window:
-                at = state
-                while self.length[self.link[at]] >= len(ids):
-                    at = self.link[at]
-                self.short.setdefault(at, []).append((len(ids), item))
-        size = max(1, len(number))
-        self.pairs = np.unique(np.array([a * size + b for _, ids in coded for a, b in zip(ids, ids[1:], strict=False)], dtype=np.int64))
+        ids = [number.setdefault(w, len(number)) for w in words]
+        last = 0
+        for word in ids:
+            last = self._extend(last, word)
+        return ids
 
     def _new(self, length: int, follow: dict[int, int], link: int) -> int:
         self.length.append(length)
         self.next.append(follow)
         self.link.append(link)
-        self.items.append(set())
         return len(self.length) - 1
 
     def _split(self, state: int, word: int) -> int:
@@ -95,6 +90,72 @@ class Automaton:
             self.link[new] = self._split(last, word)
         return new
 
+
+def build(items: list[tuple[str, list[bytes]]], window: int) -> dict[str, object]:
+    """The automaton of the items as flat arrays, the columns of ``MACHINE``.
+
+    A *class* is a word sequence that counts as a hit: a window of an item, found at the one
+    ancestor of a state that holds the state's last ``window`` words, or a whole shorter item.
+    """
+    grown = Builder()
+    coded = [(item, grown.add(words)) for item, words in items if words]
+    link, length = grown.link, grown.length
+    order = sorted(range(1, len(link)), key=length.__getitem__)      # links lead to shorter states
+    top = [-1] * len(link)
+    for state in order:
+        if length[state] >= window:
+            top[state] = top[link[state]] if length[link[state]] >= window else state
+    names = {item: k for k, item in enumerate(sorted({item for item, _ in coded}))}
+    classes: dict[tuple[int, int], set[int]] = {}                    # state and words -> items
+    for item, ids in coded:
+        state = 0
+        for i, word in enumerate(ids, 1):
+            state = grown.next[state][word]
+            if i >= window:
+                classes.setdefault((top[state], window), set()).add(names[item])
+        if len(ids) < window:
+            while length[link[state]] >= len(ids):
+                state = link[state]
+            classes.setdefault((state, len(ids)), set()).add(names[item])
+    keys = sorted(classes)
+    near = [0] * len(link)                                           # the nearest ancestor, itself included, with a short item
+    holders = {state for state, size in keys if size < window}
+    for state in order:
+        near[state] = state if state in holders else near[link[state]]
+    numbers = lambda values: np.fromiter(values, dtype=np.int32).tobytes()
+    size = max(1, len(grown.vocabulary))
+    pairs = {a * size + b for _, ids in coded for a, b in zip(ids, ids[1:], strict=False)}
+    return {
+        "words": b"\n".join(grown.vocabulary), "link": numbers(link), "length": numbers(length), "top": numbers(top), "near": numbers(near),
+        "first": numbers(itertools.accumulate((len(f) for f in grown.next), initial=0)),
+        "by": numbers(word for follow in grown.next for word in sorted(follow)),
+        "to": numbers(follow[word] for follow in grown.next for word in sorted(follow)),
+        "pairs": np.array(sorted(pairs), dtype=np.int64).tobytes(),
+        "class_state": numbers(state for state, _ in keys), "class_size": numbers(size for _, size in keys),
+        "class_first": numbers(itertools.accumulate((len(classes[k]) for k in keys), initial=0)),
+        "class_items": numbers(item for k in keys for item in sorted(classes[k])), "items": list(names),
+        "shortest": min((min(len(ids), window) for _, ids in coded), default=window),
+    }
+
+
+class Machine:
+    """A built automaton as it is read by a task: arrays, and the numbers of its words."""
+
+    def __init__(self, built: dict, window: int) -> None:
+        self.window, self.shortest, self.items = window, built["shortest"], built["items"]
+        self.vocabulary = {w: k for k, w in enumerate(built["words"].split(b"\n"))} if built["words"] else {}
+        self.pairs = np.frombuffer(built["pairs"], dtype=np.int64)
+        arrays = ("link", "length", "top", "near", "first", "by", "to", "class_state", "class_size", "class_first", "class_items")
+        self.link, self.length, self.top, self.near, self.first, self.by, self.to, state, sizes, self.class_first, self.class_items = (
+            memoryview(built[name]).cast("i") for name in arrays)
+        self.whole: dict[int, int] = {}                              # state -> class of its last ``window`` words
+        self.short: dict[int, list[tuple[int, int]]] = {}            # state -> short items that end there: words, class
+        for k, (at, size) in enumerate(zip(state, sizes, strict=True)):
+            if size == window:
+                self.whole[at] = k
+            else:
+                self.short.setdefault(at, []).append((size, k))
+
     def candidates(self, words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
         """Where the text follows pairs of the items for long enough: start and word numbers.
 
@@ -116,42 +177,51 @@ class Automaton:
         for k in np.flatnonzero(ends - starts >= self.shortest):
             yield int(starts[k]), ids[starts[k]:ends[k]]
 
-    def matches(self, words: list[bytes]) -> tuple[list[list[int]], set]:
-        """Merged word ranges inside occurring windows, and the items that these belong to."""
+    def matches(self, words: list[bytes]) -> tuple[list[list[int]], set[str]]:
+        """Merged word ranges inside occurring windows, and the items that these belong to.
+
+        A word costs a bounded number of steps, also in texts that repeat themselves: the class
+        of its last ``window`` words is one look-up, and of short items no more than one of each length ends at it.
+        """
         ranges: list[list[int]] = []
-        found: set = set()
+        hits: set[int] = set()
         if not words or not self.vocabulary:
-            return ranges, found
+            return ranges, set()
+        link, length, first, by, to, window = self.link, self.length, self.first, self.by, self.to, self.window
         for start, ids in self.candidates(words):
             state, longest = 0, 0
             for i, word in enumerate(ids.tolist(), start + 1):
-                while state and word not in self.next[state]:
-                    state = self.link[state]
-                    longest = self.length[state]
-                if word in self.next[state]:
-                    state = self.next[state][word]
-                    longest += 1
+                while True:
+                    end = first[state + 1]
+                    at = bisect_left(by, word, first[state], end)
+                    if at < end and by[at] == word:
+                        state = to[at]
+                        longest += 1
+                        break
+                    if not state:
+                        break
+                    state = link[state]
+                    longest = length[state]
                 hit = 0
-                if longest >= self.window:
-                    at = state
-                    while self.length[self.link[at]] >= self.window:
-                        at = self.link[at]
-                    found |= self.items[at]
-                    hit = self.window
-                at = state
-                while self.short and at > 0:
-                    for size, item in self.short.get(at, ()):
+                if longest >= window:
+                    # the class of a state that the match does not fill is that of an ancestor, and so is this one
+                    hits.add(self.whole[self.top[state]])
+                    hit = window
+                at = self.near[state]
+                while at > 0:
+                    for size, number in self.short[at]:
                         if size <= longest:
-                            found.add(item)
+                            hits.add(number)
                             hit = max(hit, size)
-                    at = self.link[at]
+                    at = self.near[link[at]]
                 if hit:
                     if ranges and i - hit <= ranges[-1][1]:
                         ranges[-1][1] = i
                         ranges[-1][0] = min(ranges[-1][0], i - hit)
                     else:
                         ranges.append([i - hit, i])
-        return _merged(ranges), found
+        below = {k for h in hits for k in self.class_items[self.class_first[h]:self.class_first[h + 1]]}
+        return _merged(ranges), {self.items[k] for k in below}
 
 
 def _merged(ranges: list[list[int]]) -> list[list[int]]:
@@ -164,20 +234,57 @@ def _merged(ranges: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _blocks(items: DataFrame, most: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items as word lists, streamed to the driver in blocks of bounded size."""
-    block: list = []
-    size = 0
-    for item, text in items.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).toLocalIterator():
-        words = words_of(text_bytes(bytes(text) if text is not None else None))
-        if item is not None and words:
-            block.append((item, words))
-            size += len(text)
-        if size >= most:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def _spans(raw: bytes, pairs: list[list[int]]) -> list[dict[str, int]]:
+    """Ascending word ranges of a UTF-8 text as ranges of characters."""
+    if not pairs:
+        return []
+    at = [m.span() for m in _WORD.finditer(raw)]
+    edges = [edge for a, b in pairs for edge in (at[a][0], at[b - 1][1])]
+    places = list(itertools.accumulate(len(raw[a:b].decode()) for a, b in itertools.pairwise([0, *edges])))
+    return [{"start": a, "end": b} for a, b in zip(places[::2], places[1::2], strict=True)]
+
+
+def store_automatons(items: DataFrame, *, window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> list[str]:
+    """Build the automatons in tasks and store them in the shared folder; the files' paths.
+
+    Items are dealt to automatons by hash.  Items longer than a part are cut into parts that overlap
+    by a window less one word, so that no task holds more than its share of one item.
+    """
+    words = max(2 * window, automaton_bytes // 16)
+    texts = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).where("item is not null and text is not null").distinct()
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // automaton_bytes))
+    part_rows = pa.schema([("block", pa.int32()), ("item", pa.string()), ("words", pa.binary())])
+
+    def to_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for item, text in rows_of(batches, "item", "text"):
+                found = words_of(text)
+                for at in range(0, max(1, len(found) - window + 1), words - window + 1):
+                    part = b" ".join(found[at:at + words])
+                    if part:
+                        yield zlib.crc32(item.encode() + part) % blocks, item, part
+
+        yield from in_batches(rows(), part_rows)
+
+    def to_automatons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, parts in runs(rows_of(batches, "block", "item", "words"), 1):
+            yield pa.RecordBatch.from_pylist([build([(item, part.split()) for _, item, part in parts], window)], MACHINE)
+
+    columns = ", ".join(f"{f.name} {'array<string>' if pa.types.is_list(f.type) else 'int' if pa.types.is_integer(f.type) else 'binary'}" for f in MACHINE)
+    parts = texts.mapInArrow(to_parts, "block int, item string, words binary")
+    made = parts.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(to_automatons, columns)
+    folder = work_folder(items.sparkSession, "automatons")
+    made.write.option("maxRecordsPerFile", 1).parquet(folder)
+    return sorted(items.sparkSession.read.schema(made.schema).parquet(folder).inputFiles())
+
+
+@lru_cache(maxsize=MACHINES_HELD)
+def machine(path: str, window: int) -> Machine | None:
+    """A stored automaton, kept by the worker for its next texts; None for a file without a row."""
+    system, name = FileSystem.from_uri(path)
+    rows = pq.read_table(name, filesystem=system).to_pylist()
+    return Machine(rows[0], window) if rows else None
 
 
 def find_contamination(
@@ -193,68 +300,36 @@ def find_contamination(
     Only ``doc_id``, ``text`` and ``item_id``, ``text`` are read.  Without ``keep_text``
     the ``text`` column comes back null, which saves its way out of Python.
     """
-    spark = docs.sparkSession
     id_type, id_name = docs.limit(0).select("doc_id").toArrow().schema.field(0).type, docs.schema["doc_id"].dataType.simpleString()
-    passed = pa.schema([("doc_id", id_type), ("text", pa.string()), ("ranges", pa.list_(pa.int32())), ("item_ids", pa.list_(pa.string()))])
     done = pa.schema([("doc_id", id_type), ("text", pa.string()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())),
                       ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+    paths = store_automatons(items, window=window, automaton_bytes=automaton_bytes)
 
-    def one_pass(automaton):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def rows() -> Iterator[tuple]:
-                for doc_id, text, ranges, found in rows_of(batches, "doc_id", "text", "ranges", "item_ids"):
-                    new, more = automaton.value.matches(words_of(text_bytes(text)))
-                    if new:
-                        pairs = _merged([*new, *([a, b] for a, b in zip(ranges[::2], ranges[1::2], strict=True))])
-                        ranges, found = [x for pair in pairs for x in pair], sorted({*found, *more})
-                    yield doc_id, text, ranges, found
-
-            yield from in_batches(rows(), passed)
-        return run
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for doc_id, text, ranges, found in rows_of(batches, "doc_id", "text", "ranges", "item_ids"):
-                raw = text_bytes(text)
-                pairs = list(zip(ranges[::2], ranges[1::2], strict=True))
-                spans = []
-                if pairs:
-                    at = [m.span() for m in _WORD.finditer(raw)]
-                    spans = [{"start": len(raw[:at[a][0]].decode()), "end": len(raw[:at[b - 1][1]].decode())} for a, b in pairs]
-                yield doc_id, text if keep_text else None, len(words_of(raw)), sum(b - a for a, b in pairs), found, spans
+            for batch in batches:
+                texts = [text_bytes(text) for text in batch.column("text").to_pylist()]
+                counts = [0] * len(texts)
+                ranges: list[list[list[int]]] = [[] for _ in texts]
+                found: list[set[str]] = [set() for _ in texts]
+                for k, path in enumerate(paths or [None]):           # a whole batch passes through one automaton after the other
+                    reader = machine(path, window) if path else None
+                    for i, raw in enumerate(texts):
+                        words = words_of(raw) if reader or not k else []
+                        if not k:
+                            counts[i] = len(words)
+                        if reader:
+                            new, more = reader.matches(words)
+                            ranges[i] += new
+                            found[i] |= more
+                for doc_id, raw, n_words, hit, own in zip(batch.column("doc_id").to_pylist(), texts, counts, ranges, found, strict=True):
+                    pairs = _merged(hit)
+                    yield doc_id, raw.decode() if keep_text else None, n_words, sum(b - a for a, b in pairs), sorted(own), _spans(raw, pairs)
 
         yield from in_batches(rows(), done)
 
-    def all_in_one(automaton):
-        """The usual case of one automaton: every text crosses to Python once."""
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            machine = automaton.value
-
-            def rows() -> Iterator[tuple]:
-                for doc_id, text in rows_of(batches, "doc_id", "text"):
-                    raw = text_bytes(text)
-                    words = words_of(raw)
-                    pairs, found = machine.matches(words)
-                    spans = []
-                    if pairs:
-                        at = [m.span() for m in _WORD.finditer(raw)]
-                        spans = [{"start": len(raw[:at[a][0]].decode()), "end": len(raw[:at[b - 1][1]].decode())} for a, b in pairs]
-                    yield doc_id, text if keep_text else None, len(words), sum(b - a for a, b in pairs), sorted(found), spans
-
-            yield from in_batches(rows(), done)
-        return run
-
-    machines = [spark.sparkContext.broadcast(Automaton(block, window)) for block in _blocks(items, automaton_bytes)]
-    machines = machines or [spark.sparkContext.broadcast(Automaton([], window))]
     plain = docs.select("doc_id", F.expr("make_valid_utf8(text)").alias("text"))
-    result = f"doc_id {id_name}, text string, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
-    if len(machines) == 1:
-        out = plain.mapInArrow(all_in_one(machines[0]), result)
-    else:
-        out = plain.withColumns({"ranges": F.array().cast("array<int>"), "item_ids": F.array().cast("array<string>")})
-        for machine in machines:
-            out = out.mapInArrow(one_pass(machine), f"doc_id {id_name}, text string, ranges array<int>, item_ids array<string>")
-        out = out.mapInArrow(finish, result)
+    out = plain.mapInArrow(judge, f"doc_id {id_name}, text string, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= coverage_percent * F.col("n_words")))
 
 
