@@ -197,7 +197,8 @@ def pack_documents(
         yield from in_batches(rows(), pieces)
 
     ids = ", ids array<int>" if keep_ids else ""
-    draw = F.xxhash64(F.lit(seed), "doc_id", "n_tokens", "checksums")
+    # the row's place in its input split sends equal rows to different groups
+    draw = F.xxhash64(F.lit(seed), "doc_id", "n_tokens", "checksums", F.monotonically_increasing_id())
     counted = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
         tokenise, f"doc_id {id_type}, n_tokens long, checksums binary, packed binary")
     return (counted.withColumn("_draw", draw).repartition(shuffle_partitions(docs.sparkSession), "_draw")
