@@ -201,7 +201,7 @@ def count_tokens(docs: DataFrame, *, model_file: str, limit: int = LIMIT, block_
 
     blocks = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
         to_blocks, f"bucket int, block long, words binary, per_word binary, docs binary, times binary, ids array<{id_name}>, sizes array<long>, feeds array<long>")
-    shares = blocks.repartition(n_buckets, "bucket").mapInArrow(
+    shares = blocks.repartitionById(n_buckets, "bucket").mapInArrow(
         to_shares, f"block long, shares binary, ids array<{id_name}>, sizes array<long>, feeds array<long>")
     return (shares.repartition(n_buckets, "block").sortWithinPartitions("block")
             .mapInArrow(to_counts, f"doc_id {id_name}, n_bytes long, n_tokens long")
