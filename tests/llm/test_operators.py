@@ -397,6 +397,43 @@ def test_trees_learn_held_out_urls(spark):
     assert right >= 97
 
 
+def test_hosts_and_rules_equal_sql(spark):
+    judged = QUERIES["op8_url_filter"](spark, SF)
+    rule = "CASE " + " ".join(
+        f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN {{}}".replace("{}", f"'{host}{path}'")
+        for _, host, path in sorted(urls.RULES, key=lambda r: -len(r[1] + r[2]))) + " END"
+    verdicts = {host + path: verdict for verdict, host, path in urls.RULES}
+    sql = rf"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+SELECT *, {rule} AS rule FROM h"""
+    got = judged.toPandas()
+    assert differences(got[["page_id", "host", "path", "rule"]], oracle_frame(SF, sql)) is None
+    decided = got[got["rule"].notna()]
+    assert len(decided) and (decided["rule"].map(verdicts) == decided["verdict"]).all() and set(got["verdict"]) <= {"allow", "block"}
+
+
+def test_every_suffix_counts_and_folds_stay_out(spark):
+    labels = spark.createDataFrame([(f"http://h{i}.s{i % 1500}/", float(i // 1500)) for i in range(3000)], "url string, label double")
+    known = urls.lexical(labels)
+    statistics = urls.suffix_statistics(known)
+    assert statistics.count() == 1500 and {(r._n, r._blocked) for r in statistics.collect()} == {(2, 1.0)}
+    shares = {r.f_suffix for r in urls.with_suffix(known, statistics, held_out=True).where("f_suffix_known = 1").select("f_suffix").collect()}
+    # the other host's label alone, or none where both hosts are of one fold (those are unknown)
+    assert shares == {1 / 3, 2 / 3}
+    page = spark.createDataFrame([(1, "http://a.b/")], "page_id long, url string")
+    for wrong in (0.5, 2.0, -1.0):
+        with pytest.raises(ValueError, match="labels"):
+            urls.filter_urls(page, labels.withColumn("label", F.when(F.col("url") == "http://h1.s1/", F.lit(wrong)).otherwise(F.col("label"))))
+
+
+def test_very_long_urls(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/" + "x/" * 20_000), (2, "http://" + "é." * 5000 + "net/es/"), (3, "http://z.org/?" + "a=1&" * 10_000)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(pages).collect()}
+    assert got[1] == ("com/", "allow") and got[2] == ("net/es/", "block") and got[3][0] is None
+
+
 # surrogates
 
 KEY = b"sixteen bytes or more"

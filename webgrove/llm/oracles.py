@@ -41,6 +41,12 @@ _LETTERS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
+    "op7_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS kept FROM pages),
+r AS (SELECT *, strlen(h) >= 1000 AND page_id <> kept AS again FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+    CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN kept END AS refers_to FROM r
+""",
     # a recursive step a walk: rows outside the range go through the network again
     "op10_sharding": rf"""
 WITH RECURSIVE {_CRC_TABLE},
