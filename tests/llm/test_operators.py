@@ -470,6 +470,41 @@ def test_surrogates(spark, odd, nothing):
         pii.replace_entities(docs, key=b"short")
 
 
+NAMES = [
+    "Mr Ada Lovelace met us. Lovelace left with Ada, LOVELACE said; lovelace-like.", "Mr Jean-Luc Picard and Picard, then Jean.", "Mr O'Brien told Mr. J. Smith and Mr McDonald.",
+    "Mr 王小明 met Mrs محمد علي, then 王小明.", "господин Иванов и госпожа Иванова; Иванова ждёт. ИВАНОВ тоже.", "κύριος Παπαδόπουλος και κυρία Ελένη Παππά.",
+    "Lovelace of another text stays. Mr. J.-P. Smith-Jones too", "Madame D\u2019Arc; Sir No",
+]
+
+
+def test_names_written_by_hand(spark):
+    """Each name gone from its document, also behind its first mention; script, hyphens, case and gender stay."""
+    docs = spark.createDataFrame([(i, t, "d", "a", "r") for i, t in enumerate(NAMES)], "doc_id long, text string, _doc string, _again string, row string")
+    text = {r.doc_id: r.text for r in pii.replace_entities(docs, key=KEY).collect()}
+    m = re.fullmatch(r"Mr (\w+) (\w+) met us\. (\w+) left with (\w+), (\w+) said; lovelace-like\.", text[0])
+    assert m and m[2] == m[3] == m[5].capitalize() != "Lovelace" and m[1] == m[4] != "Ada" and m[5].isupper()
+    m = re.fullmatch(r"Mr (\w+)-(\w+) (\w+) and (\w+), then (\w+)\.", text[1])
+    assert m and m[3] == m[4] and m[1] == m[5] and not {"Jean", "Luc", "Picard"} & set(m.groups())
+    m = re.fullmatch(r"Mr O'(\w+) told Mr\. ([A-Z])\. (\w+) and Mr (\w+)\.", text[2])
+    assert m and not {"Brien", "Smith", "McDonald"} & set(m.groups())
+    m = re.fullmatch(r"Mr (\w+) met Mrs (\w+) (\w+), then (\w+)\.", text[3])
+    assert m and m[1] == m[4] != "王小明" and all("\u4e00" <= c <= "\u9fff" for c in m[1]) and all("\u0600" <= c <= "\u06ff" for c in m[2] + m[3]) and m[2] != "محمد"
+    m = re.fullmatch(r"господин (\w+ов) и госпожа (\w+ова); (\w+) ждёт\. (\w+) тоже\.", text[4])
+    assert m and m[2] == m[1] + "а" == m[3] and m[4] == m[1].upper() and m[1] != "Иванов"
+    m = re.fullmatch(r"κύριος (\w+ος) και κυρία (\w+) (\w+ά)\.", text[5])
+    assert m and m[1] != "Παπαδόπουλος" and m[3] != "Παππά"
+    m = re.fullmatch(r"Lovelace of another text stays\. Mr\. ([A-Z])\.-([A-Z])\. (\w+)-(\w+) too", text[6])
+    assert m and "Smith" != m[3] and "Jones" != m[4] and text[2].split("told Mr. ")[1].split(" ")[1] == m[3]
+    assert re.fullmatch(r"Madame D\u2019(?!Arc)\w+; Sir \w+", text[7])
+
+
+def test_attempts_follow_the_text_and_not_the_id(spark):
+    """Collisions under one null id: every text still gets its own distinct addresses."""
+    docs = spark.createDataFrame([(None, f"at a.{i:02d}@example.com") for i in range(60)] * 2, "doc_id long, text string")
+    new = [r.text for r in pii.replace_entities(docs, key=KEY).collect()]
+    assert len(new) == 120 and len(set(new)) == 60
+
+
 PHONES = ["555-123-4567", "202.555.0143", "1-800-555-0199", "+49 30 1234567", "+49 (0) 30 / 123456", "0049 30 1234567", "+33 1 23 45 67 89", "+34 612 34 56 78",
           "+44 20 7946 0958", "+353 1 234 5678", "+4915123456789", "030 1234567", "(030) 123 45 67", "0170/1234567", "089 - 12345678", "01 23 45 67 89",
           "06.12.34.56.78", "020 7946 0958", "612 34 56 78", "91 234 56 78", "+1 (017) 555-7713"]

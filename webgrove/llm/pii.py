@@ -1,8 +1,8 @@
 """Surrogates for personal data.
 
 Detected entities are replaced by keyed surrogates of the same type, script and format:
-a card number stays a valid card number, a name keeps its script and its bearer's
-gender.  A surrogate depends on the key and the entity alone, so mentions of one
+a card number stays a valid card number, a name keeps its script, hyphens and its bearer's
+gender.  A name is found behind a title, and then wherever the document has it again.  A surrogate depends on the key and the entity alone, so mentions of one
 entity, in any document and any spelling that normalises alike, stay one entity.
 All distinct entities are checked against each other: a surrogate that another entity
 has, or that is itself an entity of the corpus, is drawn again.
@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,12 +36,19 @@ GIVEN = {("latin", "m"): ("Al", "Ben", "Dan", "Ed", "Jon", "Leo", "Max", "Tom"),
 SYLLABLES = {"latin": ("ba", "co", "du", "fe", "gi", "ha", "ko", "lu", "me", "ni", "po", "ra", "se", "ti", "vo", "we"),
              "cyrillic": ("ба", "ве", "го", "ди", "жу", "за", "ко", "лу", "ме", "ни", "по", "ра", "се", "ти", "фо", "ша"),
              "greek": ("βα", "γε", "δι", "ζο", "θα", "κε", "λι", "μο", "να", "πε", "ρι", "σο", "τα", "φε", "χι", "ψο")}
+#: Endings of surnames that a surrogate keeps, and feminine ones with their masculine (folded, so the last sigma is a plain one).
+FEMININE = {"ова": "ов", "ева": "ев", "ёва": "ёв", "ина": "ин", "ына": "ын", "ская": "ский", "цкая": "цкий"}
+ENDINGS = {"cyrillic": (*FEMININE.values(), "ой", "ий", "ко", "ук"), "greek": ("οσ", "όσ", "ησ", "ήσ", "ασ", "άσ", "ου", "ού", "η", "ή", "α", "ά")}
+#: Letters of initials.
+INITIALS = {"latin": "ABCDEFGHJKLMNPRSTVW", "cyrillic": "АБВГДЕИКЛМНОПРСТ", "greek": "ΑΒΓΔΕΖΗΘΚΛΜΝΠΣΤΦ"}
 #: The country codes of two digits; 1 and 7 have one, all others three.
 _CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 _GENDER = {title.lower(): gender for gender, titles in TITLES.items() for title in titles}
 _TITLE = "|".join(sorted((t for titles in TITLES.values() for t in titles), key=len, reverse=True))
 _CAPITAL = r"[^\W\d_a-zà-öø-ÿа-яёα-ωά-ώ]"
-_NAME = rf"{_CAPITAL}(?:[^\W\d_A-ZÀ-ÖØ-Þ]+|{_CAPITAL}+)"
+_PART = rf"(?:{_CAPITAL}['\u2019])?{_CAPITAL}[^\W\d_]+"
+_FULL = rf"{_PART}(?:-{_PART})*"
+_INITIAL = rf"{_CAPITAL}\.(?:-?{_CAPITAL}\.)*"
 
 _EMAIL = re.compile(r"(?<![\w.%+\-])[\w.%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}")
 _DIGITS = re.compile(
@@ -65,7 +74,10 @@ _DATE = re.compile(r"\(?[0-9]{1,2}([./\- ])[0-9]{1,2}\1(?:[0-9]{4}|[0-9]{2})(?!\
 _GROUP = re.compile(r"[0-9]+")
 _TRUNK = re.compile(r"\(0\)")
 _SECRET = re.compile(r"""(?i)(?:token|password|passwd|secret|api[_-]?key)["'#*$%&!]{0,3}\s*[:=][#*$%&!]{0,3}\s*["']?([a-z0-9_\-/+]{8,})""")
-_PERSON = re.compile(rf"(?<!\w)({_TITLE})\.?[  ]+({_NAME}(?:[  ]{_NAME}){{0,2}})(?!\w)")
+_PERSON = re.compile(rf"(?<!\w)({_TITLE})\.?[ \xa0]+((?:{_INITIAL}[ \xa0]?|{_FULL}[ \xa0]){{0,2}}{_FULL})(?!\w)")
+_TOKEN = re.compile(rf"(?P<initials>{_INITIAL})|{_FULL}")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_NAMED = re.compile(rf"(?:{_CAPITAL}['\u2019])?({_CAPITAL}[^\W\d_]+)")
 _ACCESS = re.compile(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])")
 # What a text must hold for the patterns to be tried at all, and how far a match reaches around a digit in it.
 _TITLE_ENDS = tuple(t + end for titles in TITLES.values() for t in titles for end in (" ", "\xa0", "."))
@@ -146,12 +158,7 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     if any(word in lower for word in _SECRET_WORDS):
         found += [(*m.span(1), "secret") for m in _SECRET.finditer(text)]
     if any(end in text for end in _TITLE_ENDS):
-        for m in _PERSON.finditer(text):
-            tokens = list(re.finditer(_NAME, m[2]))
-            for token in tokens:
-                start, end = m.start(2) + token.start(), m.start(2) + token.end()
-                kind = "surname" if token is tokens[-1] else f"given-{_GENDER[m[1].lower()]}"
-                found.append((start, end, f"{kind}-{script(token[0])}"))
+        found += _names(text)
     out: list[tuple[int, int, str]] = []
     for span in sorted(found, key=lambda s: (s[0], -s[1])):
         if not out or span[0] >= out[-1][1]:
@@ -159,6 +166,32 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _names(text: str) -> list[tuple[int, int, str]]:
+    """Names behind titles, part by part, and then every other capitalised mention of these parts in the text."""
+    found: list[tuple[int, int, str]] = []
+    known: dict[str, str] = {}
+    for m in _PERSON.finditer(text):
+        gender, until = _GENDER[m[1].lower()], m.end(2)
+        for token in _TOKEN.finditer(text, m.start(2), until):
+            if token["initials"]:
+                found += [(*c.span(), f"initial-{script(c[0])}") for c in _LETTERS.finditer(text, *token.span())]
+                continue
+            role = "surname" if token.end() == until else f"given-{gender}"
+            for part in _NAMED.finditer(text, *token.span()):
+                kind = f"{role}-{script(part[1])}"
+                found.append((*part.span(1), kind))
+                known.setdefault(part[1].casefold(), kind)
+                known.setdefault(normal(kind, part[1]), kind)
+    if known:
+        for word in _LETTERS.finditer(text):
+            if not word[0][0].islower():
+                folded = word[0].casefold()
+                kind = known.get(folded) or known.get(masculine(folded), "")
+                if kind and (folded in known or kind.startswith("surname-cyrillic")):
+                    found.append((*word.span(), kind))
+    return found
+
+
 def _around_signs(text: str) -> Iterator[tuple[int, int]]:
     """The stretches without white space that hold an ``@``."""
     at = text.find("@")
@@ -185,7 +218,33 @@ def _around_digits(text: str) -> Iterator[tuple[int, int]]:
 
 def script(name: str) -> str:
     c = name[0]
-    return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" or "ἀ" <= c <= "῿" else "latin"
+    if "Ѐ" <= c <= "ӿ":
+        return "cyrillic"
+    if "Ͱ" <= c <= "Ͽ" or "ἀ" <= c <= "῿":
+        return "greek"
+    return "latin" if unicodedata.name(c, "").startswith("LATIN") else "other"
+
+
+def masculine(folded: str) -> str:
+    """The masculine form of a folded surname, by which its bearers' mentions are one entity."""
+    for ending, other in FEMININE.items():
+        if folded.endswith(ending) and len(folded) > len(ending) + 1:
+            return folded[:-len(ending)] + other
+    return folded
+
+
+def feminine(folded: str) -> str:
+    for other, ending in FEMININE.items():
+        if folded.endswith(ending):
+            return folded[:-len(ending)] + other
+    return folded
+
+
+@lru_cache(maxsize=4096)
+def _neighbours(c: str) -> str:
+    """The letters of a character's kind in its block of 64 code points, itself among them."""
+    base, kind = ord(c) & ~63, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(base, base + 64)) if unicodedata.category(x) == kind)
 
 
 def normal(kind: str, value: str) -> str:
@@ -199,6 +258,8 @@ def normal(kind: str, value: str) -> str:
         return re.sub(r"\D", "", value)
     if kind == "iban":
         return value.replace(" ", "")
+    if kind == "surname-cyrillic":
+        return masculine(value.casefold())
     return value.casefold() if kind != "ip" else value
 
 
@@ -235,12 +296,20 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """The normalised surrogate of a normalised entity."""
     draw = Stream(key, kind, value, attempt)
     family = kind.partition("-")[0]
-    if family == "given":
-        _, gender, letters = kind.split("-")
-        pool = GIVEN[letters, gender]
-        return (pool[draw.below(len(pool))] + "".join(SYLLABLES[letters][draw.below(16)] for _ in range(1 + attempt // 2))).casefold()
-    if family == "surname":
-        return "".join(SYLLABLES[kind.partition("-")[2]][draw.below(16)] for _ in range(5 + attempt // 2))
+    if family in ("given", "surname"):
+        letters = kind.rpartition("-")[2]
+        if letters == "other":              # letters of the same block, and more of them where these run out
+            return "".join(pool[draw.below(len(pool))] for pool in map(_neighbours, value + value[-1] * (attempt // WIDER)))
+        syllables = SYLLABLES[letters]
+        if family == "given":
+            pool = GIVEN[letters, kind.split("-")[1]]
+            return (pool[draw.below(len(pool))] + "".join(syllables[draw.below(16)] for _ in range(1 + attempt // 2))).casefold()
+        new = "".join(syllables[draw.below(16)] for _ in range(5 + attempt // 2))
+        ending = next((e for e in ENDINGS.get(letters, ()) if value.endswith(e)), "")
+        return new[:-1] + ending if ending else new
+    if family == "initial":
+        pool = (INITIALS.get(kind.partition("-")[2]) or _neighbours(value)).replace(value.upper(), "")
+        return pool[draw.below(len(pool))]
     if kind == "email":
         local, _, domain = value.rpartition("@")
         labels = domain.split(".")
@@ -285,7 +354,13 @@ def shaped(kind: str, mention: str, new: str) -> str:
         given = iter(new)
         return "".join(next(given) if c.isalnum() else c for c in mention)
     if kind.startswith(("given", "surname")):
+        if kind == "surname-cyrillic" and masculine(mention.casefold()) != mention.casefold():
+            new = feminine(new)
+        if new[-1] == "σ" and not mention.isupper():
+            new = new[:-1] + "ς"
         return new.upper() if mention.isupper() and len(mention) > 1 else new[0].upper() + new[1:]
+    if kind.startswith("initial"):
+        return new.upper()
     return new.upper() if mention.isupper() else new
 
 
@@ -345,43 +420,46 @@ def replace_entities(docs: DataFrame, *, key: bytes) -> DataFrame:
 
     Null texts stay null and empty ones empty, with nothing replaced.  Null ids and
     repeated rows are treated like others.  A column ``n_replaced`` of ``docs`` is
-    replaced.  Numbers that are no valid card, address or account stay as they are.
+    replaced; no other name clashes.  Numbers that are no valid card, address or account stay as they are.
     An empty table gives an empty one.  ``key``: 16 to 64 secret bytes.
     """
     if not 16 <= len(key) <= 64:
         raise ValueError("the key must have 16 to 64 bytes")
     docs = docs.drop("n_replaced").withColumn("text", F.expr("make_valid_utf8(text)"))
-    id_name = docs.schema["doc_id"].dataType.simpleString()
-    id_type = docs.limit(0).select("doc_id").toArrow().schema.field(0).type
-    mention_schema = pa.schema([("doc_id", id_type), ("kind", pa.string()), ("value", pa.string())])
+    # an id is no key: what a text's entities need goes with the digest of the text
+    keyed = docs.select(F.struct("*").alias("row"), F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
+    mention_schema = pa.schema([("digest", pa.binary()), ("kind", pa.string()), ("value", pa.string())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
+            for digest, text in rows_of(batches, "digest", "text"):
                 text = text_bytes(text).decode()
                 for kind, value in dict.fromkeys((kind, normal(kind, text[a:b])) for a, b, kind in detect(text)):
-                    yield doc_id, kind, value
+                    if not kind.startswith("initial"):              # letters need not differ from others
+                        yield digest, kind, value
 
         yield from in_batches(rows(), mention_schema)
 
-    mentions = stored(docs.select("doc_id", "text").mapInArrow(find, f"doc_id {id_name}, kind string, value string"), "mentions")
+    texts = keyed.where("digest is not null").select("digest", F.col("row.text").alias("text"))
+    mentions = stored(texts.mapInArrow(find, "digest binary, kind string, value string"), "mentions")
     again = assign(mentions.select("kind", "value").distinct(), key)
     # few documents name an entity that was drawn again; each gets the attempts of its own entities
     cell = F.struct("kind", "value", "attempt")
-    own = stored(mentions.join(again, ["kind", "value"]).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(cell).alias("_again")), "again")
+    own = stored(mentions.join(again, ["kind", "value"]).groupBy("digest").agg(F.collect_set(cell).alias("again")), "again")
+    joined = keyed.join(own, "digest", "left").select("row", "again")
     plain = docs.columns
-    joined = docs.join(own, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
     schema = docs.schema.simpleString()[len("struct<"):-1] + ",n_replaced:bigint"
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts = [], []
-            for text, cells in zip(batch.column("text").to_pylist(), batch.column("_again").to_pylist(), strict=True):
+            columns = dict(zip(plain, batch.column("row").flatten(), strict=True))
+            new_texts, counts = [], []
+            for text, cells in zip(columns["text"].to_pylist(), batch.column("again").to_pylist(), strict=True):
                 attempts = {(c["kind"], c["value"]): c["attempt"] for c in cells or ()}
                 new, n = (None, 0) if text is None else replaced(text, key, attempts)
-                texts.append(new)
+                new_texts.append(new)
                 counts.append(n)
-            columns = [pa.array(texts, pa.string()) if name == "text" else batch.column(name) for name in plain]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=[*plain, "n_replaced"])
+            columns["text"] = pa.array(new_texts, pa.string())
+            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(counts, pa.int64())], names=[*plain, "n_replaced"])
 
     return joined.mapInArrow(rewrite, f"struct<{schema}>")
