@@ -1,10 +1,12 @@
 """Each training-data operator against brute force, and on odd rows."""
 
 import hashlib
+import math
 import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -109,6 +111,48 @@ def test_quality_separates_held_out_labels(spark):
     assert good > 0.99 and bad < 0.2
 
 
+def test_quality_keeps_languages_with_few_trusted_documents(spark):
+    """The least table: trusted documents held out one by one set the thresholds; the score drops junk alone."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.quality_rules(docs, labels).join(labels, "doc_id", "left").where("not base_failed")
+    lost = got.where("not kept").select("lang", "quality", "toxic").collect()
+    assert lost and all((r.quality, r.toxic) == (0, 0) for r in lost)
+    assert got.where("lang = 'fr' and quality is null and kept").count() > 10
+    # without languages one threshold holds, the same as where all have none
+    plain, nameless = (quality.quality_rules(d, labels) for d in (docs.drop("lang"), docs.withColumn("lang", F.lit(None).cast("string"))))
+    assert rows(plain, "doc_id", "kept") == rows(nameless, "doc_id", "kept")
+
+
+def test_quality_thresholds_by_hand(spark):
+    """Held-out scores against a plain computation; unknown languages take the lowest threshold."""
+    texts = [(1, "en", "a b a c"), (2, "en", "a b d"), (3, None, "e f"), (4, "xx", "g h a b"), (5, "en", None)]
+    docs, trusted = spark.createDataFrame(texts, "doc_id long, lang string, text string"), spark.createDataFrame([(1,), (2,), (3,), (5,)], "doc_id long")
+    counts = quality.feature_counts(docs, trusted)
+
+    def buckets(text):
+        words = (text or "").split()
+        return Counter(zlib.crc32(g.encode()) & (quality.BUCKETS - 1) for g in words + [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)])
+
+    of = {i: buckets(t) for i, _, t in texts}
+    raw, target = sum(of.values(), Counter()), sum((of[i] for i in (1, 2, 3, 5)), Counter())
+    share, s = target.total() / raw.total(), quality.SMOOTHING
+    want = {i: sum(n * math.log((target[b] - n + s) / (raw[b] * share + s)) for b, n in of[i].items()) / of[i].total() for i in (1, 2, 3)}
+    held = quality.held_out_scores(docs.join(trusted, "doc_id", "left_semi"), counts)
+    assert {r.doc_id: r.score for r in held.collect()} == pytest.approx(want)
+    found = quality.language_thresholds(held, 1.0).first().thresholds
+    assert set(found) == {"=en", "null", ""} and found[""] == min(found["=en"], found["null"])
+    low = min(want[1], want[2]) + 0.01 * abs(want[1] - want[2]) - quality.MARGIN
+    assert found["=en"] == pytest.approx(low) and found["null"] == pytest.approx(want[3] - quality.MARGIN)
+    assert quality.language_thresholds(held.limit(0), -0.1).first().thresholds == {"": -0.1}
+
+
+def test_quality_keeps_other_columns(spark):
+    docs = spark.createDataFrame([(1, "x y", 5, 6, "old")], "doc_id long, text string, _ratios int, _ratios0 int, score string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    row = quality.quality_rules(docs, labels).first()
+    assert (row["_ratios"], row["_ratios0"], row["base_failed"]) == (5, 6, True) and isinstance(row["score"], float)
+
+
 # decontamination
 
 ITEMS = [(1, " ".join(f"w{i}" for i in range(20))), (2, "Short item here"), (3, None), (4, ""), (5, "w3 W4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15 w99"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from webgrove.llm.quality import BUCKETS, MAX_REPEAT_PERCENT, MIN_WORDS, SMOOTHING, THRESHOLD
+from webgrove.llm.quality import BUCKETS, HELD_OUT_SHARE, MARGIN, MAX_REPEAT_PERCENT, MIN_WORDS, SMOOTHING, THRESHOLD
 from webgrove.llm.sharding import MIX_A, MIX_B, round_keys
 
 _LOW_31 = (1 << 31) - 1
@@ -124,6 +124,9 @@ target AS (SELECT b, sum(c) AS t FROM f SEMI JOIN trusted USING (doc_id) GROUP B
 ratio AS (SELECT raw.b, ln((coalesce(t, 0) + {SMOOTHING}) / (r * (SELECT sum(t) FROM target) / (SELECT sum(r) FROM raw) + {SMOOTHING})) AS v
     FROM raw LEFT JOIN target ON raw.b = target.b),
 score AS (SELECT doc_id, sum(c * v) / sum(c) AS score FROM f JOIN ratio ON f.b = ratio.b GROUP BY doc_id),
+held AS (SELECT doc_id, sum(c * ln((t - c + {SMOOTHING}) / (r * (SELECT sum(t) FROM target) / (SELECT sum(r) FROM raw) + {SMOOTHING}))) / sum(c) AS score
+    FROM f SEMI JOIN trusted USING (doc_id) JOIN raw USING (b) JOIN target USING (b) GROUP BY doc_id),
+bars AS (SELECT lang, least({THRESHOLD}, quantile_cont(score, {HELD_OUT_SHARE}) - {MARGIN}) AS bar FROM held JOIN documents USING (doc_id) GROUP BY lang),
 win AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS g FROM d WHERE len(w) >= 3),
 twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(3) o(k) GROUP BY doc_id),
@@ -133,7 +136,8 @@ s AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::
      - len(list_distinct(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))))::BIGINT AS n_dup_lines,
     coalesce(rep.n, 0)::BIGINT AS n_repeat_words FROM d LEFT JOIN rep USING (doc_id)),
 j AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM s)
-SELECT j.*, NOT base_failed AND coalesce(score, 0) >= {THRESHOLD} AS kept FROM j LEFT JOIN score USING (doc_id)
+SELECT j.*, NOT base_failed AND coalesce(score, 0) >= coalesce(bar, (SELECT min(bar) FROM bars), {THRESHOLD}) AS kept
+FROM j LEFT JOIN score USING (doc_id) JOIN documents USING (doc_id) LEFT JOIN bars ON bars.lang IS NOT DISTINCT FROM documents.lang
 """,
     "op6_decontamination": r"""
 WITH lowered AS (SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents

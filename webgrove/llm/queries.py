@@ -40,7 +40,7 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    judged = quality.quality_rules(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
