@@ -169,6 +169,9 @@ def test_contamination(spark, block):
     assert got == sorted(brute.contamination(TEXTS, [i for i in ITEMS if i[0] is not None]))
     cut = dict(decontaminate.without_spans(found.withColumn("contaminated", F.lit(False))).collect())
     assert cut[1] == "pre  post" and cut[5] == "w1 w2 w3" and cut[7].endswith(" x") and cut[7].startswith("größe ")
+    assert cut[2] == TEXTS[1][1] and cut[3] == cut[4] == ""          # shorter items are cut on demand only
+    short = dict(decontaminate.without_spans(found.withColumn("contaminated", F.lit(False)).where("doc_id = 2"), min_words=1).collect())
+    assert short == {2: "a , and "}
 
 
 def test_contamination_random():

@@ -30,6 +30,12 @@ def test_stages(spark):
             assert set(kept[name]) == {i for i, _, c in brute.jaccard_components(pairs) if i == c}
         if name == "benchmark decontamination":
             assert set(kept[name]) == {r[0] for r in brute.contamination(pairs, items) if not r[-1]}
+            long = [i for i in items if len(brute.item_words(i[1])) >= 13]
+            touched = {r[0] for r in brute.contamination(pairs, long) if r[2]} & set(kept[name])
+            for i in touched:
+                assert kept[name][i]["n_chars"] == len(kept[name][i]["text"]) < len(unchanged[i]["text"])
+            assert not any(r[2] for r in brute.contamination([(i, kept[name][i]["text"]) for i in kept[name]], long))
+            assert all(kept[name][i] == unchanged[i] for i in set(kept[name]) - touched)
         if name == "PII":
             assert set(kept[name]) == {i for i, _ in pairs}
             for i, text in pairs:
@@ -37,7 +43,7 @@ def test_stages(spark):
                 assert not any(mention in kept[name][i]["text"] for mention in found)
                 assert found or kept[name][i] == unchanged[i]
                 assert kept[name][i]["n_chars"] == len(kept[name][i]["text"])
-        else:
+        elif name != "benchmark decontamination":
             assert kept[name] == unchanged
     from tokenizers import Tokenizer
     encode = Tokenizer.from_file(vocabulary("byte_bpe_50k.json")).encode
@@ -77,6 +83,30 @@ def test_verdict_of_a_row_is_its_own(spark):
         [(None, words(0)), (None, None), (4, words(500)), (4, words(500)), (5, words(0))], key=key)
 
 
+def test_passages_are_cut_and_short_items_stay(spark, tmp_path):
+    """Below the coverage limit passages of an item go; other words stay; n_chars follows."""
+    item, short = words(9000, 15), "word7 word8"
+    spark.createDataFrame([("a", item), ("b", short), ("c", None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    long = words(0, 400) + f" [{item}] " + words(500, 300)
+    docs = spark.createDataFrame([(1, long, "en", "s", len(long), 7), (1, long, "en", "s", len(long), 8), (2, words(0, 60), "en", "s", 5, 7), (3, item, "en", "s", 5, 7), (None, None, None, None, None, None),
+                                  (4, "", "en", "s", 0, 7), (5, words(2000), "en", "s", None, 7)], FIELDS + ", spans int")
+    got = {(r.doc_id, r.spans): r for r in corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path)).collect()}
+    assert set(got) == {(1, 7), (1, 8), (2, 7), (4, 7), (5, 7), (None, None)}
+    assert got[1, 7].text == got[1, 8].text == words(0, 400) + " [] " + words(500, 300) and got[1, 7].n_chars == len(got[1, 7].text)
+    assert got[2, 7][:] == (2, words(0, 60), "en", "s", 5, 7) and got[5, 7].n_chars is None and got[4, 7].text == "" and got[None, None].text is None
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """Columns that stages use themselves, and very long texts."""
+    text = words(0, 200_000) + "."
+    docs = spark.createDataFrame([(1, text, "en", "s", 1, "a", "b", 3, "c", "d"), (2, text, "en", "s", 1, "a", "b", 3, "c", "d"), (3, None, None, None, None, "e", "f", 4, "g", "h")],
+                                 FIELDS + ", _digest string, _row string, score int, kept string, _hit string")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, SF), "test")
+        left = {r.doc_id: r[5:] for r in docs.collect()}
+        assert left == ({1: ("a", "b", 3, "c", "d"), 2: ("a", "b", 3, "c", "d")} if name == "quality rules" else {1: ("a", "b", 3, "c", "d")})
+
+
 def test_texts_of_one_id_stay_apart(spark):
     """Of an id's rows one per group of near copies stays; what stays does not depend on the order of rows."""
     given = [(7, words(0), "en", "s", 1), (7, words(500), "en", "s", 1), (7, words(500), "de", "s", 1), (7, words(500) + " end", "en", "s", 1), (8, words(500), "en", "s", 1),

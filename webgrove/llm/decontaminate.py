@@ -21,13 +21,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow.fs import FileSystem
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webgrove.llm.common import in_batches, rows_of, runs, text_bytes, work_folder
+from webgrove.llm.common import in_batches, let, rows_of, runs, text_bytes, work_folder
 
 WINDOW = 13
 COVERAGE_PERCENT = 5
+SPANS = "array<struct<start:int,end:int,words:int>>"
 #: Bytes of item texts in one automaton (a bound on memory, not on items): up to 320 bytes of building task and 16 of stored
 #: arrays a byte.  More items make further automata, of which a worker keeps the last few.
 AUTOMATON_BYTES, MACHINES_HELD = 1 << 20, 4
@@ -241,7 +242,7 @@ def _spans(raw: bytes, pairs: list[list[int]]) -> list[dict[str, int]]:
     at = [m.span() for m in _WORD.finditer(raw)]
     edges = [edge for a, b in pairs for edge in (at[a][0], at[b - 1][1])]
     places = list(itertools.accumulate(len(raw[a:b].decode()) for a, b in itertools.pairwise([0, *edges])))
-    return [{"start": a, "end": b} for a, b in zip(places[::2], places[1::2], strict=True)]
+    return [{"start": a, "end": b, "words": last - first} for a, b, (first, last) in zip(places[::2], places[1::2], pairs, strict=True)]
 
 
 def store_automatons(items: DataFrame, *, window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES) -> list[str]:
@@ -293,7 +294,7 @@ def find_contamination(
 ) -> DataFrame:
     """``doc_id, text, n_words, n_hit, item_ids, spans, contaminated``, a row per document.
 
-    ``spans`` are the character ranges of the hit words.  A document is contaminated if
+    ``spans`` are the character ranges of the hit words and their numbers of words.  A document is contaminated if
     ``coverage_percent`` of its words or more are hit.  Null and empty texts have no words
     and are clean; so is everything if there are no items.  Items without id or words are
     passed over; repeated items count once; repeated documents are judged row by row.
@@ -302,7 +303,7 @@ def find_contamination(
     """
     id_type, id_name = docs.limit(0).select("doc_id").toArrow().schema.field(0).type, docs.schema["doc_id"].dataType.simpleString()
     done = pa.schema([("doc_id", id_type), ("text", pa.string()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())),
-                      ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+                      ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32())])))])
     paths = store_automatons(items, window=window, automaton_bytes=automaton_bytes)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,17 +330,28 @@ def find_contamination(
         yield from in_batches(rows(), done)
 
     plain = docs.select("doc_id", F.expr("make_valid_utf8(text)").alias("text"))
-    out = plain.mapInArrow(judge, f"doc_id {id_name}, text string, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>")
+    out = plain.mapInArrow(judge, f"doc_id {id_name}, text string, n_words long, n_hit long, item_ids array<string>, spans {SPANS}")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= coverage_percent * F.col("n_words")))
 
 
+def cut(text: Column, spans: Column, *, min_words: int = WINDOW) -> Column:
+    """``text`` without those ``spans`` that have ``min_words`` words or more.
+
+    Null stays null, and a text without such spans stays as it is.  What stood on both sides
+    of a span keeps its separators; its words become neighbours.
+    """
+    whole = F.make_valid_utf8(text)
+    end = F.struct(F.length(whole).alias("start"), F.length(whole).alias("end"), F.lit(0).alias("words"))
+
+    def rest(long: Column) -> Column:
+        pieces = F.transform(F.concat(long, F.array(end)), lambda s, i: let(
+            F.when(i == 0, F.lit(0)).otherwise(F.get(long, i - 1)["end"]), lambda at: F.substring(whole, at + 1, s["start"] - at)))
+        return F.when(F.size(long) == 0, text).otherwise(F.concat_ws("", pieces))
+
+    return F.when(text.isNotNull(), let(F.filter(F.array_sort(F.coalesce(spans, F.array().cast(SPANS))), lambda s: s["words"] >= min_words), rest))
+
+
 def without_spans(found: DataFrame, *, min_words: int = WINDOW) -> DataFrame:
     """``doc_id, text`` of what ``find_contamination`` gave: contaminated documents, over the
-    coverage limit, are removed; from the others every hit span is cut."""
-    whole = F.col("text")
-    edges = F.array_sort(F.col("spans"))
-    pieces = F.transform(
-        F.concat(edges, F.array(F.struct(F.length(whole).alias("start"), F.length(whole).alias("end")))),
-        lambda s, i: F.substring(whole, F.when(i == 0, F.lit(1)).otherwise(F.get(edges, i - 1)["end"] + 1),
-                                 s["start"] - F.when(i == 0, F.lit(0)).otherwise(F.get(edges, i - 1)["end"])))
-    return found.where(~F.col("contaminated")).select("doc_id", F.when(F.size("spans") == 0, whole).otherwise(F.concat_ws("", pieces)).alias("text"))
+    coverage limit, are removed; from the others every hit span of ``min_words`` words or more is cut."""
+    return found.where(~F.col("contaminated")).select("doc_id", cut(F.col("text"), F.col("spans"), min_words=min_words).alias("text"))
