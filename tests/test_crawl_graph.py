@@ -84,6 +84,28 @@ def test_states_of_crawls_merge(spark):
     pages = {r.tag: r.n_pages for r in merge_tag_states(again).collect()}
     assert abs(pages["p"] - 500) <= 15 and abs(pages["b"] - 250) <= 8
 
+def test_merged_states_of_many_pairs_are_all_close(spark):
+    links = spark.range(3_000_000).selectExpr("id % 3 AS crawl", "concat('http://h', id % 100, '.com/') AS page_url",
+                                              "concat('http://t.net/', id) AS url", "false AS nofollow")
+    states = [link_states(links.where(F.col("crawl") != k)) for k in (0, 1)]       # a third of the links is in both
+    off = [abs(r.n_urls / 30_000 - 1) for r in estimated_graph(merge_link_states(states[0].unionByName(states[1]))).collect()]
+    assert len(off) == 100 and max(off) <= 0.03
+    pages = spark.range(3_000_000).selectExpr("id AS page_id", "array(named_struct('tag', concat('t', id % 100))) AS nodes")
+    tags = [tag_states(pages.where(F.col("page_id") % 3 != k)) for k in (0, 1)]
+    off = [abs(r.n_pages / 30_000 - 1) for r in merge_tag_states(tags[0].unionByName(tags[1])).collect()]
+    assert len(off) == 100 and max(off) <= 0.03
+
+
+def test_states_of_other_precision_merge(spark):
+    links = spark.range(20_000).selectExpr("'http://h.com/' AS page_url", "concat('http://t.net/', id) AS url", "id % 4 = 0 AS nofollow")
+    older = link_states(links).withColumn("urls", F.lit(links.agg(F.hll_sketch_agg("url", 12)).first()[0]))
+    [row] = estimated_graph(merge_link_states(link_states(links).unionByName(older))).collect()
+    assert (row.n_links, row.nofollow_share) == (40_000, 0.25) and abs(row.n_urls - 20_000) <= 0.1 * 20_000
+    docs = spark.range(20_000).selectExpr("id AS page_id", "array(named_struct('tag', 'a')) AS nodes")
+    older = docs.agg(F.lit("a").alias("tag"), F.hll_sketch_agg("page_id", 12).alias("pages"))
+    [row] = merge_tag_states(tag_states(docs).unionByName(older)).collect()
+    assert abs(row.n_pages - 20_000) <= 0.1 * 20_000
+
 
 def test_graph_and_degrees(spark):
     pages = pages_of(
