@@ -1,6 +1,9 @@
 """The pipeline's stages, each on its own input, against brute force."""
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import corpus_pipeline
 from tests.llm import brute
@@ -125,3 +128,27 @@ def test_stages_on_an_empty_table(spark):
     docs = table(spark, SF, "documents", "doc_id", "text", "lang", "source", "n_chars").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).collect() == []
+
+
+def test_idle_workers_give_memory_back():
+    """What a task's rows took is no longer held when its last batch is out, also below a block that stays."""
+    code = """
+import re
+import pyarrow as pa
+from webgrove.llm.common import in_batches
+
+def held():
+    return sum(map(int, re.findall(r"Pss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+def rows():
+    work = [bytes(2000) for _ in range(100_000)]
+    kept.append(bytes(2000))
+    for n in range(3):
+        yield len(work), n
+
+kept, before = [], held()
+assert sum(b.num_rows for b in in_batches(rows(), pa.schema([("a", pa.int64()), ("b", pa.int64())]), max_rows=2)) == 3
+print(held() - before)
+"""
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(corpus_pipeline.__file__).parent)
+    assert float(found.stdout) < 50

@@ -1,9 +1,12 @@
-"""How this package declares its Arrow UDFs."""
+"""How this package declares its Arrow UDFs, and what its tasks do about memory."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,3 +24,14 @@ def task_udf(return_type: T.DataType) -> Callable:
         return F.arrow_udf(function, return_type).asNondeterministic()
 
     return declare
+
+
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    A Python worker outlives its tasks and waits for more beside stages that need none; what
+    its allocators keep for later is counted as the executor's until then.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):      # glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
