@@ -5,9 +5,11 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pyarrow as pa
+
 import corpus_pipeline
 from tests.llm import brute
-from webgrove.llm import pii
+from webgrove.llm import packing, pii
 from webgrove.llm.common import table
 from webgrove.llm.queries import SURROGATE_KEY, vocabulary
 
@@ -152,3 +154,15 @@ print(held() - before)
 """
     found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(corpus_pipeline.__file__).parent)
     assert float(found.stdout) < 50
+
+
+def test_idle_workers_remember_no_chunks(spark):
+    docs = spark.range(0, 400, 1, 8).selectExpr("id AS doc_id", "concat('one two w', id) AS text")
+    pieces = packing.pack_documents(docs, json_file=vocabulary("byte_bpe_50k.json"), rank_file=vocabulary("byte_bpe_50k.tiktoken"))
+    assert pieces.count() == 400
+
+    def remembered(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"id": pa.array([sum(len(t.known) for t in packing._tokenizers.values())] * batch.num_rows, pa.int64())})
+
+    assert {r.id for r in spark.range(0, 64, 1, 64).mapInArrow(remembered, "id long").collect()} == {0}

@@ -25,7 +25,7 @@ SEQ_LEN = 1024
 END_ID = 0
 GROUP_DOCS = 4096
 GROUP_TOKENS = 8 << 20
-#: Chunks whose ids a task remembers; the memory is emptied beyond it (about 60 MB).
+#: Chunks whose ids a task remembers; the memory is emptied beyond it (about 60 MB) and when the task ends.
 REMEMBERED = 400_000
 SPECIAL = "<|endoftext|>"
 _SPECIAL = SPECIAL.encode()
@@ -170,13 +170,14 @@ def pack_documents(
     step = 4 * seq_len
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = tokenizer(json_file, rank_file).packed
+        ids = tokenizer(json_file, rank_file)
 
         def rows() -> Iterator[tuple]:
             for doc_id, text in rows_of(batches, "doc_id", "text"):
-                packed = ids_of(text_bytes(text).decode("utf-8", "replace")) + end
+                packed = ids.packed(text_bytes(text).decode("utf-8", "replace")) + end
                 sums = array.array("I", [zlib.crc32(packed[i:i + step]) for i in range(0, len(packed), step)])
                 yield doc_id, len(packed) // 4, sums.tobytes(), packed if keep_ids else None
+            ids.known.clear()
 
         yield from in_batches(rows(), light)
 
