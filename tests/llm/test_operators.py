@@ -96,6 +96,26 @@ def test_quality_statistics(spark, odd, given):
     assert set(odd.columns) < set(got.columns) and got.columns.count("score") == 1
 
 
+def test_quality_counts_hash_outside_lambdas(spark, odd):
+    """Word by word in generated code: a lambda over arrays is interpreted."""
+    plan = quality.bucket_counts(odd)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("crc32" in line for line in plan) and not any("crc32" in line and "lambda" in line for line in plan)
+    got = {r.bucket: r.n for r in quality.bucket_counts(odd).collect()}
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in ODD]
+    grams = [g for w in words for g in [*w, *(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))]]
+    assert got == Counter(zlib.crc32(g.encode()) & (quality.BUCKETS - 1) for g in grams)
+
+
+def test_repeated_words_of_few_kinds(spark):
+    """Runs, overlaps, repeats at either end, lengths around powers of two; a word before the end equal to earlier ones."""
+    draw = random.Random(3)
+    texts = [" ".join(draw.choice("abc"[:kinds]) for _ in range(n)) for kinds in (1, 2, 3) for n in (*range(10), 31, 32, 33, 64, 65)]
+    texts += [" ".join(map(str, [*range(n), *range(k)])) for n in (60, 64, 200) for k in (1, 2, 3, 4, 70)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = dict(docs.select("doc_id", quality.repeated_words(quality.words_of(F.col("text")))).collect())
+    assert got == {i: brute.quality_statistics(t)["n_repeat_words"] for i, t in enumerate(texts)}
+
+
 def test_quality_without_rows(spark, nothing, odd):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.quality_rules(nothing, labels).collect() == []
